@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from vecflow.llm import packing, token_store
+from vecflow.llm import packing, secrets, token_store, urlfilter
 
 _QUERIES = {
     "op2_token_files": token_store.op2_token_files,
+    "op6_secret_scans": secrets.op6_secret_scans,
     "op9_packing": packing.op9_packing,
+    "op10_url_filters": urlfilter.op10_url_filters,
 }
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {"op10_url_filters": urlfilter.OP10_SQL}
 
 
 def queries() -> dict:
