@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from vecflow.llm import packing, secrets, token_store, urlfilter
+from vecflow.llm import decontam, langid, packing, secrets, token_store, urlfilter
 
 _QUERIES = {
     "op2_token_files": token_store.op2_token_files,
+    "op5_decontamination": decontam.op5_decontamination,
     "op6_secret_scans": secrets.op6_secret_scans,
+    "op8_language_id": langid.op8_language_id,
     "op9_packing": packing.op9_packing,
     "op10_url_filters": urlfilter.op10_url_filters,
 }
-_SQL: dict[str, str] = {"op10_url_filters": urlfilter.OP10_SQL}
+_SQL: dict[str, str] = {"op5_decontamination": decontam.OP5_SQL, "op10_url_filters": urlfilter.OP10_SQL}
 
 
 def queries() -> dict:
