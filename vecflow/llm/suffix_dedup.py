@@ -123,7 +123,7 @@ def _load(blob: bytes):
 
 
 def _send_anchors(n_buckets: int, length: int, gram: int):
-    """Rows (bucket, doc_id, payload): anchors of a batch by bucket, and settled ones by document (bucket null)."""
+    """Rows (bucket, doc_id, payload): anchors of a batch by bucket, and settled ones by document (bucket below 0)."""
 
     def run(batches):
         for batch in batches:
@@ -146,7 +146,7 @@ def _send_anchors(n_buckets: int, length: int, gram: int):
             starts = np.flatnonzero(first)
             many = np.diff(np.append(starts, len(h))) > 1
             settled = np.repeat(many, np.diff(np.append(starts, len(h))))
-            yield _settled(doc[settled], h[settled])
+            yield _settled(doc[settled], h[settled], n_buckets)
             # the smallest document of each anchor stands for the batch
             h, doc, many = h[starts], doc[starts], many
             bucket = (h >> np.uint64(16)) % np.uint64(n_buckets)
@@ -162,53 +162,58 @@ def _send_anchors(n_buckets: int, length: int, gram: int):
     return run
 
 
-def _settled(doc: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    """Shared anchors by document, as rows of no bucket."""
+def _settled(doc: np.ndarray, h: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    """Shared anchors by document, in buckets below 0: they only pass through the buckets' exchange."""
     by = np.argsort(doc, kind="stable")
     doc, h = doc[by], h[by]
     cut = np.flatnonzero(np.concatenate(([len(doc) > 0], doc[1:] != doc[:-1])))
     blobs = [_pack6(h[a:b]) for a, b in zip(cut, [*cut[1:], len(h)], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cut), -1, np.int32)), pa.array(doc[cut]), common.blobs(blobs)], ["bucket", "doc_id", "payload"])
+    return pa.RecordBatch.from_arrays([pa.array((-1 - doc[cut] % n_buckets).astype(np.int32)), pa.array(doc[cut]), common.blobs(blobs)], ["bucket", "doc_id", "payload"])
 
 
-def _by_bucket(batches):
-    """(bucket, its payloads) of rows sorted by bucket."""
+def _by_bucket(batches, each, name: str):
+    """each(payloads) of every bucket of rows sorted by bucket; what is settled (bucket below 0) passes unchanged."""
     now, held = None, []
     for batch in batches:
-        for b, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        through: tuple[list, list] = ([], [])
+        for b, d, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if b < 0:
+                through[0].append(d)
+                through[1].append(p)
+                continue
             if b != now and held:
-                yield now, held
+                yield from each(held)
                 held = []
             now = b
             held.append(p)
+        if through[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(through[0], pa.int64()), common.blobs(through[1])], ["doc_id", name])
     if held:
-        yield now, held
-
-
-def _shared_anchors(batches):
-    for _, payloads in _by_bucket(batches):
-        hs, docs, manys = [], [], []
-        for p in payloads:
-            h6, named, code, many = pickle.loads(p)
-            hs.append(_unpack6(h6))
-            docs.append(named[code])
-            manys.append(np.unpackbits(many, count=len(code)).astype(bool))
-        h, doc, many = np.concatenate(hs), np.concatenate(docs), np.concatenate(manys)
-        by = np.argsort(h, kind="stable")
-        h, doc, many = h[by], doc[by], many[by]
-        starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        size = np.diff(np.append(starts, len(h)))
-        # entries that one batch has settled already need no second word, but tell the others
-        shared = np.repeat((size > 1), size) & ~many
-        out = _settled(doc[shared], h[shared])
-        yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "hashes"])
+        yield from each(held)
+
+
+def _shared_anchors(payloads):
+    hs, docs, manys = [], [], []
+    for p in payloads:
+        h6, named, code, many = pickle.loads(p)
+        hs.append(_unpack6(h6))
+        docs.append(named[code])
+        manys.append(np.unpackbits(many, count=len(code)).astype(bool))
+    h, doc, many = np.concatenate(hs), np.concatenate(docs), np.concatenate(manys)
+    by = np.argsort(h, kind="stable")
+    h, doc, many = h[by], doc[by], many[by]
+    size = np.diff([*np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))), len(h)])
+    # entries that their batch has settled already need no second word, but tell the others
+    shared = np.repeat(size > 1, size) & ~many
+    out = _settled(doc[shared], h[shared], 1)
+    yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "hashes"])
 
 
 # step 2
 
 
 def _send_passages(n_buckets: int, length: int, gram: int):
-    """Rows (bucket, payload): passages of a batch by bucket, or (bucket -1) spans settled in the batch by document."""
+    """Rows (bucket, doc_id, payload): passages of a batch by bucket, or (bucket below 0) spans settled in the batch by document."""
 
     def run(batches):
         for batch in batches:
@@ -252,7 +257,7 @@ def _send_passages(n_buckets: int, length: int, gram: int):
                 docs.append(None)
                 payloads.append(_dump(*parts))
             for doc, spans in settled.items():
-                buckets.append(-1)
+                buckets.append(-1 - doc % n_buckets)
                 docs.append(doc)
                 payloads.append(_spans(np.array(spans, np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(docs, pa.int64()), common.blobs(payloads)], ["bucket", "doc_id", "payload"])
@@ -339,35 +344,34 @@ def earlier_matches(raw: np.ndarray, starts: np.ndarray, doc: np.ndarray, length
 
 
 def _removed(length: int):
-    def run(batches):
-        for _, payloads in _by_bucket(batches):
-            parts = [_load(p) for p in payloads]
-            raw = np.frombuffer(b"".join(p[0] for p in parts), np.uint8)
-            size = np.concatenate([p[1] for p in parts]).astype(np.int64)
-            doc = np.concatenate([p[2] for p in parts])
-            n_starts = np.concatenate([p[3] for p in parts]).astype(np.int64)
-            at = np.concatenate([p[4] for p in parts]).astype(np.int64)
-            first = np.cumsum(size) - size
-            n = size - length + 1
-            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            passage = np.repeat(np.arange(len(size)), n)
-            hit = earlier_matches(raw, first[passage] + within, doc[passage], length)
-            passage, within = passage[hit], within[hit]
-            if not len(passage):
-                continue
-            # runs of hits in a passage, for each place at which its document holds it
-            cut = np.flatnonzero(np.concatenate(([True], (passage[1:] != passage[:-1]) | (within[1:] != within[:-1] + 1))))
-            owner, a, b = passage[cut], within[cut], within[np.append(cut[1:], len(within)) - 1] + length
-            times = n_starts[owner]
-            begin = np.cumsum(n_starts) - n_starts
-            place = at[np.repeat(begin[owner], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
-            spans = np.stack((np.repeat(a, times) + place, np.repeat(b, times) + place), axis=1)
-            docs = np.repeat(doc[owner], times)
-            by = np.argsort(docs, kind="stable")
-            docs, spans = docs[by], spans[by]
-            cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-            blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(docs[cut]), common.blobs(blobs)], ["doc_id", "spans"])
+    def run(payloads):
+        parts = [_load(p) for p in payloads]
+        raw = np.frombuffer(b"".join(p[0] for p in parts), np.uint8)
+        size = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        doc = np.concatenate([p[2] for p in parts])
+        n_starts = np.concatenate([p[3] for p in parts]).astype(np.int64)
+        at = np.concatenate([p[4] for p in parts]).astype(np.int64)
+        first = np.cumsum(size) - size
+        n = size - length + 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        passage = np.repeat(np.arange(len(size)), n)
+        hit = earlier_matches(raw, first[passage] + within, doc[passage], length)
+        passage, within = passage[hit], within[hit]
+        if not len(passage):
+            return
+        # runs of hits in a passage, for each place at which its document holds it
+        cut = np.flatnonzero(np.concatenate(([True], (passage[1:] != passage[:-1]) | (within[1:] != within[:-1] + 1))))
+        owner, a, b = passage[cut], within[cut], within[np.append(cut[1:], len(within)) - 1] + length
+        times = n_starts[owner]
+        begin = np.cumsum(n_starts) - n_starts
+        place = at[np.repeat(begin[owner], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+        spans = np.stack((np.repeat(a, times) + place, np.repeat(b, times) + place), axis=1)
+        docs = np.repeat(doc[owner], times)
+        by = np.argsort(docs, kind="stable")
+        docs, spans = docs[by], spans[by]
+        cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+        blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(docs[cut]), common.blobs(blobs)], ["doc_id", "spans"])
 
     return run
 
@@ -399,6 +403,12 @@ def _cut_out(with_text: bool):
     return run
 
 
+def _dealt(rows: DataFrame, n: int, each, name: str) -> DataFrame:
+    """Rows dealt by bucket, each bucket worked through; what comes out is gathered by document."""
+    dealt = rows.repartition(n, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(lambda batches: _by_bucket(batches, each, name), f"doc_id long, {name} binary").groupBy("doc_id").agg(F.collect_list(name).alias(name))
+
+
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with with_text also
     spans (removed byte ranges) and kept (the remaining bytes)."""
@@ -408,15 +418,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
     common.bound_batches(spark)
     n = 2 * common.partitions(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = common.written(d.where("doc_id is not null and text is not null").mapInArrow(_send_anchors(n, length, gram), "bucket int, doc_id long, payload binary"), "anchors")
-    shared = sent.where("bucket >= 0").select("bucket", "payload").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared_anchors, "doc_id long, hashes binary")
-    hits = sent.where("bucket < 0").select("doc_id", F.col("payload").alias("hashes")).unionByName(shared).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    passages = common.written(d.join(hits, "doc_id", "left").mapInArrow(_send_passages(n, length, gram), "bucket int, doc_id long, payload binary"), "passages")
-    removed = passages.where("bucket >= 0").select("bucket", "payload").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_removed(length), "doc_id long, spans binary")
-    spans = passages.where("bucket < 0").select("doc_id", F.col("payload").alias("spans")).unionByName(removed).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
+    sent = d.where("doc_id is not null and text is not null").mapInArrow(_send_anchors(n, length, gram), "bucket int, doc_id long, payload binary")
+    shared = _dealt(sent, n, _shared_anchors, "hashes")
+    passages = d.join(shared.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_send_passages(n, length, gram), "bucket int, doc_id long, payload binary")
+    spans = _dealt(passages, n, _removed(length), "spans")
     kinds = {"spans": "array<array<long>>", "kept": "binary", "kept_sha256": "string"}
     names = [f.name for f in _OUT if with_text or f.name not in ("kept", "spans")]
-    return d.join(spans, "doc_id", "left").mapInArrow(_cut_out(with_text), ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names))
+    return d.join(spans.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_cut_out(with_text), ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names))
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
