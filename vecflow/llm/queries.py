@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vecflow.llm import decontam, langid, order_minhash, packing, secrets, suffix_dedup, token_store, urlfilter
+from vecflow.llm import decontam, langid, order_minhash, packing, pii, secrets, suffix_dedup, token_store, urlfilter
 
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_token_files": token_store.op2_token_files,
     "op3_order_minhash": order_minhash.op3_order_minhash,
+    "op4_pii": pii.op4_pii,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_secret_scans": secrets.op6_secret_scans,
     "op8_language_id": langid.op8_language_id,
