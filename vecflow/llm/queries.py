@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vecflow.llm import decontam, langid, order_minhash, packing, pii, secrets, suffix_dedup, token_store, urlfilter
+from vecflow.llm import decontam, jaccard_join, langid, order_minhash, packing, pii, secrets, suffix_dedup, token_store, urlfilter
 
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ _QUERIES = {
     "op4_pii": pii.op4_pii,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_secret_scans": secrets.op6_secret_scans,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_language_id": langid.op8_language_id,
     "op9_packing": packing.op9_packing,
     "op10_url_filters": urlfilter.op10_url_filters,
