@@ -14,8 +14,9 @@ No single suffix array could hold the corpus, so the suffix order is built in pa
 2. Passages. Strings in a row with the same shared anchor make up one passage of at most 2 * length - GRAM bytes; it is
    sent to the bucket of its anchor. Equal passages of one batch are sent once, for the smallest doc_id; for the other
    documents of the batch they are removed at once.
-3. Suffix order. Each bucket sorts all positions of its passages by prefix doubling (4, 8, 16, 32, length bytes), finds
-   previous and next smaller positions, and reports strings with an earlier match as spans of documents.
+3. Suffix order. Each bucket, in parts of about PART bytes with no anchor in two of them, sorts all positions of its
+   passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and reports
+   strings with an earlier match as spans of documents.
 4. Spans of a document are merged and cut out.
 
 The text is shuffled by doc_id once and used for the second and the fourth step. Each step works through its batches or
@@ -44,6 +45,8 @@ GRAM = 20
 #: Bytes that are hashed at once; positions in them take 16 bits of a key, the hash the other 48.
 SEGMENT = 1 << 16
 _POS = np.uint64(SEGMENT - 1)
+#: Bytes of passages that are ordered at once, about.
+PART = 1 << 19
 #: Positions that one suffix order holds at most; larger buckets are ordered with wider keys.
 PACKED = 1 << 21
 
@@ -102,6 +105,7 @@ def _keys(raw: np.ndarray, length: int, gram: int) -> np.ndarray:
 
 
 def _pack6(h: np.ndarray) -> bytes:
+    """48-bit anchor hashes (as in keys, without the place) in 6 bytes each."""
     return (h >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
@@ -144,8 +148,8 @@ def _send_anchors(n_buckets: int, length: int, gram: int):
             h, doc = h[once], doc[once]
             first = np.concatenate(([True], h[1:] != h[:-1]))
             starts = np.flatnonzero(first)
-            many = np.diff(np.append(starts, len(h))) > 1
-            settled = np.repeat(many, np.diff(np.append(starts, len(h))))
+            many = np.diff(np.append(starts, len(h)))
+            settled, many = np.repeat(many > 1, many), many > 1
             yield _settled(doc[settled], h[settled], n_buckets)
             # the smallest document of each anchor stands for the batch
             h, doc, many = h[starts], doc[starts], many
@@ -212,59 +216,88 @@ def _shared_anchors(payloads):
 # step 2
 
 
+_UP, _DOWN = common._powers(common.BASE, SEGMENT), common._powers(common.INVERSE, SEGMENT)
+
+
+def _contents(seg: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges [s, e) of a segment."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(common.BYTE_VALUE[seg] * _UP[: len(seg)])))
+    return common.mix((total[e] - total[s]) * _DOWN[s] + (e - s).astype(np.uint64))
+
+
+def _passages(raw: np.ndarray, off: np.ndarray, shared: np.ndarray, length: int, gram: int):
+    """(text, first byte, bytes, key) of the passages of shared anchors; shared: sorted (text << 48 | 48-bit hash)."""
+    found: list[tuple] = []
+    for at, valid, keys in anchors(raw, off, length, gram):
+        k = keys[valid]
+        if not len(k):
+            continue
+        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        last = np.append(first[1:], len(k)) - 1
+        s, n = valid[first], valid[last] - valid[first] + length
+        text = np.searchsorted(off, at + s, "right") - 1
+        h = (k[first] & ~_POS) >> np.uint64(16)
+        own = text.astype(np.uint64) << np.uint64(48) | h
+        hit = shared[np.minimum(np.searchsorted(shared, own), len(shared) - 1)] == own
+        if hit.any():
+            text, s, n = text[hit], s[hit], n[hit]
+            found.append((text, at + s, n, common.mix(h[hit]), _contents(raw[at : at + len(keys) + length], s, s + n)))
+    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else None
+
+
 def _send_passages(n_buckets: int, length: int, gram: int):
     """Rows (bucket, doc_id, payload): passages of a batch by bucket, or (bucket below 0) spans settled in the batch by document."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            batch = batch.filter(batch.column(2).is_valid())
+            if not batch.num_rows:
+                continue
+            ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             raw, off = common.utf8_column(batch.column(1))
-            shared = batch.column(2).to_pylist()
-            found: dict[bytes, list] = {}  # passage -> [bucket, {doc: starts}]
-            for i, hits in enumerate(shared):
-                if not hits:
-                    continue
-                mine = np.unique(np.concatenate([_unpack6(x) for x in hits]))
-                text, base = raw[off[i] : off[i + 1]], 0
-                for base, valid, keys in anchors(text, np.array([0, len(text)]), length, gram):
-                    k = keys[valid]
-                    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-                    last = np.append(first[1:], len(k))
-                    h = k[first] & ~_POS
-                    at = np.searchsorted(mine, h)
-                    at[at == len(mine)] = 0
-                    view = text.tobytes() if base == 0 else view
-                    for j in np.flatnonzero(mine[at] == h):
-                        start = base + int(first[j])
-                        passage = view[start : base + int(last[j]) - 1 + length]
-                        got = found.get(passage)
-                        if got is None:
-                            got = found[passage] = [int((int(h[j]) >> 16) % n_buckets), {}]
-                        got[1].setdefault(ids[i], []).append(start)
-            settled: dict[int, list] = {}
-            sent: dict[int, list] = {}
-            for passage, (bucket, by_doc) in found.items():
-                least = min(by_doc)
-                for doc, starts in by_doc.items():
-                    if doc != least:
-                        settled.setdefault(doc, []).extend((s, s + len(passage)) for s in starts)
-                sent.setdefault(bucket, []).append((passage, least, by_doc[least]))
-            buckets, docs, payloads = [], [], []
-            for bucket, rows in sent.items():
-                sizes = np.array([len(s) for _, _, s in rows], np.uint32)
-                parts = (b"".join(p for p, _, _ in rows), np.array([len(p) for p, _, _ in rows], np.uint16), np.array([d for _, d, _ in rows], np.int64), sizes, np.array([x for _, _, s in rows for x in s], np.uint32))
-                buckets.append(bucket)
-                docs.append(None)
-                payloads.append(_dump(*parts))
-            for doc, spans in settled.items():
-                buckets.append(-1 - doc % n_buckets)
-                docs.append(doc)
-                payloads.append(_spans(np.array(spans, np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(docs, pa.int64()), common.blobs(payloads)], ["bucket", "doc_id", "payload"])
+            shared = np.concatenate([np.unique(np.concatenate([_unpack6(x) for x in hits])) >> np.uint64(16) | np.uint64(i) << np.uint64(48) for i, hits in enumerate(batch.column(2).to_pylist())])
+            got = _passages(raw, off, shared, length, gram)
+            if got is None:
+                continue
+            text, start, size, key, content = got
+            doc, place = ids[text], start - off[text]
+            # equal passages in a row, the smallest document first
+            by = np.lexsort((place, doc, content))
+            doc, place, start, size, key, content = (x[by] for x in (doc, place, start, size, key, content))
+            new = np.concatenate(([True], content[1:] != content[:-1]))
+            least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+            late = doc != least
+            if late.any():
+                yield _spans_by_doc(doc[late], np.stack((place[late], place[late] + size[late]), axis=1), lambda d: -1 - d % n_buckets)
+            doc, place, start, size, key, new = (x[~late] for x in (doc, place, start, size, key, new))
+            first = np.flatnonzero(new)
+            times = np.diff(np.append(first, len(doc)))
+            bucket = (key[first] % np.uint64(n_buckets)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.concatenate(([True], bucket[by][1:] != bucket[by][:-1])))
+            payloads = []
+            for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
+                one = first[by[a:b]]
+                n, t = size[one], times[by[a:b]]
+                payloads.append(_dump(raw[_ranges(start[one], n)].tobytes(), n.astype(np.uint16), doc[one], t.astype(np.uint32), place[_ranges(one, t)].astype(np.uint32), (key[one] >> np.uint64(40)).astype(np.uint32)))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[by][cut].astype(np.int32)), pa.nulls(len(cut), pa.int64()), common.blobs(payloads)], ["bucket", "doc_id", "payload"])
 
     return run
 
 
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + n[0] - 1, start[1] .. and so on."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _spans_by_doc(docs: np.ndarray, spans: np.ndarray, bucket) -> pa.RecordBatch:
+    by = np.argsort(docs, kind="stable")
+    docs, spans = docs[by], spans[by]
+    cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
+    blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket(docs[cut]).astype(np.int32)), pa.array(docs[cut]), common.blobs(blobs)], ["bucket", "doc_id", "payload"])
+
+
 def _spans(spans: np.ndarray) -> bytes:
     """Merged [start, end) spans as bytes."""
     spans = spans[np.argsort(spans[:, 0], kind="stable")]
@@ -347,31 +380,31 @@ def _removed(length: int):
     def run(payloads):
         parts = [_load(p) for p in payloads]
         raw = np.frombuffer(b"".join(p[0] for p in parts), np.uint8)
-        size = np.concatenate([p[1] for p in parts]).astype(np.int64)
-        doc = np.concatenate([p[2] for p in parts])
-        n_starts = np.concatenate([p[3] for p in parts]).astype(np.int64)
-        at = np.concatenate([p[4] for p in parts]).astype(np.int64)
-        first = np.cumsum(size) - size
-        n = size - length + 1
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        passage = np.repeat(np.arange(len(size)), n)
-        hit = earlier_matches(raw, first[passage] + within, doc[passage], length)
-        passage, within = passage[hit], within[hit]
-        if not len(passage):
-            return
-        # runs of hits in a passage, for each place at which its document holds it
-        cut = np.flatnonzero(np.concatenate(([True], (passage[1:] != passage[:-1]) | (within[1:] != within[:-1] + 1))))
-        owner, a, b = passage[cut], within[cut], within[np.append(cut[1:], len(within)) - 1] + length
-        times = n_starts[owner]
-        begin = np.cumsum(n_starts) - n_starts
-        place = at[np.repeat(begin[owner], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
-        spans = np.stack((np.repeat(a, times) + place, np.repeat(b, times) + place), axis=1)
-        docs = np.repeat(doc[owner], times)
-        by = np.argsort(docs, kind="stable")
-        docs, spans = docs[by], spans[by]
-        cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-        blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(docs[cut]), common.blobs(blobs)], ["doc_id", "spans"])
+        size, doc, times, place, key = (np.concatenate([p[i] for p in parts]) for i in range(1, 6))
+        size, times, place = size.astype(np.int64), times.astype(np.int64), place.astype(np.int64)
+        del parts
+        first, begin = np.cumsum(size) - size, np.cumsum(times) - times
+        groups = max(1, len(raw) // PART)
+        group = key % groups
+        by = np.argsort(group, kind="stable")
+        cut = np.flatnonzero(np.concatenate(([True], group[by][1:] != group[by][:-1])))
+        for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
+            own = np.sort(by[a:b])
+            n = size[own] - length + 1
+            here = np.cumsum(size[own]) - size[own]
+            within = _ranges(np.zeros(len(own), np.int64), n)
+            passage = np.repeat(np.arange(len(own)), n)
+            hit = earlier_matches(raw[_ranges(first[own], size[own])], here[passage] + within, doc[own][passage], length)
+            passage, within = passage[hit], within[hit]
+            if not len(passage):
+                continue
+            # runs of hits in a passage, for each place at which its document holds it
+            edge = np.flatnonzero(np.concatenate(([True], (passage[1:] != passage[:-1]) | (within[1:] != within[:-1] + 1))))
+            owner, start, end = own[passage[edge]], within[edge], within[np.append(edge[1:], len(within)) - 1] + length
+            t = times[owner]
+            at = place[_ranges(begin[owner], t)]
+            out = _spans_by_doc(np.repeat(doc[owner], t), np.stack((np.repeat(start, t) + at, np.repeat(end, t) + at), axis=1), lambda d: d * 0)
+            yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "spans"])
 
     return run
 
