@@ -142,6 +142,38 @@ def _search(windows: list[bytes], n_words: list[int], prefixes, sizes):
     return find
 
 
+def _blocks_of(listed: DataFrame, n_blocks: int, docs: DataFrame):
+    """For each block of windows what a task needs to find them, broadcast: about block_windows rows at a time."""
+    spark = listed.sparkSession
+    for b in range(n_blocks):
+        rows = listed.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == b).collect()
+        windows, n_words, owners = [bytes(r["window"]) for r in rows], [r["n"] for r in rows], [r["item_ids"] for r in rows]
+        prefixes = _prefixes(docs, windows) if windows else (np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros((0, 2), np.int64))
+        yield spark.sparkContext.broadcast((windows, n_words, owners, prefixes, _sizes(windows)))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """docs less the rows that hold a window of an item; all columns stay in place, whatever their names."""
+    common.bound_batches(docs.sparkSession)
+    listed = common.written(item_windows(items, window), "windows")
+    n_blocks = max(1, -(-listed.count() // block_windows))
+    names = docs.columns
+    at = names.index("text")
+    out = docs
+    for sent in _blocks_of(listed, n_blocks, docs):
+
+        def run(batches, sent=sent):
+            windows, n_words, _, prefixes, sizes = sent.value
+            find = _search(windows, n_words, prefixes, sizes)
+            for batch in batches:
+                raw, off = common.utf8_column(batch.column(at))
+                clean = [not find(raw[off[i] : off[i + 1]])[1] for i in range(batch.num_rows)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_words, n_hit, item_ids (sorted strings), spans (merged hits:
     first word, word after the last)."""
@@ -156,12 +188,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
         d = d.withColumn("row", F.lit(0).cast("long"))
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
     parts = []
-    for b in range(n_blocks):
-        # one block: at most about block_windows rows reach the driver and the tasks
-        rows = listed.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == b).collect()
-        windows, n_words, owners = [bytes(r["window"]) for r in rows], [r["n"] for r in rows], [r["item_ids"] for r in rows]
-        prefixes = _prefixes(d, windows) if windows else (np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros((0, 2), np.int64))
-        sent = spark.sparkContext.broadcast((windows, n_words, owners, prefixes, _sizes(windows)))
+    for sent in _blocks_of(listed, n_blocks, d):
 
         def run(batches, sent=sent):
             windows, n_words, owners, prefixes, sizes = sent.value

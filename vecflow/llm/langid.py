@@ -207,6 +207,28 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """docs less the rows whose language is ``und``, with lang (where there is such a column) set to the prediction.
+
+    All columns stay in place, whatever their names."""
+    spark = docs.sparkSession
+    common.bound_batches(spark)
+    sent = spark.sparkContext.broadcast(model)
+    names = docs.columns
+    at, lang = names.index("text"), names.index("lang") if "lang" in names else None
+
+    def run(batches):
+        parser = Parser(sent.value)
+        for batch in batches:
+            got, _ = parser.predict(batch.column(at).to_pylist())
+            columns = list(batch.columns)
+            if lang is not None:
+                columns[lang] = pa.array(got, pa.string()).cast(columns[lang].type)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array([g != UNKNOWN for g in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 

@@ -23,7 +23,7 @@ years). The round function is SHA-256 of key, kind, round and the other half. A
 dd/mm where that is valid, else as mm/dd. Matches that don't validate stay as they are.
 
 DataFrame functions only, one pass without a shuffle. Null texts stay null, empty ones empty. All rows and columns are
-kept in place; columns that are added (n_email and so on) must not exist before.
+kept in place.
 """
 
 from __future__ import annotations
@@ -223,8 +223,9 @@ def pseudonym(m: Column, kind: Column, f: Feistel) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """docs with personal values of the text column replaced, and columns n_email, n_card, n_ip, n_ssn, n_phone, n_date."""
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
+    """docs with personal values of the text column replaced, and with counts also columns n_email, n_card, n_ip, n_ssn,
+    n_phone, n_date (which docs must not have before)."""
     f = Feistel(key)
     t = F.col(text)
     found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
@@ -239,8 +240,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         own = F.filter("__pii.found", lambda p: p["kind"] == kind)
         return F.when(F.col("__pii").isNull(), 0).otherwise(F.size(own)).cast("long")
 
-    counts = {f"n_{k}": count(k) for k in KINDS}
-    return d.withColumns({text: F.when(F.col("__pii").isNull(), t).otherwise(new), **counts}).drop("__pii")
+    added = {f"n_{k}": count(k) for k in KINDS} if counts else {}
+    return d.withColumns({text: F.when(F.col("__pii").isNull(), t).otherwise(new), **added}).drop("__pii")
 
 
 #: Key of the registered query; a real run brings its own secret.
