@@ -125,7 +125,7 @@ def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation: pchannel, msg_id (8 little-endian bytes, decimal text, or bytes that are neither), tso."""
-    n = table(spark, sf_dir, "nation").withColumn("off", F.col("n_nationkey").cast("long") * 1000003)
+    n = table(spark, sf_dir, "nation").withColumn("off", F.col("n_nationkey").cast("long") * 100000007)
     le = F.unhex(F.concat(*(F.substring(F.lpad(F.hex("off"), 16, "0"), 15 - 2 * i, 2) for i in range(8))))
     text = F.encode(F.col("off").cast("string"), "UTF-8")
     bad = F.encode(F.lit("abc"), "UTF-8")
@@ -134,5 +134,5 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHECKPOINTS = """
 checkpoints AS (
-  SELECT n_name AS pchannel, n_nationkey, CAST(n_nationkey AS BIGINT) * 1000003 AS off, n_nationkey % 7 = 6 AS bad, CAST(n_nationkey AS BIGINT) * 1000003 * 4096 AS tso FROM nation
+  SELECT n_name AS pchannel, n_nationkey, CAST(n_nationkey AS BIGINT) * 100000007 AS off, n_nationkey % 7 = 6 AS bad, CAST(n_nationkey AS BIGINT) * 100000007 * 4096 AS tso FROM nation
 )"""

@@ -148,7 +148,7 @@ def route_messages(spark, sf_dir):
 _SINGLE = on(fixtures.BATCHES, fixtures.DELETES) + """
 , ins AS (SELECT msg_id * 4 AS "offset", 'Insert' AS kind, 'orders' AS collection, CASE WHEN msg_id % 4 = 0 THEN 'dml_0' ELSE 'dml_0_v1' END AS vchannel,
  CASE WHEN msg_id % 5 = 0 THEN msg_id * 1000 + 7 ELSE msg_id * 1000 END AS tso, num_rows, CAST(NULL AS BIGINT) AS n_keys FROM batches),
-del AS (SELECT msg_id * 4 + 1 AS "offset", 'Delete' AS kind, 'lineitem' AS collection, 'dml_0_v0' AS vchannel, msg_id AS tso, 0 AS num_rows, len(coalesce(int_keys, legacy_keys, str_keys)) AS n_keys FROM deletes)
+del AS (SELECT msg_id * 4 + 1 AS "offset", 'Delete' AS kind, 'lineitem' AS collection, 'dml_0_v0' AS vchannel, msg_id AS tso, 0 AS num_rows, coalesce(len(int_keys), len(legacy_keys), len(str_keys)) AS n_keys FROM deletes)
 """
 
 

@@ -59,7 +59,8 @@ def le_int64(b: Column) -> Column:
     hexed = F.hex(b)
     big = F.concat(*(F.substring(hexed, 15 - 2 * i, 2) for i in range(8)))
     unsigned = F.conv(big, 16, 10).cast("decimal(20,0)")
-    return F.when(unsigned >= F.lit(2**63), unsigned - F.lit(2**64)).otherwise(unsigned).cast("long")
+    top, all_ = F.lit(str(2**63)).cast("decimal(20,0)"), F.lit(str(2**64)).cast("decimal(20,0)")
+    return F.when(unsigned >= top, unsigned - all_).otherwise(unsigned).cast("long")
 
 
 def checkpoint_offset(msg_id: Column) -> Column:
