@@ -241,7 +241,7 @@ def _passages(raw: np.ndarray, off: np.ndarray, shared: np.ndarray, length: int,
         hit = shared[np.minimum(np.searchsorted(shared, own), len(shared) - 1)] == own
         if hit.any():
             text, s, n = text[hit], s[hit], n[hit]
-            found.append((text, at + s, n, common.mix(h[hit]), _contents(raw[at : at + len(keys) + length], s, s + n)))
+            found.append((text, at + s, n, common.mix(h[hit]), _contents(raw[at : at + len(keys) + length - 1], s, s + n)))
     return [np.concatenate(x) for x in zip(*found, strict=True)] if found else None
 
 
