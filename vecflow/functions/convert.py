@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
 def to_bool(c: Column, kind: str) -> Column:
@@ -72,8 +74,8 @@ def convert_untyped(c: Column, kind: str, enum: dict[str, int] | None = None) ->
     return c if kind in ("integer", "floating", "boolean", "string", "bytes") else F.to_json(c)
 
 
-@F.pandas_udf("binary")
-def pack_f32(v):
+@F.pandas_udf(BinaryType())
+def pack_f32(v: pd.Series) -> pd.Series:
     return v.map(lambda x: None if x is None else x.astype("<f4").tobytes())
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
 
 #: Bytes of one vector by field type, as a function of its dimension: fixed values.
 WIDTHS = {"BinaryVector": lambda d: -(-d // 8), "Int8Vector": lambda d: d, "Float16Vector": lambda d: 2 * d, "BFloat16Vector": lambda d: 2 * d}
@@ -30,25 +31,25 @@ def vector_width(kind: str, dim: int) -> int:
     return WIDTHS[kind](dim)
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def unpack_f32(b: pd.Series) -> pd.Series:
     """Little-endian 32-bit floats."""
     return b.map(lambda x: None if x is None else np.frombuffer(x, "<f4", len(x) // 4))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def unpack_f16(b: pd.Series) -> pd.Series:
     """Little-endian 16-bit floats."""
     return b.map(lambda x: None if x is None else np.frombuffer(x, "<f2", len(x) // 2).astype("f4"))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def unpack_bf16(b: pd.Series) -> pd.Series:
     """bfloat16: the upper halves of 32-bit floats."""
     return b.map(lambda x: None if x is None else (np.frombuffer(x, "<u2", len(x) // 2).astype("<u4") << 16).view("<f4"))
 
 
-@F.pandas_udf("array<struct<k: bigint, v: float>>")
+@F.pandas_udf(ArrayType(StructType([StructField("k", LongType()), StructField("v", FloatType())])))
 def unpack_sparse(b: pd.Series) -> pd.Series:
     """Entries of an unsigned 32-bit index and a 32-bit float, little-endian; trailing bytes are ignored."""
 

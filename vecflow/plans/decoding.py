@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructType
 
 from vecflow import fixtures
 from vecflow.functions import tso as T
@@ -340,13 +341,13 @@ def unpack_vectors(spark, sf_dir):
     return d.select("vec_id", F.size("v").cast("long").alias("n"), F.element_at("v", 1).alias("first"), F.element_at("v", -1).alias("last"), F.element_at("s", 1)["k"].cast("int").alias("sparse_key"))
 
 
-@F.pandas_udf("binary")
-def pack_f32(v):
+@F.pandas_udf(BinaryType())
+def pack_f32(v: pd.Series) -> pd.Series:
     return v.map(lambda x: x.astype("<f4").tobytes())
 
 
-@F.pandas_udf("binary")
-def pack_sparse(label):
+@F.pandas_udf(BinaryType())
+def pack_sparse(label: pd.Series) -> pd.Series:
     import struct
 
     return label.map(lambda x: struct.pack("<If", 2 * int(x), 0.5) + b"\0\0\0")
