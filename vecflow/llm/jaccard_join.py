@@ -55,6 +55,11 @@ def shingle_set(raw: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     return np.unique(common.shingle_hashes(common.word_hashes(*common.words(raw)), k))
 
 
+def set_name(s: np.ndarray, seed: int) -> int:
+    """A 64-bit sum over the set's mixed hashes."""
+    return int(np.add.reduce(common.mix(s ^ _SEEDS[seed])).view(np.int64))
+
+
 def _draws(s: np.ndarray, runs: int, rate: float) -> list[list[int]]:
     """The shingles that a set draws in each run."""
     top = np.uint64(min(2**64 - 1, int(rate / len(s) * 2**64)))
@@ -73,9 +78,7 @@ def _sets(docs: DataFrame, k: int, runs: int, rate: float) -> DataFrame:
                 if not len(s) or doc_id is None:
                     rows.append((doc_id, len(s), None, None, []))
                     continue
-                # two sums over mixed hashes: 128 bits that name the set
-                a, b = (int(np.add.reduce(common.mix(s ^ x)).view(np.int64)) for x in (_SEEDS[254], _SEEDS[255]))
-                rows.append((doc_id, len(s), a, b, _draws(s, runs, rate)))
+                rows.append((doc_id, len(s), set_name(s, 254), set_name(s, 255), _draws(s, runs, rate)))
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True) if rows else [[]] * 5, schema, strict=True)], schema=schema)
 
     return docs.mapInArrow(run, "doc_id long, n long, a long, b long, draws array<array<long>>")
@@ -187,9 +190,10 @@ def _pairs_by_bucket(threshold: float):
         now, held = None, []
 
         def close():
-            sets = [np.frombuffer(r[4], "<u8") for r in held]
-            keys = [np.array(r[3], np.int64) for r in held]
-            got = links_of(np.array([r[1] for r in held], np.int64), sets, keys, np.array([r[5] for r in held]), held[0][2], threshold)
+            once = list({r[1]: r for r in held}.values())  # repeated rows of a document
+            sets = [np.frombuffer(r[4], "<u8") for r in once]
+            keys = [np.array(r[3], np.int64) for r in once]
+            got = links_of(np.array([r[1] for r in once], np.int64), sets, keys, np.array([r[5] for r in once]), once[0][2], threshold)
             return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in got], ["id", "links", "root"])
 
         for batch in batches:
@@ -213,16 +217,19 @@ def _send_sets(k: int, small: int):
         for batch in batches:
             raw, off = common.utf8_column(batch.column(1))
             rows: list[tuple] = []
-            for i, (doc_id, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                s = shingle_set(raw[off[i] : off[i + 1]], k).tobytes()
+            for i, (set_id, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                s = shingle_set(raw[off[i] : off[i + 1]], k)
+                if not len(s) or set_name(s, 254) != set_id:  # another text under the same doc_id
+                    continue
+                s = s.tobytes()
                 keys = sorted(x["bucket"] for x in own)
                 for x in own:
                     n = max(1, -(-2 * x["members"] // small)) if x["members"] > small else 1
-                    mine = int(common.mix(np.array([doc_id], np.int64).view(np.uint64))[0] % np.uint64(n))
+                    mine = int(common.mix(np.array([set_id], np.int64).view(np.uint64))[0] % np.uint64(n))
                     for other in range(n):
                         lo, hi = min(mine, other), max(mine, other)
                         part = x["bucket"] if n == 1 else int(common.mix(np.array([x["bucket"]], np.int64).view(np.uint64) + np.uint64(lo * n + hi + 1)).view(np.int64)[0])
-                        rows.append((part, doc_id, x["bucket"], keys, s, mine))
+                        rows.append((part, set_id, x["bucket"], keys, s, mine))
                 if len(rows) >= 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
@@ -258,15 +265,17 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
     n = common.partitions(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = common.written(_sets(d, shingle, runs, rate), "sets")
-    reps = common.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.min_by("draws", "doc_id").alias("draws")), "classes")
+    reps = common.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.any_value("draws").alias("draws")).withColumn("id", F.col("a")), "classes")
     buckets = common.written(_named_once(_buckets(reps, runs, small, depth)), "buckets")
-    own = buckets.groupBy("id").agg(F.collect_set(F.struct("bucket", "members")).alias("own"))
-    sent = d.join(own.withColumnRenamed("id", "doc_id").hint("shuffle_hash"), "doc_id").mapInArrow(_send_sets(shingle, small), "part long, id long, bucket long, keys array<long>, shingles binary, block int")
+    own = buckets.groupBy("id").agg(F.collect_set(F.struct("bucket", "members")).alias("own")).join(reps.select("id", "doc"), "id")
+    own = own.select(F.col("doc").alias("doc_id"), "id", "own").hint("shuffle_hash")
+    sent = d.join(own, "doc_id").select("id", "text", "own").mapInArrow(_send_sets(shingle, small), "part long, id long, bucket long, keys array<long>, shingles binary, block int")
     met = sent.repartition(2 * n, "part").sortWithinPartitions("part").mapInArrow(_pairs_by_bucket(threshold), "id long, links long, root long")
     met = common.written(met, "links")
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = reps.select("a", "b", "n", "id", "copies").join(links, "id", "left").join(components(met), "id", "left")
-    classes = classes.select("a", "b", "n", F.coalesce("root", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies"))
+    rooted = reps.select("a", "b", "n", "id", "doc", "copies").join(links, "id", "left").join(components(met), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    first = rooted.groupBy("root").agg(F.min("doc").alias("class_id"))
+    classes = rooted.join(first, "root").select("a", "b", "n", "class_id", F.coalesce("links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies"))
     out = sets.select("doc_id", "a", "b", "n").join(classes, ["a", "b", "n"], "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.col("n").alias("n_shingles"))
 

@@ -6,7 +6,7 @@ transitions that accept exactly the strings that occur in it. ``max_languages``
 with the most labelled documents first.
 
 Prediction: the text is parsed with each automaton into phrases, each the longest match from where the last one
-ended. Few phrases mean that long stretches of the text also occur in the sample: phrases * log2(sample length) /
+ended; a letter that the sample lacks opens a phrase. Few phrases mean that long stretches of the text also occur in the sample: phrases * log2(sample length) /
 characters estimates the cross entropy. Samples are cut to the same length, so the normalised phrase count decides;
 ties go to the first language by name. The score is 1 - best / second best, which is 0 where two languages parse alike
 and near 1 where one parses far better (1 with a single language).
@@ -147,12 +147,12 @@ class Parser:
             for k, table in enumerate(self.model.tables):
                 flat, width = table.reshape(-1), table.shape[1]
                 state = np.zeros(len(idx), np.int64)
-                n = np.ones(len(idx), np.int64)
+                n = np.zeros(len(idx), np.int64)
                 for step in range(size[0]):
                     m = live[step]
                     to = flat.take(state[:m] * width + grid[step, :m])
                     anew = to < 0
-                    n[:m] += anew
+                    n[:m] += anew if step else 1
                     state[:m] = np.where(anew, ~to, to)
                 np.add.at(total[:, k], mine, n)
         return total
