@@ -42,14 +42,17 @@ SSN = (898, 99 * 9999)
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Patterns in the order in which they are tried at a place: fixed values.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:1[89]|2[01])[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:1[89]|2[01])[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:1[89]|2[01])[0-9]{2})(?![0-9A-Za-z/-])",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": r"(?<![0-9A-Za-z+])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|\+[0-9]{8,15})(?![0-9A-Za-z])",
 }
-ANY = "|".join(PATTERNS.values())
+#: All kinds but the first start with a digit, + or (: other places are passed at once.
+ANY = PATTERNS["email"] + "|(?=[0-9+(])(?:" + "|".join(p for k, p in PATTERNS.items() if k != "email") + ")"
+#: Texts with none of these hold nothing to find.
+SOME = "[0-9@]"
 KINDS = ("email", "card", "ip", "ssn", "phone", "date")
 _AZ, _DIGITS26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 
@@ -232,7 +235,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = T
     found = F.transform(found, lambda p: F.struct(p["kind"].alias("kind"), pseudonym(p["match"], p["kind"], f).alias("text")))
     gaps = F.split(t, ANY, -1)
     both = F.struct(gaps.alias("gaps"), found.alias("found"))
-    d = docs.withColumn("__pii", F.when(t.rlike(ANY), both))
+    d = docs.withColumn("__pii", F.when(t.rlike(SOME) & t.rlike(ANY), both))
     put = F.zip_with(F.slice("__pii.gaps", 1, F.size("__pii.found")), F.col("__pii.found"), lambda g, p: F.concat(g, p["text"]))
     new = F.concat(F.array_join(put, ""), F.element_at("__pii.gaps", -1))
 
