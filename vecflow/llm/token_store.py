@@ -71,7 +71,7 @@ def _tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
 
     def run(batches):
-        enc, z = tokens.encoder(tokenizer), zstandard.ZstdCompressor(level=3)
+        enc, z = tokens.encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             n, packed = [], []
             for text in tokens.texts(batch.column(1)):
@@ -94,7 +94,7 @@ _BLOCK_SQL = "shard int, block int, before long, total long, doc_ids binary, no_
 
 def _blocks(batches):
     """Blocks of rows (shard, doc_id, n, packed) that come sorted by shard and document."""
-    z = zstandard.ZstdCompressor(level=3)
+    z = zstandard.ZstdCompressor(level=1)
     shard, block, before, held, size = None, 0, 0, [], 0
 
     def close():

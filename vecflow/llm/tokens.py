@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -22,13 +23,17 @@ class _Remembered(dict):
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.space = self.letters[32]
 
     def __missing__(self, form: str) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        spelt = form.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        ids = np.fromiter((t.id for t in self.model.tokenize(spelt)), "<u4").tobytes()
-        self[form] = ids
+        if form.isascii() and form[1:].isalnum():  # only the first character can be a space
+            spelt = self.space + form[1:] if form[0] == " " else form
+        else:
+            spelt = form.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        # little-endian as all of Spark's platforms
+        ids = self[form] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
         return ids
 
 
