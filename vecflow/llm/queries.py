@@ -16,7 +16,7 @@ _QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_url_filters": urlfilter.op10_url_filters,
 }
-_SQL: dict[str, str] = {"op5_decontamination": decontam.OP5_SQL, "op10_url_filters": urlfilter.OP10_SQL}
+_SQL: dict[str, str] = {"op5_decontamination": decontam.OP5_SQL, "op6_secret_scans": secrets.OP6_SQL, "op10_url_filters": urlfilter.OP10_SQL}
 
 
 def queries() -> dict:

@@ -121,3 +121,54 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def op6_secret_scans(spark, sf_dir: str) -> DataFrame:
     return scan(common.table(spark, sf_dir, "documents"))
+
+
+# the same in SQL: matches are found by extracting them and splitting at them; entropy is worked out for every window
+
+_DUCK_ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
+_DUCK_VALUE = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _found(kind: str, pattern: str) -> str:
+    """SELECT doc_id, kind, start, stop, m of a pattern's matches."""
+    p = _quoted(pattern)
+    gaps = f"list_transform(regexp_split_to_array(t, {p}), lambda x: length(x))"
+    m = f"regexp_extract_all(t, {p})"
+    return f"""SELECT doc_id, '{kind}' AS kind, CAST(list_sum(g[1:i]) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start, ms[i] AS m
+  FROM (SELECT doc_id, g, ms, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT doc_id, {gaps} AS g, {m} AS ms FROM d WHERE regexp_matches(t, {p})))"""
+
+
+def _sql() -> str:
+    allowed = " OR ".join(f"regexp_matches(m, {_quoted(a)})" for a in ALLOWED)
+    w = WINDOW
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  SELECT *, start + length(m) AS stop, 0 AS o FROM ({_found("assign", _DUCK_ASSIGN)}) WHERE length(regexp_extract(m, {_quoted(_DUCK_VALUE)}, 1)) >= {ASSIGN_VALUE}
+  UNION ALL SELECT *, start + length(m), 1 FROM ({_found("access", ACCESS)})
+  UNION ALL SELECT *, start + length(m), 2 FROM ({_found("hex", HEX)})
+), cand AS (SELECT *, start + length(m) AS stop, row_number() OVER () AS c FROM ({_found("entropy", CANDIDATE)}) WHERE NOT ({allowed})),
+wins AS (SELECT c, m, i, substring(m, i, {w}) AS w FROM (SELECT c, m, unnest(range(1, length(m) - {w} + 2)) AS i FROM cand)),
+chars AS (SELECT c, i, ch, count(*) AS n FROM (SELECT c, i, substring(w, k, 1) AS ch FROM wins, range(1, {w + 1}) r(k)) GROUP BY ALL),
+best AS (SELECT c, max(h) AS h FROM (SELECT c, i, log2({w}) - sum(n * log2(n)) / {w} AS h FROM chars GROUP BY c, i) GROUP BY c),
+ent AS (
+  SELECT doc_id, kind, start, m, stop, 3 AS o FROM cand JOIN best USING (c)
+  WHERE h >= CASE WHEN regexp_matches(m, '^[0-9a-fA-F]+$') THEN {THRESHOLDS["hex"]} WHEN regexp_matches(m, '^[A-Za-z0-9]+$') THEN {THRESHOLDS["alnum"]} ELSE {THRESHOLDS["base64"]} END
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = cand.doc_id AND b.start < cand.stop AND cand.start < b.stop)
+), everything AS (SELECT * FROM base UNION ALL SELECT * FROM ent),
+agg AS (
+  SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex, count(*) FILTER (o = 3) AS n_entropy,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) FILTER (o < 3) AS b, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS s
+  FROM everything GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_entropy, 0) AS n_entropy,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(s, '') AS spans
+FROM d LEFT JOIN agg USING (doc_id)
+"""
+
+
+OP6_SQL = _sql()
