@@ -14,8 +14,9 @@ No single suffix array could hold the corpus, so the suffix order is built in pa
 2. Passages. Strings in a row with the same shared anchor make up one passage of at most 2 * length - GRAM bytes; it is
    sent to the bucket of its anchor. Equal passages of one batch are sent once, for the smallest doc_id; for the other
    documents of the batch they are removed at once.
-3. Suffix order. Each bucket, in parts of about PART bytes with no anchor in two of them, sorts all positions of its
-   passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and reports
+3. Suffix order. Each bucket, in parts of about PART bytes with no anchor in two of them, sets equal passages of
+   different batches aside in the same way, and passages whose anchor has no other one; it then sorts all positions of the
+   other passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and reports
    strings with an earlier match as spans of documents.
 4. Spans of a document are merged and cut out.
 
@@ -45,6 +46,8 @@ GRAM = 20
 #: Bytes that are hashed at once; positions in them take 16 bits of a key, the hash the other 48.
 SEGMENT = 1 << 16
 _POS = np.uint64(SEGMENT - 1)
+#: Anchors that are gathered in a task before they are sent (16 bytes each), about.
+STRETCH = 1 << 21
 #: Bytes of passages that are ordered at once, about.
 PART = 1 << 19
 #: Positions that one suffix order holds at most; larger buckets are ordered with wider keys.
@@ -127,41 +130,47 @@ def _load(blob: bytes):
 
 
 def _send_anchors(n_buckets: int, length: int, gram: int):
-    """Rows (bucket, doc_id, payload): anchors of a batch by bucket, and settled ones by document (bucket below 0)."""
+    """Rows (bucket, doc_id, payload): anchors of a stretch of batches by bucket, and settled ones by document (bucket below 0)."""
+
+    def send(h: np.ndarray, doc: np.ndarray):
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        once = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))
+        h, doc = h[once], doc[once]
+        starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        many = np.diff(np.append(starts, len(h)))
+        settled, many = np.repeat(many > 1, many), many > 1
+        yield _settled(doc[settled], h[settled], n_buckets)
+        # the smallest document of each anchor stands for the stretch
+        h, doc = h[starts], doc[starts]
+        bucket = (h >> np.uint64(16)) % np.uint64(n_buckets)
+        by = np.argsort(bucket, kind="stable")
+        h, doc, many, bucket = h[by], doc[by], many[by], bucket[by]
+        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        rows = []
+        for a, b in zip(cut, np.append(cut[1:], len(h)), strict=True):
+            named, code = np.unique(doc[a:b], return_inverse=True)
+            rows.append(pickle.dumps((_pack6(h[a:b]), named.astype(np.int64), code.astype(np.uint16 if len(named) < 1 << 16 else np.uint32), np.packbits(many[a:b])), protocol=5))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.nulls(len(rows), pa.int64()), common.blobs(rows)], ["bucket", "doc_id", "payload"])
 
     def run(batches):
+        hashes: list[np.ndarray] = []
+        docs: list[np.ndarray] = []
+        n = 0
         for batch in batches:
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             raw, off = common.utf8_column(batch.column(1))
-            hashes, owners = [], []
             for at, valid, keys in anchors(raw, off, length, gram):
                 k = keys[valid]
                 first = np.flatnonzero(np.concatenate(([len(k) > 0], k[1:] != k[:-1])))
                 hashes.append(k[first] & ~_POS)
-                owners.append(np.searchsorted(off, at + valid[first], "right") - 1)
-            if not hashes:
-                continue
-            h, doc = np.concatenate(hashes), ids[np.concatenate(owners)]
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
-            once = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))
-            h, doc = h[once], doc[once]
-            first = np.concatenate(([True], h[1:] != h[:-1]))
-            starts = np.flatnonzero(first)
-            many = np.diff(np.append(starts, len(h)))
-            settled, many = np.repeat(many > 1, many), many > 1
-            yield _settled(doc[settled], h[settled], n_buckets)
-            # the smallest document of each anchor stands for the batch
-            h, doc, many = h[starts], doc[starts], many
-            bucket = (h >> np.uint64(16)) % np.uint64(n_buckets)
-            by = np.argsort(bucket, kind="stable")
-            h, doc, many, bucket = h[by], doc[by], many[by], bucket[by]
-            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-            rows = []
-            for a, b in zip(cut, np.append(cut[1:], len(h)), strict=True):
-                named, code = np.unique(doc[a:b], return_inverse=True)
-                rows.append(pickle.dumps((_pack6(h[a:b]), named.astype(np.int64), code.astype(np.uint16 if len(named) < 1 << 16 else np.uint32), np.packbits(many[a:b])), protocol=5))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.nulls(len(rows), pa.int64()), common.blobs(rows)], ["bucket", "doc_id", "payload"])
+                docs.append(ids[np.searchsorted(off, at + valid[first], "right") - 1])
+                n += len(first)
+            if n >= STRETCH:
+                yield from send(np.concatenate(hashes), np.concatenate(docs))
+                hashes, docs, n = [], [], 0
+        if n:
+            yield from send(np.concatenate(hashes), np.concatenate(docs))
 
     return run
 
@@ -366,7 +375,10 @@ def earlier_matches(raw: np.ndarray, starts: np.ndarray, doc: np.ndarray, length
     smaller one; it reaches ``length`` exactly if both have the same rank by ``length`` bytes.
     """
     rank = prefix_ranks(raw, length)[starts]
-    order = np.lexsort((starts, rank))
+    if len(rank) <= 1 << 32:
+        order = (np.sort(rank << np.uint64(32) | np.arange(len(rank), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    else:
+        order = np.argsort(rank, kind="stable")
     r, d = rank[order], doc[order]
     hit = np.zeros(len(order), bool)
     for near in (nearest_smaller(d), nearest_smaller(d, reverse=True)):
@@ -376,6 +388,20 @@ def earlier_matches(raw: np.ndarray, starts: np.ndarray, doc: np.ndarray, length
     return out
 
 
+def _passage_names(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of passages' bytes, by stretches of about SEGMENT bytes."""
+    out = np.empty(len(start), np.uint64)
+    ends = np.cumsum(size)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + SEGMENT, "right")))
+        n = size[i:j]
+        s = np.cumsum(n) - n
+        out[i:j] = _contents(raw[_ranges(start[i:j], n)], s, s + n)
+        i = j
+    return out
+
+
 def _removed(length: int):
     def run(payloads):
         parts = [_load(p) for p in payloads]
@@ -390,6 +416,24 @@ def _removed(length: int):
         cut = np.flatnonzero(np.concatenate(([True], group[by][1:] != group[by][:-1])))
         for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
             own = np.sort(by[a:b])
+            # equal passages of other batches: the smallest document keeps it, the others lose all of it
+            same = _passage_names(raw, first[own], size[own])
+            order = np.lexsort((doc[own], same))
+            own, same = own[order], same[order]
+            new = np.concatenate(([True], same[1:] != same[:-1]))
+            late = doc[own] != doc[own][np.flatnonzero(new)][np.cumsum(new) - 1]
+            if late.any():
+                gone = own[late]
+                t = times[gone]
+                at = place[_ranges(begin[gone], t)]
+                out = _spans_by_doc(np.repeat(doc[gone], t), np.stack((at, at + np.repeat(size[gone], t)), axis=1), lambda d: d * 0)
+                yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "spans"])
+            # an anchor with one passage left has nothing to be compared with
+            own = own[~late]
+            _, code, held = np.unique(key[own], return_inverse=True, return_counts=True)
+            own = np.sort(own[held[code] > 1])
+            if not len(own):
+                continue
             n = size[own] - length + 1
             here = np.cumsum(size[own]) - size[own]
             within = _ranges(np.zeros(len(own), np.int64), n)
@@ -451,7 +495,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
     common.bound_batches(spark)
     n = 2 * common.partitions(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sent = d.where("doc_id is not null and text is not null").mapInArrow(_send_anchors(n, length, gram), "bucket int, doc_id long, payload binary")
+    # many small buckets, so that a bucket holds few anchors of a document whatever the size
+    sent = d.where("doc_id is not null and text is not null").mapInArrow(_send_anchors(4 * n, length, gram), "bucket int, doc_id long, payload binary")
     shared = _dealt(sent, n, _shared_anchors, "hashes")
     passages = d.join(shared.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_send_passages(n, length, gram), "bucket int, doc_id long, payload binary")
     spans = _dealt(passages, n, _removed(length), "spans")
