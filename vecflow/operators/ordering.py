@@ -75,17 +75,21 @@ class Ordered:
     """The solution for one log: seen, marks (watermarks) and events (with g_before and late)."""
 
     def __init__(self, log: DataFrame, most_passes: int = 50):
-        ticks, events = ticks_of(log), log.where(F.col("kind") != TICK)
+        # ticks are few next to events, and every pass needs them more than once
+        ticks, events = ticks_of(log).persist(), log.where(F.col("kind") != TICK)
         self.ticks = ticks
+        self.marks = None
         seen, state = first_seen(log), None
         for _ in range(most_passes):
             self.seen = seen = _kept(seen)
             now = seen.agg(F.count("*"), F.sum(F.xxhash64("pchannel", "vchannel", "p0", "by_event") % 1_000_003)).first()
-            self.marks = watermarks(ticks, seen)
-            self.events = with_watermark(events, self.marks)
             if now == state:
                 return
             state = now
+            if self.marks is not None:
+                self.marks.unpersist()
+            self.marks = watermarks(ticks, seen).persist()
+            self.events = with_watermark(events, self.marks)
             on_time = self.events.where("not late").select("pchannel", "vchannel", "p", "kind")
             seen = first_seen(on_time.unionByName(ticks.select("pchannel", "vchannel", "p", F.lit(TICK).alias("kind"))))
         raise RuntimeError("the late set did not settle")
@@ -98,7 +102,7 @@ class Ordered:
 
 def _kept(df: DataFrame) -> DataFrame:
     """A small table held by value: first sightings, one row for each virtual channel."""
-    return df.sparkSession.createDataFrame(df.toArrow()) if df.schema else df
+    return df.sparkSession.createDataFrame(df.toArrow())
 
 
 def in_order(events: DataFrame) -> DataFrame:
