@@ -119,7 +119,7 @@ def _unpack6(b: bytes) -> np.ndarray:
 
 
 def _dump(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, protocol=5))
 
 
 def _load(blob: bytes):
@@ -282,7 +282,7 @@ def _send_passages(n_buckets: int, length: int, gram: int):
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(doc)))
             bucket = (key[first] % np.uint64(n_buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
+            by = np.lexsort((place[first], doc[first], bucket))  # ids that rise take less room
             cut = np.flatnonzero(np.concatenate(([True], bucket[by][1:] != bucket[by][:-1])))
             payloads = []
             for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
