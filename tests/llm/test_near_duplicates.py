@@ -83,6 +83,28 @@ def test_join(spark, small):
     assert Counter(tuple(r) for r in got.collect()) == slow_join(rows)
 
 
+def test_recall_of_split_buckets(spark):
+    """Buckets larger than ``small`` that each split about halves, at production recall: pairs from 0.8 on, sets within sets."""
+    rng = np.random.default_rng(21)
+    lines = [text(rng, 12) for _ in range(40)]
+    rows = []
+    for _ in range(40):
+        mine = " ".join(lines[i] for i in sorted(rng.choice(40, 20, replace=False))).split()
+        rows += [(len(rows) + i, " ".join(mine[:n])) for i, n in enumerate((240, 216, 194))]
+    got = jj.join(frame(spark, [(i, t, None) for i, t in rows]), small=3)
+    assert Counter(tuple(r) for r in got.collect()) == slow_join(rows)
+
+
+def test_runs():
+    """The worst pair at the threshold (a set within another) is missed with 1 - recall at most."""
+    none = np.exp(-jj.RATE * jj.THRESHOLD)
+    assert none ** jj.runs_for() <= 1 - jj.RECALL
+    q = 0
+    for _ in range(jj.DEPTH):
+        q = np.exp(-jj.RATE * jj.THRESHOLD * (1 - q))
+    assert none ** jj.runs_for() + q ** (jj.runs_for() + jj.more_runs_for()) <= 1 - jj.RECALL
+
+
 def test_one_of_each(spark):
     rows = case()
     docs = frame(spark, [(i, t, None) for i, t in rows])

@@ -6,10 +6,14 @@ and are joined as one (the smallest doc_id stands for them), so copies cost one
 
 The join: in each of ``runs`` runs a set draws those of its shingles whose hash falls below ``RATE`` / size, and goes
 into the bucket of each: similar sets draw the same shingles. A bucket of more than ``SMALL`` sets is split further, by
-the pair of its path and each shingle of the set's next draw, up to ``DEPTH`` times, but not if that leaves it as large
-as it was. Small buckets are compared by brute force, all pairs, on whole sets. Two sets at the threshold meet in a run
-with probability 1 - exp(-RATE * 2t / (1 + t)); ``runs`` is chosen so that the part of links that never meet is at most
-1 - ``recall`` (for buckets that are split, a few times that).
+the pair of its path and each shingle whose hash with that path falls below ``RATE`` / size, to ``DEPTH`` shingles at
+most, but not if that leaves it as large as it was. Small buckets are compared by brute force, all pairs, on whole sets.
+
+Recall: two sets at the threshold t share RATE * t draws of a path or more, on average (the worst case is a set within
+another), and draws of different paths are independent. So they share none in a run with probability a = exp(-RATE * t)
+at most, and no path that lives through all splits with probability q at most, q = exp(-RATE * t * (1 - q)) applied
+DEPTH times from 0. All sets take ``runs`` runs; sets of split buckets take ``more`` further ones, so that two sets that
+share a split bucket both do. The part of links that never meet, a^runs + q^(runs + more), is at most 1 - ``recall``.
 
 * Buckets that no split makes small are cut into blocks, and each pair of blocks is compared by itself: exact, in
   bounded memory, whatever the size.
@@ -42,12 +46,23 @@ RATE = 2.0
 RECALL = 0.999999
 SMALL = 4096
 DEPTH = 4
+#: Sets of split buckets that are broadcast at most (16 bytes each).
+COUNTED = 200_000
 _SEEDS = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64)
 
 
 def runs_for(threshold: float = THRESHOLD, recall: float = RECALL, rate: float = RATE) -> int:
-    meet = 1 - math.exp(-rate * 2 * threshold / (1 + threshold))
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+    """Runs of all sets: a pair at the threshold shares no draw with nine tenths of 1 - recall at most."""
+    return max(1, math.ceil(math.log(0.9 * (1 - recall)) / (-rate * threshold)))
+
+
+def more_runs_for(threshold: float = THRESHOLD, recall: float = RECALL, rate: float = RATE, depth: int = DEPTH) -> int:
+    """Further runs of sets whose buckets are split: what splits lose fits into the rest of 1 - recall."""
+    runs, q = runs_for(threshold, recall, rate), 0.0
+    for _ in range(depth):
+        q = math.exp(-rate * threshold * (1 - q))
+    rest = 1 - recall - math.exp(-rate * threshold * runs)
+    return max(0, math.ceil(math.log(rest) / math.log(q)) - runs)
 
 
 def shingle_set(raw: np.ndarray, k: int = SHINGLE) -> np.ndarray:
@@ -60,10 +75,15 @@ def set_name(s: np.ndarray, seed: int) -> int:
     return int(np.add.reduce(common.mix(s ^ _SEEDS[seed])).view(np.int64))
 
 
+def _drawn(s: np.ndarray, seed: np.uint64, rate: float) -> list[int]:
+    """The shingles that a set draws under a seed."""
+    top = np.uint64(min(2**64 - 1, int(rate / len(s) * 2**64)))
+    return s[common.mix(s ^ seed) <= top].view(np.int64).tolist()
+
+
 def _draws(s: np.ndarray, runs: int, rate: float) -> list[list[int]]:
     """The shingles that a set draws in each run."""
-    top = np.uint64(min(2**64 - 1, int(rate / len(s) * 2**64)))
-    return [s[common.mix(s ^ _SEEDS[r]) <= top].view(np.int64).tolist() for r in range(runs)]
+    return [_drawn(s, _SEEDS[r], rate) for r in range(runs)]
 
 
 def _sets(docs: DataFrame, k: int, runs: int, rate: float) -> DataFrame:
@@ -84,27 +104,93 @@ def _sets(docs: DataFrame, k: int, runs: int, rate: float) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, a long, b long, draws array<array<long>>")
 
 
-def _buckets(reps: DataFrame, runs: int, small: int, depth: int) -> DataFrame:
+def _next_draws(k: int, rate: float):
+    """Rows (id, path, above, token) of rows (id, text, paths): each path's own draw of each set."""
+    schema = pa.schema([(c, pa.int64()) for c in ("id", "path", "above", "token")])
+
+    def run(batches):
+        for batch in batches:
+            raw, off = common.utf8_column(batch.column(1))
+            rows: list[tuple] = []
+            for i, (set_id, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                s = shingle_set(raw[off[i] : off[i + 1]], k)
+                for x in own:
+                    seed = common.mix(np.array([x["path"]], np.int64).view(np.uint64) ^ _SEEDS[253])[0]
+                    rows += [(set_id, x["path"], x["above"], token) for token in _drawn(s, seed, rate)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (zip(*rows, strict=True) if rows else [[]] * 4)], schema=schema)
+
+    return run
+
+
+def _split_texts(docs: DataFrame, ids: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """(id, text): one text of each set of ids(id)."""
+
+    def run(batches):
+        for batch in batches:
+            raw, off = common.utf8_column(batch.column(1))
+            # another text under the same doc_id goes
+            sets = [shingle_set(raw[off[i] : off[i + 1]], k) for i in range(batch.num_rows)]
+            same = [len(s) > 0 and set_name(s, 254) == set_id for s, set_id in zip(sets, batch.column(0).to_pylist(), strict=True)]
+            yield batch.filter(pa.array(same, pa.bool_()))
+
+    doc = common.written(reps.select("id", F.col("doc").alias("doc_id")).join(ids.distinct(), "id", "left_semi"), "split-ids")
+    # few of them: the texts stay where they are
+    found = docs.join(doc.hint("broadcast" if doc.count() <= COUNTED else "shuffle_hash"), "doc_id").select("id", "text").mapInArrow(run, "id long, text string")
+    return common.written(found.groupBy("id").agg(F.min("text").alias("text")), "split")
+
+
+def _more_draws(texts: DataFrame, k: int, runs: int, more: int, rate: float) -> DataFrame:
+    """(id, run, token) of the further runs of texts(id, text)."""
+    schema = pa.schema([(c, pa.int64()) for c in ("id", "run", "token")])
+
+    def run(batches):
+        for batch in batches:
+            raw, off = common.utf8_column(batch.column(1))
+            rows: list[tuple] = []
+            for i, set_id in enumerate(batch.column(0).to_pylist()):
+                s = shingle_set(raw[off[i] : off[i + 1]], k)
+                for r in range(runs, runs + more):
+                    rows += [(set_id, r, token) for token in _drawn(s, _SEEDS[r], rate)]
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (zip(*rows, strict=True) if rows else [[]] * 3)], schema=schema)
+
+    return texts.mapInArrow(run, "id long, run long, token long").select("id", F.col("run").cast("int").alias("run"), "token")
+
+
+def _buckets(docs: DataFrame, reps: DataFrame, k: int, runs: int, more: int, rate: float, small: int, depth: int) -> DataFrame:
     """(bucket, id, members): the leaves of all paths that hold more than one set."""
-    path = F.xxhash64("run", "token")
-    level = reps.select("id", F.posexplode("draws").alias("run", "tokens")).select("id", "run", F.explode("tokens").alias("token")).select("id", "run", path.alias("path"), F.lit(None).cast("long").alias("above"))
-    done = None
-    for at in range(1, depth + 1):
-        level = common.written(level, f"paths{at}")
+
+    def leaves(level, at):
+        """(leaves, paths to split) of one level of paths(id, path, above)."""
         sizes = level.groupBy("path").agg(F.count("*").alias("members"), F.max("above").alias("was")).where("members > 1")
         sized = level.drop("above").join(sizes, "path")
-        last = at == depth
         # a path that holds nine tenths of the sets of the one above is not split again: brute force, in blocks
-        leaf = (F.col("members") <= small) | F.lit(last) | (F.coalesce(F.col("members") > 0.9 * F.col("was"), F.lit(False)))
-        here = sized.where(leaf).select(F.col("path").alias("bucket"), "id", "members")
-        done = here if done is None else done.unionByName(here)
-        if last:
-            break
-        large = common.written(sized.where(~leaf), f"large{at}")
-        if large.isEmpty():
-            break
-        token = F.explode(F.element_at("draws", (F.col("run") + at) % runs + 1))
-        level = large.join(reps.select("id", "draws"), "id").select("id", "run", F.col("path"), F.col("members").alias("above"), token.alias("token")).select("id", "run", F.xxhash64("path", "token").alias("path"), "above")
+        leaf = (F.col("members") <= small) | F.lit(at == depth) | (F.coalesce(F.col("members") > 0.9 * F.col("was"), F.lit(False)))
+        return sized.where(leaf).select(F.col("path").alias("bucket"), "id", "members"), sized.where(~leaf)
+
+    def first(tokens, name):
+        return common.written(tokens.select("id", F.xxhash64("run", "token").alias("path"), F.lit(None).cast("long").alias("above")), name)
+
+    tokens = reps.select("id", F.posexplode("draws").alias("run", "tokens")).select("id", "run", F.explode("tokens").alias("token"))
+    done, large = leaves(first(tokens, "paths1"), 1)
+    if depth == 1:
+        return done
+    large = common.written(large, "large1")
+    if large.isEmpty():
+        return done
+    texts = _split_texts(docs, large.select("id"), reps, k)
+    if more:
+        also, larger = leaves(first(_more_draws(texts, k, runs, more, rate), "paths-more"), 1)
+        done, large = done.unionByName(also), common.written(large.unionByName(larger), "large1")
+    for at in range(2, depth + 1):
+        own = large.groupBy("id").agg(F.collect_list(F.struct("path", F.col("members").alias("above"))).alias("paths"))
+        drawn = texts.join(own, "id").select("id", "text", "paths").mapInArrow(_next_draws(k, rate), "id long, path long, above long, token long")
+        level = common.written(drawn.select("id", F.xxhash64("path", "token").alias("path"), "above"), f"paths{at}")
+        here, large = leaves(level, at)
+        done = done.unionByName(here)
+        if at < depth:
+            large = common.written(large, f"large{at}")
+            if large.isEmpty():
+                break
     return done
 
 
@@ -170,7 +256,7 @@ def links_of(ids: np.ndarray, sets: list[np.ndarray], keys: list[np.ndarray], bl
     order = np.argsort(ids)
     ids, blocks, sets, keys = ids[order], blocks[order], [sets[i] for i in order], [keys[i] for i in order]
     ok = _first_met(keys, bucket)
-    if blocks.min() != blocks.max():  # a pair of different blocks: only pairs across them
+    if blocks.min() >= 0:  # a pair of different blocks: only pairs across them
         ok &= blocks[:, None] != blocks[None, :]
     np.fill_diagonal(ok, False)
     some = np.flatnonzero(ok.any(axis=0))
@@ -210,7 +296,7 @@ def _pairs_by_bucket(threshold: float):
 
 
 def _send_sets(k: int, small: int):
-    """Rows (part, id, bucket, buckets, shingles, block): a set for each part of each of its buckets."""
+    """Rows (part, id, bucket, buckets, shingles, block): a set for each part of each of its buckets; block -1 where all pairs count."""
     schema = pa.schema([("part", pa.int64()), ("id", pa.int64()), ("bucket", pa.int64()), ("keys", pa.list_(pa.int64())), ("shingles", pa.binary()), ("block", pa.int32())])
 
     def run(batches):
@@ -229,7 +315,7 @@ def _send_sets(k: int, small: int):
                     for other in range(n):
                         lo, hi = min(mine, other), max(mine, other)
                         part = x["bucket"] if n == 1 else int(common.mix(np.array([x["bucket"]], np.int64).view(np.uint64) + np.uint64(lo * n + hi + 1)).view(np.int64)[0])
-                        rows.append((part, set_id, x["bucket"], keys, s, mine))
+                        rows.append((part, set_id, x["bucket"], keys, s, -1 if lo == hi else mine))
                 if len(rows) >= 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
@@ -261,12 +347,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
     """One row per row of docs(doc_id, text): doc_id, class_id, n_links, n_copies, n_shingles."""
     spark = docs.sparkSession
     common.bound_batches(spark)
-    runs = runs_for(threshold, recall, rate)
+    runs, more = runs_for(threshold, recall, rate), more_runs_for(threshold, recall, rate, depth)
     n = common.partitions(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = common.written(_sets(d, shingle, runs, rate), "sets")
     reps = common.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.any_value("draws").alias("draws")).withColumn("id", F.col("a")), "classes")
-    buckets = common.written(_named_once(_buckets(reps, runs, small, depth)), "buckets")
+    buckets = common.written(_named_once(_buckets(d, reps, shingle, runs, more, rate, small, depth)), "buckets")
     own = buckets.groupBy("id").agg(F.collect_set(F.struct("bucket", "members")).alias("own")).join(reps.select("id", "doc"), "id")
     own = own.select(F.col("doc").alias("doc_id"), "id", "own").hint("shuffle_hash")
     sent = d.join(own, "doc_id").select("id", "text", "own").mapInArrow(_send_sets(shingle, small), "part long, id long, bucket long, keys array<long>, shingles binary, block int")
