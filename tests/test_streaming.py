@@ -119,6 +119,26 @@ def test_full_buffer_loses_nothing_and_stored_ticks_count(spark, tmp_path):
     assert [r.p for r in got if r.route == "late"] == [10]  # below the stored ticks
 
 
+def test_rows_of_one_message_all_come_out(spark, tmp_path):
+    rows = [(0, i, "Insert", "c", "v0", 100, f"row{i}") for i in (2, 0, 1)] + [(1, i, "Delete", "c", "v0", 100, f"key{i}") for i in (1, 0)]
+    want = ["key0", "key1", "row0", "row1", "row2"]
+    tick = (2, 0, "TimeTick", "c", "v0", 200, None)
+    for at, names in enumerate((S.INPUT.split(", "), [c for c in S.INPUT.split(", ") if c.split()[0] != "row_pos"])):
+        src, out, ck = (tmp_path / f"{name}{at}" for name in ("in", "out", "ck"))
+        spark.createDataFrame([*rows, tick], "p long, row_pos long, kind string, pchannel string, vchannel string, tso long, payload string").coalesce(1).write.json(str(src))
+        s = spark.readStream.schema(", ".join(names)).json(str(src))
+        q = S.order_stream(s, S.Options(10**9)).writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(ck)).trigger(processingTime="200 milliseconds").start()
+        try:
+            until = time.time() + 60
+            while sum(b["rows"] for b in S.heartbeats(q)) < 6 and time.time() < until:
+                time.sleep(0.3)
+        finally:
+            q.stop()
+        got = spark.read.parquet(str(out)).orderBy("seq").collect()
+        assert [r.seq for r in got] == [1, 2, 3, 4, 5]
+        assert [r.payload for r in got] == want if at == 0 else sorted(r.payload for r in got) == want
+
+
 def test_reference_cases():
     c = S.Channel({"v0": None, "v1": None}, 0, 0)
     assert not c.tick("v0", 105) and c.tick("v1", 100) and c.watermark == 100

@@ -1,7 +1,9 @@
 """Watermark ordering of a stream: exact and sequential within each physical channel, in parallel across channels.
 
 State of a channel (RocksDB): ticks of its virtual channels, the channel-level tick, the global watermark, the time of
-its last advance, and pending events keyed by (tso, rank, offset). Each micro-batch sorts a channel's rows by offset
+its last advance, and pending events keyed by (tso, rank, offset, row_pos): rows of one message share its
+offset and differ in row_pos (rows of a multi-row insert, keys of a delete). Rows that are alike in all four, as where
+the input has no row_pos, are numbered in order of arrival. Each micro-batch sorts a channel's rows by (offset, row_pos)
 and applies them one by one: late events go out at once with route "late", ticks release pending events in order with
 route "change". If the watermark has not advanced for ``stall_timeout_ms`` while events are pending, everything pending
 is released in order (route "forced") and the watermark rises to the highest of them. Where ``max_events`` or
@@ -22,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-INPUT = "p long, kind string, pchannel string, vchannel string, tso long, payload string"
-OUTPUT = "pchannel string, seq long, route string, p long, kind string, vchannel string, tso long, payload string, watermark long"
+INPUT = "p long, row_pos long, kind string, pchannel string, vchannel string, tso long, payload string"
+OUTPUT = "pchannel string, seq long, route string, p long, row_pos long, kind string, vchannel string, tso long, payload string, watermark long"
 NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
 
 
@@ -67,9 +69,9 @@ class Channel:
         return True
 
 
-def sort_key(tso: int, kind: str, p: int) -> bytes:
-    """Bytes that sort as (tso, deletes first, offset)."""
-    return struct.pack(">qBq", tso, kind != "Delete", p)
+def sort_key(tso: int, kind: str, p: int, row_pos: int = 0, again: int = 0) -> bytes:
+    """Bytes that sort as (tso, deletes first, offset, row of the message, number among rows alike)."""
+    return struct.pack(">qBqqq", tso, kind != "Delete", p, row_pos, again)
 
 
 class Orderer(StatefulProcessor):
@@ -80,7 +82,7 @@ class Orderer(StatefulProcessor):
         self.handle = handle
         self.meta = handle.getValueState("meta", "channel_tick long, watermark long, advanced_at long, seq long, events long, bytes long")
         self.ticks = handle.getMapState("ticks", "vchannel string", "tick long")
-        self.pending = handle.getMapState("pending", "k string", "p long, kind string, vchannel string, tso long, payload string")
+        self.pending = handle.getMapState("pending", "k string", "p long, row_pos long, kind string, vchannel string, tso long, payload string")
 
     def _load(self, now: int):
         if self.meta.exists():
@@ -92,7 +94,7 @@ class Orderer(StatefulProcessor):
 
     def _release(self, upto: int | None) -> list[tuple]:
         """Pending events up to a tso (all of them if None), in order, taken out of the state."""
-        due = [(k[0], v) for k, v in self.pending.iterator() if upto is None or v[3] <= upto]
+        due = [(k[0], v) for k, v in self.pending.iterator() if upto is None or v[4] <= upto]
         for k, _ in due:
             self.pending.removeKey((k,))
         return [v for _, v in sorted(due, key=lambda x: bytes.fromhex(x[0]))]
@@ -100,16 +102,16 @@ class Orderer(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         channel, at, seq, events, size = self._load(now)
-        held = pd.concat(list(rows)).sort_values("p")
+        held = pd.concat(list(rows)).sort_values(["p", "row_pos"], kind="stable")
         out: list[tuple] = []
 
         def emit(route, rows_):
             nonlocal seq, events, size
-            for p, kind, v, tso, payload in rows_:
+            for p, row_pos, kind, v, tso, payload in rows_:
                 if route != "late":
                     seq += 1
                     events, size = events - 1, size - event_size(payload)
-                out.append((key[0], None if route == "late" else seq, route, p, kind, v, tso, payload, channel.watermark))
+                out.append((key[0], None if route == "late" else seq, route, p, row_pos, kind, v, tso, payload, channel.watermark))
 
         for r in held.itertuples(index=False):
             v = None if pd.isna(r.vchannel) else r.vchannel
@@ -119,20 +121,23 @@ class Orderer(StatefulProcessor):
                     at = now
                     emit("change", self._release(channel.watermark))
                 continue
-            event = (int(r.p), r.kind, v, int(r.tso), payload)
-            if channel.is_late(event[3]):
+            event = (int(r.p), int(r.row_pos), r.kind, v, int(r.tso), payload)
+            if channel.is_late(event[4]):
                 emit("late", [event])
                 continue
             if v is not None:
                 channel.track(v)
             if events + 1 > self.options.max_events or size + event_size(payload) > self.options.max_bytes:
-                top = max((x[1][3] for x in self.pending.iterator()), default=channel.watermark)
+                top = max((x[1][4] for x in self.pending.iterator()), default=channel.watermark)
                 channel.watermark, at = max(channel.watermark, top), now
                 emit("forced", self._release(None))
-                if channel.is_late(event[3]):
+                if channel.is_late(event[4]):
                     emit("late", [event])
                     continue
-            self.pending.updateValue((sort_key(event[3], event[1], event[0]).hex(),), event)
+            again = 0
+            while self.pending.containsKey((k := sort_key(event[4], event[2], event[0], event[1], again).hex(),)):
+                again += 1
+            self.pending.updateValue((k,), event)
             events, size = events + 1, size + event_size(payload)
         for v, t in channel.ticks.items():
             self.ticks.updateValue((v,), (t,))
@@ -152,7 +157,7 @@ class Orderer(StatefulProcessor):
         if not events:
             return
         rows = self._release(None)
-        channel.watermark = max(channel.watermark, max(r[3] for r in rows))
+        channel.watermark = max(channel.watermark, max(r[4] for r in rows))
         out = [(key[0], seq + i + 1, "forced", *r, channel.watermark) for i, r in enumerate(rows)]
         self.meta.update((channel.channel_tick, channel.watermark, now, seq + len(rows), 0, 0))
         yield pd.DataFrame(out, columns=NAMES)
@@ -174,9 +179,11 @@ class Orderer(StatefulProcessor):
 def order_stream(df: DataFrame, options: Options | None = None, initial_ticks: DataFrame | None = None) -> DataFrame:
     """A stream (or batch) of INPUT columns as released, late and forced events; see OUTPUT.
 
+    row_pos is the row's place in its message; nulls, and an input without it, count as 0.
     initial_ticks(pchannel, vchannel, tick) preloads the ticks of a former run."""
     initial = initial_ticks.groupBy("pchannel") if initial_ticks is not None else None
-    return df.groupBy("pchannel").transformWithStateInPandas(
+    row_pos = F.coalesce(F.col("row_pos").cast("long"), F.lit(0)) if "row_pos" in df.columns else F.lit(0)
+    return df.withColumn("row_pos", row_pos.cast("long")).groupBy("pchannel").transformWithStateInPandas(
         statefulProcessor=Orderer(options or Options()), outputStructType=OUTPUT, outputMode="Append", timeMode="ProcessingTime", initialState=initial
     )
 
@@ -188,8 +195,9 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def log_payload(log: DataFrame) -> DataFrame:
     """A log's rows with what is no part of the ordering as one JSON payload."""
-    rest = [c for c in log.columns if c not in ("p", "kind", "pchannel", "vchannel", "tso")]
-    return log.select("p", "kind", "pchannel", "vchannel", "tso", F.to_json(F.struct(*rest)).alias("payload"))
+    place = [c for c in log.columns if c == "row_pos"]
+    rest = [c for c in log.columns if c not in ("p", "row_pos", "kind", "pchannel", "vchannel", "tso")]
+    return log.select("p", *place, "kind", "pchannel", "vchannel", "tso", F.to_json(F.struct(*rest)).alias("payload"))
 
 
 def heartbeats(query) -> list[dict]:
