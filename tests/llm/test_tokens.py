@@ -87,6 +87,21 @@ def test_packing(spark, plain):
     assert by_doc == want
 
 
+def test_added_tokens_are_the_librarys(spark, tmp_path):
+    library = Tokenizer.from_file(common.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y<|endoftext", "plain"]
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275]
+    docs = frame(spark, [(i, t, "xx") for i, t in enumerate(texts)])
+    token_store.write_tokens(docs, common.tokenizer_path(), str(tmp_path / "t"))
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in token_store.read_tokens(spark, str(tmp_path / "t"), with_ids=True).collect()}
+    assert got == {i: ids + [0] for i, ids in want.items()}
+    packed: dict = {}
+    for r in packing.pack(docs, common.tokenizer_path()).orderBy("doc_id", "start").collect():
+        packed.setdefault(r.doc_id, []).extend(np.frombuffer(bytes(r.ids), "<u4").tolist())
+    assert packed == {i: ids + [1] for i, ids in want.items()}
+
+
 def test_pieces():
     assert packing.pieces_of(5000) == [2048, 2048, 512, 256, 128, 8] and packing.pieces_of(1) == [1] and packing.pieces_of(0) == []
 

@@ -40,7 +40,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, max_len: int = MAX_LE
     schema = pa.schema([f for f in fields if with_ids or f[0] != "ids"])
 
     def cut(batches):
-        enc = tokens.encoder(tokenizer)
+        enc = tokens.encoder(tokenizer, added=True)
         for batch in batches:
             rows: dict[str, list] = {f.name: [] for f in schema}
             for doc_id, text in zip(batch.column(0).to_pylist(), tokens.texts(batch.column(1)), strict=True):

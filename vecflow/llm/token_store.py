@@ -71,7 +71,7 @@ def _tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
 
     def run(batches):
-        enc, z = tokens.encoder(tokenizer), zstandard.ZstdCompressor(level=1)
+        enc, z = tokens.encoder(tokenizer, added=True), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             n, packed = [], []
             for text in tokens.texts(batch.column(1)):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterable
 
@@ -39,33 +40,43 @@ class _Remembered(dict):
 
 class ByteBpe:
     """encode(text) gives the ids of the whole text. The file's own pattern cuts texts into word forms, and BPE never
-    merges across forms, so ids of the text are the forms' ids in a row. Strings of special tokens are ordinary text."""
+    merges across forms, so ids of the text are the forms' ids in a row. With ``added``, texts are first cut at the strings
+    of the file's added tokens, which give those tokens' ids, as Tokenizer.encode does; else they are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.forms = regex.compile(public_tokenizers.PATTERN).findall
         self.ids = _Remembered(self.tokenizer.model)
+        own = {t.content: (i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()} if added else {}
+        if any(t.single_word or t.lstrip or t.rstrip for _, t in own.values()):
+            raise ValueError("added tokens that depend on their surroundings")
+        self.added = {content: array("I", [i]).tobytes() for content, (i, _) in own.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")").split if own else None
 
     def encode_bytes(self, text: str) -> bytes:
-        return b"".join(map(self.ids.__getitem__, self.forms(text)))
+        if not any(content in text for content in self.added):
+            return b"".join(map(self.ids.__getitem__, self.forms(text)))
+        pieces = self.cut(text)  # every second one is an added token
+        return b"".join(self.added[x] if i % 2 else b"".join(map(self.ids.__getitem__, self.forms(x))) for i, x in enumerate(pieces))
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text), "<u4")
 
 
-_LOADED: dict[str, ByteBpe] = {}
+_LOADED: dict[tuple[str, bool], ByteBpe] = {}
 
 
-def encoder(path: str) -> ByteBpe:
-    """One encoder for each Python worker and file."""
-    if path not in _LOADED:
-        _LOADED[path] = ByteBpe(path)
-    return _LOADED[path]
+def encoder(path: str, added: bool = False) -> ByteBpe:
+    """One encoder for each Python worker, file and reading of added tokens."""
+    if (path, added) not in _LOADED:
+        _LOADED[path, added] = ByteBpe(path, added)
+    return _LOADED[path, added]
 
 
 def texts(column) -> Iterable[str]:
