@@ -231,6 +231,25 @@ def test_held_out_languages(spark):
     assert none.languages == [] and {r.lang_pred for r in langid.predict(docs.select("doc_id", "text"), none).collect()} == {"und"}
 
 
+def test_short_samples_and_many_languages(spark, monkeypatch):
+    """A language of one short text spoils no other, and every language is learned, whatever their number."""
+    rng = np.random.default_rng(6)
+    alphabets = ["abcdxyz", "lmnoabc", "rstuvab", "efghijk", "cdlmrse"]
+    rows = [(i, text(rng, 40, alphabets[i % 5]), f"l{i % 5}") for i in range(100)]
+    docs = frame(spark, [*rows, (1000, "ok", "short"), (1001, None, "l1")])
+    model = langid.fit(docs)
+    assert model.languages == ["l0", "l1", "l2", "l3", "l4", "short"]
+    one = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs.select("doc_id", "text"), model).collect()}
+    assert all(one[i][0] == lang for i, _, lang in rows) and one[1001] == ("und", 0.0)
+    monkeypatch.setattr(langid, "BLOCK", 2)
+    many = langid.fit(docs)
+    assert [b.languages for b in many.blocks()] == [["l0", "l1"], ["l2", "l3"], ["l4", "short"]]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs.select("doc_id", "text"), many).collect()}
+    assert got == one
+    kept = langid.keep_known(docs, many)
+    assert kept.columns == docs.columns and {r.doc_id: r.lang for r in kept.collect()} == {i: lang for i, (lang, _) in one.items() if lang != "und"}
+
+
 # url filters
 
 

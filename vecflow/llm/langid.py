@@ -2,26 +2,28 @@
 
 Fitting: for each language a bounded sample of labelled text (``sample_docs`` documents with the smallest hashes of
 their ids, the first ``doc_chars`` characters of each) is joined and its suffix automaton built: the states and
-transitions that accept exactly the strings that occur in it. ``max_languages`` languages are learned at most, those
-with the most labelled documents first.
+transitions that accept exactly the strings that occur in it. All labelled languages are learned.
 
 Prediction: the text is parsed with each automaton into phrases, each the longest match from where the last one
 ended; a letter that the sample lacks opens a phrase. Few phrases mean that long stretches of the text also occur in the sample: phrases * log2(sample length) /
-characters estimates the cross entropy. Samples are cut to the same length, so the normalised phrase count decides;
-ties go to the first language by name. The score is 1 - best / second best, which is 0 where two languages parse alike
+characters estimates the cross entropy. Samples are cut to the length of the shortest that has at least MIN_SHARE of the
+longest, so the phrase count decides; shorter samples stay whole and set no cut (their languages are found as well as
+their text allows, with phrases that cost as much as those of the others); ties go to the first language by name. The score is 1 - best / second best, which is 0 where two languages parse alike
 and near 1 where one parses far better (1 with a single language).
 
 Parsing runs on many stretches of STRETCH characters in step, one numpy lookup for each character of all; every
 character of every text is parsed. Characters are lower-cased, and runs of those that are no letters count as one
 space. Null texts, and texts without a letter, get ``und`` and a score of 0. If nothing could be learned all do.
 
-The fitted tables are bounded by the parameters (about 2 * sample characters * letters * 4 bytes for each language)
-and go to every executor; documents are predicted where they are scanned, without a shuffle. Repeated rows get equal
+The fitted tables (about 2 * sample characters * letters * 4 bytes for each language) go to every executor in blocks of
+BLOCK languages, one pass over the documents for each, written between passes, so that memory is bounded; up to BLOCK
+languages, documents are predicted where they are scanned. There is no shuffle. Repeated rows get equal
 predictions; extra columns are left behind by predict(), and kept by the pipeline.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -34,7 +36,10 @@ from vecflow.llm import common
 
 SAMPLE_DOCS = 24
 DOC_CHARS = 1500
-MAX_LANGUAGES = 64
+#: Languages whose tables are held at a time.
+BLOCK = 64
+#: Samples below this share of the longest don't set the length that all are cut to.
+MIN_SHARE = 0.5
 #: Characters that are parsed in a row; each stretch starts a phrase anew.
 STRETCH = 512
 UNKNOWN = "und"
@@ -73,21 +78,33 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 class Model:
     """Dense tables: table[language][state, letter] is the next state, or ~(state after a new phrase began)."""
 
-    def __init__(self, samples: dict[str, str]):
+    def __init__(self, samples: dict[str, str], cut: int | None = None):
         self.languages = sorted(samples)
+        sizes = [len(_normal(s)) for s in samples.values()]
+        self.cut = min((n for n in sizes if n >= MIN_SHARE * max(sizes)), default=0) if cut is None else cut
+        self.samples = samples if len(samples) > BLOCK else None
+        if self.samples:  # tables come with blocks()
+            return
         letters = sorted({c for s in samples.values() for c in _normal(s) if c != " "})
         #: code 0: a letter that no sample holds; 1: space
         self.code = {c: i + 2 for i, c in enumerate(letters)}
-        cut = min((len(_normal(s)) for s in samples.values()), default=0)
         self.tables = []
         for lang in self.languages:
-            moves = suffix_automaton([self.code.get(c, 1) for c in _normal(samples[lang])[:cut]])
+            moves = suffix_automaton([self.code.get(c, 1) for c in _normal(samples[lang])[: self.cut]])
             table = np.full((len(moves), len(letters) + 2), -1, np.int32)
             for s, m in enumerate(moves):
                 table[s, list(m)] = list(m.values())
             anew = np.where(table[0] >= 0, ~table[0], ~0)
             self.tables.append(np.where(table >= 0, table, anew[None, :]).astype(np.int32))
 
+    def blocks(self):
+        """Models of BLOCK languages at most, in order of names."""
+        if not self.samples:
+            yield self
+            return
+        for at in range(0, len(self.languages), BLOCK):
+            yield Model({lang: self.samples[lang] for lang in self.languages[at : at + BLOCK]}, self.cut)
+
 
 def _normal(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
@@ -173,15 +190,14 @@ class Parser:
         return langs, scores
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_chars: int = DOC_CHARS, max_languages: int = MAX_LANGUAGES) -> Model:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_chars: int = DOC_CHARS) -> Model:
     """Model of labelled docs(doc_id, text, lang). Ids choose the sample, and are no input of a prediction."""
     some = docs.where("lang is not null and text is not null and length(trim(text)) > 0")
-    top = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid"))
     # the filter on the rank keeps sample_docs rows of a language in each task before anything is shuffled
-    ranked = some.where(F.col("lang").isin(top)).select("lang", "doc_id", key.alias("k")).distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "doc_id"))).where(F.col("r") <= sample_docs)
+    ranked = some.select("lang", "doc_id", key.alias("k")).distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "doc_id"))).where(F.col("r") <= sample_docs)
     ids = [r["doc_id"] for r in ranked.select("doc_id").collect()]
-    rows = some.where(F.col("doc_id").isin(ids) & F.col("lang").isin(top)).select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("t")).distinct().collect() if ids else []
+    rows = some.where(F.col("doc_id").isin(ids)).select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("t")).distinct().collect() if ids else []
     samples: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], zlib.crc32(str(r["doc_id"]).encode()), r["t"])):
         samples.setdefault(r["lang"], []).append(r["t"])
@@ -189,10 +205,47 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_chars: int = DOC_CH
     return Model({lang: t for lang, t in joined.items() if _normal(t)})
 
 
+def _by_blocks(docs: DataFrame, model: Model) -> tuple[DataFrame, Column, Column]:
+    """(docs and working columns, prediction, score) for models of more than one block."""
+    names, tag = docs.columns, uuid.uuid4().hex
+    at, extra = names.index("text"), [f"best_{tag}", f"second_{tag}", f"lang_{tag}"]
+    schema = StructType(list(docs.schema)).add(extra[0], "long").add(extra[1], "long").add(extra[2], "string")
+
+    def fold(sent):
+        def run(batches):
+            parser = Parser(sent.value)
+            for batch in batches:
+                coded = [parser.codes(t) if t else np.zeros(0, np.int16) for t in batch.column(at).to_pylist()]
+                before = [c.to_pylist() for c in batch.columns[len(names) :]] or [[None] * len(coded)] * 3
+                rows: list[tuple] = []
+                for c, row, best, second, lang in zip(coded, parser.phrases(coded).tolist(), *before, strict=True):
+                    for n, name in zip(row if len(c) else [], sent.value.languages, strict=False):
+                        if best is None or n < best:
+                            best, second, lang = n, best, name
+                        elif second is None or n < second:
+                            second = n
+                    rows.append((best, second, lang))
+                more = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.string()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *more], [*names, *extra])
+
+        return run
+
+    for block in model.blocks():
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        docs = common.written(docs.mapInArrow(fold(sent), schema), "languages")
+        sent.unpersist()
+    best, second, lang = map(F.col, extra)
+    score = F.when(best.isNull(), F.lit(0.0)).when(second.isNull(), F.lit(1.0)).otherwise(1 - best / second)
+    return docs, F.coalesce(lang, F.lit(UNKNOWN)), score
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs(doc_id, text, ...) with lang_pred and score after its own columns."""
     spark = docs.sparkSession
     common.bound_batches(spark)
+    if model.samples:
+        parsed, lang, score = _by_blocks(docs, model)
+        return parsed.select(*(F.col(f"`{c}`") for c in docs.columns), lang.alias("lang_pred"), score.alias("score"))
     sent = spark.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index("text")
@@ -213,6 +266,9 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     All columns stay in place, whatever their names."""
     spark = docs.sparkSession
     common.bound_batches(spark)
+    if model.samples:
+        parsed, found, _ = _by_blocks(docs, model)
+        return parsed.where(found != UNKNOWN).select(*(found.cast(docs.schema[c].dataType).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
     sent = spark.sparkContext.broadcast(model)
     names = docs.columns
     at, lang = names.index("text"), names.index("lang") if "lang" in names else None
