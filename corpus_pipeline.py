@@ -42,7 +42,7 @@ def pseudonyms(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, common.tokenizer_path(), with_ids=False)
+    return packing.pack(docs, common.tokenizer_path())
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pii", pseudonyms), ("packing", pack)]

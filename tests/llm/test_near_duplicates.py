@@ -227,3 +227,8 @@ def test_stages(spark, tmp_path):
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == Counter(r.doc_id for r in kept.collect())
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, at.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_packed_sequences_hold_their_ids(spark, tmp_path):
+    got = corpus_pipeline.pack(spark, frame(spark, [(1, "one two three", "xx")]), str(tmp_path)).collect()
+    assert got and all(len(bytes(r.ids)) == 4 * r.length for r in got)
