@@ -79,7 +79,73 @@ def test_nearest_smaller(values):
 def test_prefix_ranks_are_suffix_order(packed, monkeypatch):
     monkeypatch.setattr(sd, "PACKED", packed)
     raw = np.frombuffer(b"banana bandana" * 9, np.uint8)
-    rank = sd.prefix_ranks(raw, 50)
-    cut = [raw[i : i + 50].tobytes() for i in range(len(raw))]
-    order = {s: k for k, s in enumerate(sorted(set(cut)))}
-    assert rank.tolist() == [order[s] for s in cut]
+    levels = sd.prefix_ranks(raw, 50)
+    assert [n for n, _ in levels] == [4, 8, 16, 32, 50]
+    for n, rank in levels:
+        cut = [raw[i : i + n].tobytes() for i in range(len(raw))]
+        order = {s: k for k, s in enumerate(sorted(set(cut)))}
+        assert rank.tolist() == [order[s] for s in cut]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("ab", min_size=6, max_size=14), min_size=1, max_size=6), st.sampled_from([2, 4, 5, 6]))
+def test_longest_previous_factors(texts, length):
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts, doc, at = [], [], 0
+    for i, t in enumerate(texts):
+        starts += range(at, at + len(t) - length + 1)
+        doc += [i % 3] * (len(t) - length + 1)
+        at += len(t)
+
+    def common_prefix(a, b):
+        return next((k for k in range(length) if raw[a + k] != raw[b + k]), length)
+
+    want = [max((common_prefix(a, b) for b, j in zip(starts, doc, strict=True) if j < i), default=0) for a, i in zip(starts, doc, strict=True)]
+    got = sd.longest_previous_factors(raw, np.array(starts), np.array(doc), length)
+    assert got.tolist() == want
+
+
+def test_rows_that_share_a_doc_id(spark):
+    """Each row of a repeated doc_id loses its own bytes alone."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    p, a, b = word(100), word(300), word(400)
+    rows = [(1, word(50) + p + word(60)), (5, a + p + a[:60]), (5, b), (5, p + b), (5, None), (5, ""), (6, b[100:180]), (7, a[:60] + "x"), (7, a[:60] + "y" + p)]
+    for n in (1, 4):
+        assert got(spark.createDataFrame(rows, SCHEMA).repartition(n)) == brute(rows)
+
+
+def test_equal_hashes_do_not_remove(spark, monkeypatch):
+    """Passages that share a content hash but differ in bytes keep them."""
+    raw = np.frombuffer(b"aaaaabbbbbaaaaacccccaaaaa", np.uint8)
+    start, size, doc = np.array([0, 5, 10, 15, 20]), np.full(5, 5), np.array([3, 1, 4, 9, 2])
+    by, new, late = sd._equal_passages(raw, start, size, np.zeros(5, np.uint64), doc)
+    gone = {int(start[i]) for i in by[late]}
+    # the first of the hash is document 1 ("bbbbb"): nothing equals it, so nothing goes without an ordering
+    assert gone == set() and new.all()
+    by, new, late = sd._equal_passages(raw, start, size, np.array([7, 8, 7, 9, 7], np.uint64), doc)
+    assert {int(start[i]) for i in by[late]} == {0, 10}
+
+
+def test_hot_anchor(spark, monkeypatch):
+    """One phrase in ever different surroundings, its strings dealt by hash."""
+    monkeypatch.setattr(sd, "WHOLE", 1 << 11)
+    rng = np.random.default_rng(8)
+    raws, first, size, doc, at = [], [], [], [], 0
+    sides, tails = ([bytes(rng.choice(list(b"xyz"), 80).tolist()) for _ in range(12)] for _ in range(2))
+    for i in range(300):
+        side, tail = sides[rng.integers(12)], tails[rng.integers(12)]
+        x = (side[: int(rng.integers(0, 30))] + b"a phrase of twenty by" + tail)[: int(rng.integers(50, 81))]
+        raws.append(x)
+        first.append(at)
+        size.append(len(x))
+        doc.append(i // 2)
+        at += len(x)
+    raw = np.frombuffer(b"".join(raws), np.uint8)
+    least: dict = {}
+    for x, d in zip(raws, doc, strict=True):
+        for p in range(len(x) - 49):
+            least[x[p : p + 50]] = min(d, least.get(x[p : p + 50], d))
+    want = [least[x[p : p + 50]] < d for x, d in zip(raws, doc, strict=True) for p in range(len(x) - 49)]
+    assert sd._repeats(raw, np.array(first), np.array(size), np.array(doc), 50).tolist() == want
+    assert any(want) and not all(want)

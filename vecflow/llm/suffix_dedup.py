@@ -9,23 +9,27 @@ No single suffix array could hold the corpus, so the suffix order is built in pa
 
 1. Anchors. Each ``length``-byte string has as anchor its ``GRAM``-byte gram of smallest hash (the leftmost of
    equals). Equal strings have equal anchors, about one byte in sixteen is an anchor. Sorted 48-bit anchor hashes go to
-   buckets, to find those that occur in more than one document. Documents of one batch that share an anchor are settled
+   buckets, to find those that occur in more than one row. Rows of one batch that share an anchor are settled
    on the spot and send one entry, so an anchor that a third of all documents hold is one entry for each batch.
 2. Passages. Strings in a row with the same shared anchor make up one passage of at most 2 * length - GRAM bytes; it is
-   sent to the bucket of its anchor. Equal passages of one batch are sent once, for the smallest doc_id; for the other
-   documents of the batch they are removed at once.
+   sent to the bucket of its anchor. Equal passages of about GATHER bytes of text are sent once, for the smallest doc_id;
+   for the other documents they are removed at once. Equal hashes only propose them: the bytes are compared.
 3. Suffix order. Each bucket, in parts of about PART bytes with no anchor in two of them, sets equal passages of
-   different batches aside in the same way, and passages whose anchor has no other one; it then sorts all positions of the
-   other passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and reports
-   strings with an earlier match as spans of documents.
-4. Spans of a document are merged and cut out.
+   different batches aside in the same way, and passages whose anchor has no other one. It sorts all positions of the
+   other passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and from
+   the ranks of all lengths the longest previous factor of each position, up to ``length``. Positions that reach it are
+   reported as spans. The strings of an anchor that alone exceeds WHOLE bytes are dealt by their hash (equal strings stay
+   together) and ordered a part at a time, so that working memory stays bounded whatever an anchor's frequency.
+4. Spans of a row are merged and cut out.
 
 The text is shuffled by doc_id once and used for the second and the fourth step. Each step works through its batches or
-buckets one by one; a bucket holds about 1 / (2 * shuffle partitions) of the passages. All exchanges are ordinary
+buckets one by one; the number of buckets grows with the bytes of all texts (BUCKET). All exchanges are ordinary
 shuffles that Spark rebuilds after a loss.
 
 Null and empty texts have no bytes; texts shorter than ``length`` lose none. Rows without a doc_id keep all bytes and
-are no earlier copy. Rows of equal doc_id are not compared with each other. Extra columns are left behind.
+are no earlier copy. Rows of equal doc_id are not compared with each other. Passages and spans name rows, not documents:
+by doc_id where it is unique, else by a number of each different (doc_id, text), so each row loses its own bytes alone.
+Extra columns are left behind.
 """
 
 from __future__ import annotations
@@ -48,8 +52,13 @@ SEGMENT = 1 << 16
 _POS = np.uint64(SEGMENT - 1)
 #: Anchors that are gathered in a task before they are sent (16 bytes each), about.
 STRETCH = 1 << 21
-#: Bytes of passages that are ordered at once, about.
+#: Bytes of text whose passages are sent together, about.
+GATHER = 1 << 23
+#: Bytes of text for each bucket of passages, about; there are no fewer buckets than tasks.
+BUCKET = 1 << 25
+#: Bytes of passages that are ordered at once, about, and those of one anchor from which its strings are dealt.
 PART = 1 << 19
+WHOLE = 1 << 22
 #: Positions that one suffix order holds at most; larger buckets are ordered with wider keys.
 PACKED = 1 << 21
 
@@ -118,8 +127,8 @@ def _unpack6(b: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1) << np.uint64(16)
 
 
-def _dump(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, protocol=5))
+def _dump(*arrays, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays, protocol=5))
 
 
 def _load(blob: bytes):
@@ -130,7 +139,7 @@ def _load(blob: bytes):
 
 
 def _send_anchors(n_buckets: int, length: int, gram: int):
-    """Rows (bucket, doc_id, payload): anchors of a stretch of batches by bucket, and settled ones by document (bucket below 0)."""
+    """Rows (bucket, row, payload): anchors of a stretch of batches by bucket, and settled ones by row (bucket below 0)."""
 
     def send(h: np.ndarray, doc: np.ndarray):
         order = np.lexsort((doc, h))
@@ -141,17 +150,15 @@ def _send_anchors(n_buckets: int, length: int, gram: int):
         many = np.diff(np.append(starts, len(h)))
         settled, many = np.repeat(many > 1, many), many > 1
         yield _settled(doc[settled], h[settled], n_buckets)
-        # the smallest document of each anchor stands for the stretch
+        # one row of each anchor stands for the stretch
         h, doc = h[starts], doc[starts]
         bucket = (h >> np.uint64(16)) % np.uint64(n_buckets)
-        by = np.argsort(bucket, kind="stable")
+        by = np.lexsort((doc, bucket))
         h, doc, many, bucket = h[by], doc[by], many[by], bucket[by]
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        rows = []
-        for a, b in zip(cut, np.append(cut[1:], len(h)), strict=True):
-            named, code = np.unique(doc[a:b], return_inverse=True)
-            rows.append(pickle.dumps((_pack6(h[a:b]), named.astype(np.int64), code.astype(np.uint16 if len(named) < 1 << 16 else np.uint32), np.packbits(many[a:b])), protocol=5))
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.nulls(len(rows), pa.int64()), common.blobs(rows)], ["bucket", "doc_id", "payload"])
+        # ids rise in a bucket: their differences take little room
+        rows = [_dump(_pack6(h[a:b]), np.diff(doc[a:b], prepend=0), np.packbits(many[a:b]), level=1) for a, b in zip(cut, np.append(cut[1:], len(h)), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.nulls(len(rows), pa.int64()), common.blobs(rows)], ["bucket", "row", "payload"])
 
     def run(batches):
         hashes: list[np.ndarray] = []
@@ -176,31 +183,29 @@ def _send_anchors(n_buckets: int, length: int, gram: int):
 
 
 def _settled(doc: np.ndarray, h: np.ndarray, n_buckets: int) -> pa.RecordBatch:
-    """Shared anchors by document, in buckets below 0: they only pass through the buckets' exchange."""
+    """Shared anchors by row, in buckets below 0: they only pass through the buckets' exchange."""
     by = np.argsort(doc, kind="stable")
     doc, h = doc[by], h[by]
     cut = np.flatnonzero(np.concatenate(([len(doc) > 0], doc[1:] != doc[:-1])))
     blobs = [_pack6(h[a:b]) for a, b in zip(cut, [*cut[1:], len(h)], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array((-1 - doc[cut] % n_buckets).astype(np.int32)), pa.array(doc[cut]), common.blobs(blobs)], ["bucket", "doc_id", "payload"])
+    return pa.RecordBatch.from_arrays([pa.array((-1 - doc[cut] % n_buckets).astype(np.int32)), pa.array(doc[cut]), common.blobs(blobs)], ["bucket", "row", "payload"])
 
 
 def _by_bucket(batches, each, name: str):
-    """each(payloads) of every bucket of rows sorted by bucket; what is settled (bucket below 0) passes unchanged."""
+    """each(payloads) of every bucket of rows (bucket, row, payload) sorted by bucket; what is settled (bucket below 0)
+    passes unchanged."""
     now, held = None, []
     for batch in batches:
-        through: tuple[list, list] = ([], [])
-        for b, d, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if b < 0:
-                through[0].append(d)
-                through[1].append(p)
-                continue
+        bucket = np.asarray(batch.column(0).to_numpy(zero_copy_only=False))
+        settled = int(np.searchsorted(bucket, 0))
+        if settled:
+            yield pa.RecordBatch.from_arrays([c.slice(0, settled) for c in batch.columns[1:]], ["row", name])
+        for b, p in zip(bucket[settled:].tolist(), batch.column(2).slice(settled).to_pylist(), strict=True):
             if b != now and held:
                 yield from each(held)
                 held = []
             now = b
             held.append(p)
-        if through[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(through[0], pa.int64()), common.blobs(through[1])], ["doc_id", name])
     if held:
         yield from each(held)
 
@@ -208,10 +213,10 @@ def _by_bucket(batches, each, name: str):
 def _shared_anchors(payloads):
     hs, docs, manys = [], [], []
     for p in payloads:
-        h6, named, code, many = pickle.loads(p)
+        h6, ids, many = _load(p)
         hs.append(_unpack6(h6))
-        docs.append(named[code])
-        manys.append(np.unpackbits(many, count=len(code)).astype(bool))
+        docs.append(np.cumsum(ids))
+        manys.append(np.unpackbits(many, count=len(ids)).astype(bool))
     h, doc, many = np.concatenate(hs), np.concatenate(docs), np.concatenate(manys)
     by = np.argsort(h, kind="stable")
     h, doc, many = h[by], doc[by], many[by]
@@ -219,7 +224,7 @@ def _shared_anchors(payloads):
     # entries that their batch has settled already need no second word, but tell the others
     shared = np.repeat(size > 1, size) & ~many
     out = _settled(doc[shared], h[shared], 1)
-    yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "hashes"])
+    yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["row", "hashes"])
 
 
 # step 2
@@ -254,32 +259,80 @@ def _passages(raw: np.ndarray, off: np.ndarray, shared: np.ndarray, length: int,
     return [np.concatenate(x) for x in zip(*found, strict=True)] if found else None
 
 
+def _gathered(batches):
+    """Batches put together up to GATHER bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        batch = batch.filter(batch.column(3).is_valid())
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.column(1).nbytes
+        if size >= GATHER or sum(b.num_rows for b in held) >= 1 << 14:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _same_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the size bytes from a are those from b, for each of several passages (none of them empty)."""
+    out, ends = np.empty(len(a), bool), np.cumsum(size)
+    i = 0
+    while i < len(a):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + SEGMENT * 4, "right")))
+        n = size[i:j]
+        differ = raw[_ranges(a[i:j], n)] != raw[_ranges(b[i:j], n)]
+        out[i:j] = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
+        i = j
+    return out
+
+
+def _equal_passages(raw: np.ndarray, start: np.ndarray, size: np.ndarray, content: np.ndarray, doc: np.ndarray):
+    """(order, first of an equal run, whether it repeats a passage of a smaller document) of passages.
+
+    The order is by content hash and document. Passages whose bytes differ from those of the first of their hash are
+    runs by themselves."""
+    by = np.lexsort((doc, content))
+    c, d, s, n = content[by], doc[by], start[by], size[by]
+    new = np.concatenate(([True], c[1:] != c[:-1]))
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    rest = np.flatnonzero(~new)
+    own = rest[(n[rest] != n[head[rest]])]
+    rest = rest[n[rest] == n[head[rest]]]
+    own = np.concatenate((own, rest[~_same_bytes(raw, s[rest], s[head[rest]], n[rest])])).astype(np.int64)
+    late = d != d[head]
+    late[own] = False
+    new[own] = True
+    after = own + 1  # what follows such a one begins a run again
+    new[after[after < len(new)]] = True
+    return by, new, late
+
+
 def _send_passages(n_buckets: int, length: int, gram: int):
-    """Rows (bucket, doc_id, payload): passages of a batch by bucket, or (bucket below 0) spans settled in the batch by document."""
+    """Rows (bucket, row, payload) of rows (row, text, doc_id, hashes): passages by bucket, or (bucket below 0) settled
+    spans by row."""
 
     def run(batches):
-        for batch in batches:
-            batch = batch.filter(batch.column(2).is_valid())
-            if not batch.num_rows:
-                continue
-            ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
+        for batch in _gathered(batches):
+            rows, ids = (np.asarray(batch.column(c).to_numpy(), np.int64) for c in (0, 2))
             raw, off = common.utf8_column(batch.column(1))
-            shared = np.concatenate([np.unique(np.concatenate([_unpack6(x) for x in hits])) >> np.uint64(16) | np.uint64(i) << np.uint64(48) for i, hits in enumerate(batch.column(2).to_pylist())])
+            shared = np.concatenate([np.unique(np.concatenate([_unpack6(x) for x in hits])) >> np.uint64(16) | np.uint64(i) << np.uint64(48) for i, hits in enumerate(batch.column(3).to_pylist())])
             got = _passages(raw, off, shared, length, gram)
             if got is None:
                 continue
             text, start, size, key, content = got
-            doc, place = ids[text], start - off[text]
-            # equal passages in a row, the smallest document first
-            by = np.lexsort((place, doc, content))
-            doc, place, start, size, key, content = (x[by] for x in (doc, place, start, size, key, content))
-            new = np.concatenate(([True], content[1:] != content[:-1]))
-            least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            late = doc != least
+            by, new, late = _equal_passages(raw, start, size, content, ids[text])
+            text, start, size, key = (x[by] for x in (text, start, size, key))
+            doc, row, place = ids[text], rows[text], start - off[text]
             if late.any():
-                yield _spans_by_doc(doc[late], np.stack((place[late], place[late] + size[late]), axis=1), lambda d: -1 - d % n_buckets)
-            doc, place, start, size, key, new = (x[~late] for x in (doc, place, start, size, key, new))
-            first = np.flatnonzero(new)
+                yield _spans_by_row(row[late], np.stack((place[late], place[late] + size[late]), axis=1), lambda r: -1 - r % n_buckets)
+            run_of = np.cumsum(new)
+            doc, row, place, start, size, key, run_of = (x[~late] for x in (doc, row, place, start, size, key, run_of))
+            # a row that holds a passage at several places sends it once
+            by = np.lexsort((place, row, run_of))
+            doc, row, place, start, size, key, run_of = (x[by] for x in (doc, row, place, start, size, key, run_of))
+            first = np.flatnonzero(np.concatenate(([True], (run_of[1:] != run_of[:-1]) | (row[1:] != row[:-1]))))
             times = np.diff(np.append(first, len(doc)))
             bucket = (key[first] % np.uint64(n_buckets)).astype(np.int64)
             by = np.lexsort((place[first], doc[first], bucket))  # ids that rise take less room
@@ -287,9 +340,9 @@ def _send_passages(n_buckets: int, length: int, gram: int):
             payloads = []
             for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
                 one = first[by[a:b]]
-                n, t = size[one], times[by[a:b]]
-                payloads.append(_dump(raw[_ranges(start[one], n)].tobytes(), n.astype(np.uint16), doc[one], t.astype(np.uint32), place[_ranges(one, t)].astype(np.uint32), (key[one] >> np.uint64(40)).astype(np.uint32)))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[by][cut].astype(np.int32)), pa.nulls(len(cut), pa.int64()), common.blobs(payloads)], ["bucket", "doc_id", "payload"])
+                n, t, d = size[one], times[by[a:b]], doc[one]
+                payloads.append(_dump(raw[_ranges(start[one], n)].tobytes(), n.astype(np.uint16), np.diff(d, prepend=0), row[one] - d, t.astype(np.uint32), place[_ranges(one, t)].astype(np.uint32), (key[one] >> np.uint64(40)).astype(np.uint32)))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[by][cut].astype(np.int32)), pa.nulls(len(cut), pa.int64()), common.blobs(payloads)], ["bucket", "row", "payload"])
 
     return run
 
@@ -299,12 +352,12 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def _spans_by_doc(docs: np.ndarray, spans: np.ndarray, bucket) -> pa.RecordBatch:
-    by = np.argsort(docs, kind="stable")
-    docs, spans = docs[by], spans[by]
-    cut = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(docs)), strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket(docs[cut]).astype(np.int32)), pa.array(docs[cut]), common.blobs(blobs)], ["bucket", "doc_id", "payload"])
+def _spans_by_row(rows: np.ndarray, spans: np.ndarray, bucket) -> pa.RecordBatch:
+    by = np.argsort(rows, kind="stable")
+    rows, spans = rows[by], spans[by]
+    cut = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    blobs = [_spans(spans[i:j]) for i, j in zip(cut, np.append(cut[1:], len(rows)), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket(rows[cut]).astype(np.int32)), pa.array(rows[cut]), common.blobs(blobs)], ["bucket", "row", "payload"])
 
 
 def _spans(spans: np.ndarray) -> bytes:
@@ -318,18 +371,23 @@ def _spans(spans: np.ndarray) -> bytes:
 # step 3
 
 
-def prefix_ranks(raw: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Rank of each position of raw by the ``length`` bytes that start there (as far as they go), by prefix doubling."""
+def prefix_ranks(raw: np.ndarray, length: int = LENGTH) -> list[tuple[int, np.ndarray]]:
+    """Ranks of each position of raw by the first bytes from there (as far as they go), by prefix doubling: pairs of a
+    number of bytes and ranks, from 4 (or length, if less) bytes to ``length``."""
     n = len(raw)
     padded = np.concatenate((raw, np.zeros(4, np.uint8))).astype(np.uint64)
     word = padded[:n] << np.uint64(24) | padded[1 : n + 1] << np.uint64(16) | padded[2 : n + 2] << np.uint64(8) | padded[3 : n + 3]
-    rank, known = _ranked(word, None), 4
+    if length < 4:
+        word = word >> np.uint64(8 * (4 - length))
+    rank, known = _ranked(word, None), min(4, length)
+    levels = [(known, rank)]
     while known < length:
         step = min(known, length - known)
         after = np.zeros(n, np.uint64)  # the rest of the bytes counts as smallest
         after[: max(0, n - step)] = rank[step:] + np.uint64(1)
         rank, known = _ranked(rank, after), known + step
-    return rank
+        levels.append((known, rank))
+    return levels
 
 
 def _ranked(high: np.ndarray, low: np.ndarray | None) -> np.ndarray:
@@ -368,23 +426,74 @@ def nearest_smaller(values: np.ndarray, reverse: bool = False) -> np.ndarray:
     return to
 
 
-def earlier_matches(raw: np.ndarray, starts: np.ndarray, doc: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Which of the positions ``starts`` of raw (each of document doc) have an earlier match of ``length`` bytes.
+def _matched(raw: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of positions a and b of raw, up to the largest of the levels."""
+    length, last = levels[-1]
+    out = np.where(last[a] == last[b], length, 0)
+    open_ = np.flatnonzero(out == 0)
+    a, b, n = a[open_], b[open_], np.zeros(len(open_), np.int64)
+    for size, rank in reversed(levels[:-1]):
+        n += size * (rank[np.minimum(a + n, len(rank) - 1)] == rank[np.minimum(b + n, len(rank) - 1)])
+    on = np.ones(len(n), bool)
+    for _ in range(3):  # what is shorter than the first level, byte by byte
+        on &= (raw[np.minimum(a + n, len(raw) - 1)] == raw[np.minimum(b + n, len(raw) - 1)]) & (n < length)
+        n += on
+    out[open_] = np.minimum(n, length - 1)
+    return out
 
-    In suffix order, the longest match of a position with one of a smaller document is with the previous or the next
-    smaller one; it reaches ``length`` exactly if both have the same rank by ``length`` bytes.
-    """
-    rank = prefix_ranks(raw, length)[starts]
+
+def longest_previous_factors(raw: np.ndarray, starts: np.ndarray, doc: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """For each of the positions ``starts`` of raw (each of document doc, with ``length`` bytes behind it) the length,
+    up to ``length``, of its longest match with a position of a smaller document.
+
+    In suffix order that match is with the previous or the next position of a smaller document."""
+    levels = prefix_ranks(raw, length)
+    rank = levels[-1][1][starts]
     if len(rank) <= 1 << 32:
         order = (np.sort(rank << np.uint64(32) | np.arange(len(rank), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     else:
         order = np.argsort(rank, kind="stable")
-    r, d = rank[order], doc[order]
-    hit = np.zeros(len(order), bool)
+    d, at = doc[order], starts[order]
+    factor = np.zeros(len(order), np.int64)
     for near in (nearest_smaller(d), nearest_smaller(d, reverse=True)):
-        hit |= (near >= 0) & (r[near] == r)
-    out = np.zeros(len(order), bool)
-    out[order] = hit
+        has = np.flatnonzero((near >= 0) & (factor < length))
+        factor[has] = np.maximum(factor[has], _matched(raw, levels, at[has], at[near[has]]))
+    out = np.zeros(len(order), np.int64)
+    out[order] = factor
+    return out
+
+
+def _string_parts(raw: np.ndarray, first: np.ndarray, size: np.ndarray, length: int, parts: int) -> np.ndarray:
+    """For each ``length``-byte string of passages, in order, the part (below ``parts``) that its hash names."""
+    out, ends = [], np.cumsum(size)
+    i = 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + SEGMENT * 4, "right")))
+        n = size[i:j]
+        h = _gram_hashes(raw[_ranges(first[i:j], n)], length)
+        out.append((h[_ranges(np.cumsum(n) - n, n - length + 1)] % np.uint64(parts)).astype(np.uint32))
+        i = j
+    return np.concatenate(out)
+
+
+def _repeats(raw: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """Whether each ``length``-byte string of passages, in order, has an earlier match among them."""
+    n = size - length + 1
+    total = int(size.sum())
+    if total <= WHOLE:
+        owner = np.repeat(np.arange(len(first)), n)
+        starts = (np.cumsum(size) - size)[owner] + _ranges(np.zeros(len(first), np.int64), n)
+        return longest_previous_factors(raw[_ranges(first, size)], starts, doc[owner], length) >= length
+    begin = np.cumsum(n) - n
+    parts = -(-int(n.sum()) * length // WHOLE)
+    part = _string_parts(raw, first, size, length, parts)
+    out = np.zeros(len(part), bool)
+    for k in range(parts):
+        mine = np.flatnonzero(part == k)
+        # a string that is most of a part by itself is one passage in effect: its smallest document keeps it
+        owner = np.searchsorted(begin, mine, "right") - 1
+        strings = raw[_ranges(first[owner] + mine - begin[owner], np.full(len(mine), length))]
+        out[mine] = longest_previous_factors(strings, np.arange(len(mine)) * length, doc[owner], length) >= length
     return out
 
 
@@ -406,49 +515,47 @@ def _removed(length: int):
     def run(payloads):
         parts = [_load(p) for p in payloads]
         raw = np.frombuffer(b"".join(p[0] for p in parts), np.uint8)
-        size, doc, times, place, key = (np.concatenate([p[i] for p in parts]) for i in range(1, 6))
+        doc = np.concatenate([np.cumsum(p[2]) for p in parts])
+        size, row, times, place, key = (np.concatenate([p[i] for p in parts]) for i in (1, 3, 4, 5, 6))
+        row += doc
         size, times, place = size.astype(np.int64), times.astype(np.int64), place.astype(np.int64)
         del parts
         first, begin = np.cumsum(size) - size, np.cumsum(times) - times
         groups = max(1, len(raw) // PART)
         group = key % groups
+
+        def spans(owner, start, end):
+            """Byte ranges [start, end) of passages, for each place at which their rows hold them."""
+            t = times[owner]
+            at = place[_ranges(begin[owner], t)]
+            out = _spans_by_row(np.repeat(row[owner], t), np.stack((np.repeat(start, t) + at, np.repeat(end, t) + at), axis=1), lambda r: r * 0)
+            return pa.RecordBatch.from_arrays(out.columns[1:], ["row", "spans"])
+
         by = np.argsort(group, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], group[by][1:] != group[by][:-1])))
         for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
             own = np.sort(by[a:b])
             # equal passages of other batches: the smallest document keeps it, the others lose all of it
-            same = _passage_names(raw, first[own], size[own])
-            order = np.lexsort((doc[own], same))
-            own, same = own[order], same[order]
-            new = np.concatenate(([True], same[1:] != same[:-1]))
-            late = doc[own] != doc[own][np.flatnonzero(new)][np.cumsum(new) - 1]
-            if late.any():
-                gone = own[late]
-                t = times[gone]
-                at = place[_ranges(begin[gone], t)]
-                out = _spans_by_doc(np.repeat(doc[gone], t), np.stack((at, at + np.repeat(size[gone], t)), axis=1), lambda d: d * 0)
-                yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "spans"])
+            order, _, late = _equal_passages(raw, first[own], size[own], _passage_names(raw, first[own], size[own]), doc[own])
+            own = own[order]
+            gone, own = own[late], own[~late]
+            if len(gone):
+                yield spans(gone, np.zeros(len(gone), np.int64), size[gone])
             # an anchor with one passage left has nothing to be compared with
-            own = own[~late]
             _, code, held = np.unique(key[own], return_inverse=True, return_counts=True)
             own = np.sort(own[held[code] > 1])
             if not len(own):
                 continue
             n = size[own] - length + 1
-            here = np.cumsum(size[own]) - size[own]
-            within = _ranges(np.zeros(len(own), np.int64), n)
-            passage = np.repeat(np.arange(len(own)), n)
-            hit = earlier_matches(raw[_ranges(first[own], size[own])], here[passage] + within, doc[own][passage], length)
-            passage, within = passage[hit], within[hit]
-            if not len(passage):
+            hit = np.flatnonzero(_repeats(raw, first[own], size[own], doc[own], length))
+            if not len(hit):
                 continue
-            # runs of hits in a passage, for each place at which its document holds it
+            start = np.cumsum(n) - n
+            passage = np.searchsorted(start, hit, "right") - 1
+            within = hit - start[passage]
+            # runs of hits in a passage
             edge = np.flatnonzero(np.concatenate(([True], (passage[1:] != passage[:-1]) | (within[1:] != within[:-1] + 1))))
-            owner, start, end = own[passage[edge]], within[edge], within[np.append(edge[1:], len(within)) - 1] + length
-            t = times[owner]
-            at = place[_ranges(begin[owner], t)]
-            out = _spans_by_doc(np.repeat(doc[owner], t), np.stack((np.repeat(start, t) + at, np.repeat(end, t) + at), axis=1), lambda d: d * 0)
-            yield pa.RecordBatch.from_arrays([out.column(1), out.column(2)], ["doc_id", "spans"])
+            yield spans(own[passage[edge]], within[edge], within[np.append(edge[1:], len(within)) - 1] + length)
 
     return run
 
@@ -481,9 +588,18 @@ def _cut_out(with_text: bool):
 
 
 def _dealt(rows: DataFrame, n: int, each, name: str) -> DataFrame:
-    """Rows dealt by bucket, each bucket worked through; what comes out is gathered by document."""
+    """Rows dealt by bucket, each bucket worked through; what comes out is gathered by row."""
     dealt = rows.repartition(n, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _by_bucket(batches, each, name), f"doc_id long, {name} binary").groupBy("doc_id").agg(F.collect_list(name).alias(name))
+    return dealt.mapInArrow(lambda batches: _by_bucket(batches, each, name), f"row long, {name} binary").groupBy("row").agg(F.collect_list(name).alias(name))
+
+
+def _with_row(d: DataFrame) -> DataFrame:
+    """d(doc_id, text), no doc_id null, with row: the doc_id, or where some repeat a number of each different row."""
+    if d.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return d.withColumn("row", F.col("doc_id"))
+    tagged = d.withColumn("tag", F.sha2("text", 256))
+    numbers = common.written(tagged.select("doc_id", "tag").distinct().withColumn("row", F.monotonically_increasing_id()), "rows")
+    return common.written(tagged.join(numbers, (tagged["doc_id"] == numbers["doc_id"]) & tagged["tag"].eqNullSafe(numbers["tag"])).select(tagged["doc_id"], "text", "row"), "numbered")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = True) -> DataFrame:
@@ -494,15 +610,21 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
     spark = docs.sparkSession
     common.bound_batches(spark)
     n = 2 * common.partitions(spark)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # many small buckets, so that a bucket holds few anchors of a document whatever the size
-    sent = d.where("doc_id is not null and text is not null").mapInArrow(_send_anchors(4 * n, length, gram), "bucket int, doc_id long, payload binary")
+    all_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    d = _with_row(all_.where("doc_id is not null"))
+    total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(n, min(1 << 30, -(-total // BUCKET)))
+    # many small buckets, so that a bucket holds few anchors of a row whatever the size
+    sent = d.where("text is not null").select("row", "text").mapInArrow(_send_anchors(4 * n, length, gram), "bucket int, row long, payload binary")
     shared = _dealt(sent, n, _shared_anchors, "hashes")
-    passages = d.join(shared.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_send_passages(n, length, gram), "bucket int, doc_id long, payload binary")
+    passages = d.join(shared.hint("shuffle_hash"), "row", "left").select("row", "text", "doc_id", "hashes").mapInArrow(_send_passages(buckets, length, gram), "bucket int, row long, payload binary")
     spans = _dealt(passages, n, _removed(length), "spans")
     kinds = {"spans": "array<array<long>>", "kept": "binary", "kept_sha256": "string"}
-    names = [f.name for f in _OUT if with_text or f.name not in ("kept", "spans")]
-    return d.join(spans.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_cut_out(with_text), ", ".join(f"{c} {kinds.get(c, 'long')}" for c in names))
+    schema = ", ".join(f"{f.name} {kinds.get(f.name, 'long')}" for f in _OUT if with_text or f.name not in ("kept", "spans"))
+    named = d.join(spans.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "spans").mapInArrow(_cut_out(with_text), schema)
+    # rows without a doc_id meet no others, so they need not be dealt
+    rest = all_.where("doc_id is null").withColumn("spans", F.lit(None).cast("array<binary>"))
+    return named.unionByName(rest.mapInArrow(_cut_out(with_text), schema))
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
