@@ -7,42 +7,52 @@ key it can't be turned back.
 ======  ==========================================================  ==========================================
 kind    found                                                       pseudonym
 ======  ==========================================================  ==========================================
-email   local@domain                                                letters by letters, digits by digits; the domain stays
+email   local@domain                                                digits by digits, small letters by small ones,
+                                                                    capitals by capitals; the domain stays
 card    13-19 digits, plain or in groups of four; Luhn valid         digits by digits, the last one makes it Luhn valid
 ip      IPv4 address                                                another IPv4 address
 ssn     ddd-dd-dddd in the ranges that are issued                   another number of those ranges
-phone   +1 and ten digits, (ddd) ddd-dddd, ddd-ddd-dddd, + and       digits by digits behind the country code's
-        8-15 digits                                                 first digit
+phone   +1 and ten digits, (ddd) ddd-dddd, ddd-ddd-dddd, with an     another such number; of others the digits behind
+        exchange of 200 or more; + and 8-15 digits, no 0 in front   the country code's first digit
 date    yyyy-mm-dd, dd/mm/yyyy or mm/dd/yyyy, dd.mm.yyyy of the      another date of those years in the same format
         years 1800-2199
 ======  ==========================================================  ==========================================
 
-Digit and letter strings go through an alternating Feistel network of ROUNDS rounds on their two halves, addresses,
-numbers and dates through one on two residues (65,536 x 65,536; 898 x 989,901; 189 x 773, the 146,097 days of 400
-years). The round function is SHA-256 of key, kind, round and the other half. A date written with slashes is read as
-dd/mm where that is valid, else as mm/dd. Matches that don't validate stay as they are.
-
-DataFrame functions only, one pass without a shuffle. Null texts stay null, empty ones empty. All rows and columns are
-kept in place.
+Every value is a number below a product of two sizes and goes through an alternating Feistel network of ROUNDS rounds on
+its two residues: digit strings by their halves, addresses 65,536 x 65,536, social security numbers 898 x 989,901, ten
+digit phones 100,000 x 80,000, dates 189 x 773 (the 146,097 days of 400 years). Local parts of mail addresses go in pieces
+of PIECE characters, each a number of mixed radix (10 for a digit, 26 for a letter, 1 for other characters); the classes
+of a piece's characters, its place and the piece before it enter the round function, so the whole is one-to-one within
+its format, case included. The round function is SHA-256 of key, kind, round and the other half. A date written with
+slashes is read as dd/mm where that is valid, else as mm/dd. Matches that don't validate stay as they are. Area codes of
+phones are not checked, so that numbers with invented ones don't stay.
+
+DataFrame functions only, one pass without a shuffle, in time that grows with the text: a text is matched once, with
+possessive patterns, and all values are put back at once. Null texts stay null, empty ones empty. All rows and columns
+are kept in place, whatever their names; columns named as the counts are replaced by them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecflow.llm import common
 
 ROUNDS = 8
-#: Letters of one Feistel network at most: halves of 12 letters fit 64 bits. Longer strings go in such pieces.
-PIECE = 24
+#: Characters of a mail address in one Feistel network: their number, 26**12 at most, fits 64 bits.
+PIECE = 12
 DAYS = (189, 773)
 SSN = (898, 99 * 9999)
+PHONE = (100_000, 80_000)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Patterns in the order in which they are tried at a place: fixed values.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    # possessive throughout: labels up to the first that starts with two letters, then all further ones
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+\.[A-Za-z]{2}[A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)*+",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:1[89]|2[01])[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:1[89]|2[01])[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:1[89]|2[01])[0-9]{2})(?![0-9A-Za-z/-])",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
@@ -50,11 +60,17 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|\+[0-9]{8,15})(?![0-9A-Za-z])",
 }
 #: All kinds but the first start with a digit, + or (: other places are passed at once.
-ANY = PATTERNS["email"] + "|(?=[0-9+(])(?:" + "|".join(p for k, p in PATTERNS.items() if k != "email") + ")"
-#: Texts with none of these hold nothing to find.
-SOME = "[0-9@]"
+NUMBERS = "(?=[0-9+(])(?:" + "|".join(p for k, p in PATTERNS.items() if k != "email") + ")"
+ANY = PATTERNS["email"] + "|" + NUMBERS
+#: A character that no pattern matches or looks at, and what follows it where a match starts or ends, or where a text
+#: holds the character itself.
+MARK, EDGE, OWN = "\x01", "\x02", "\x03"
 KINDS = ("email", "card", "ip", "ssn", "phone", "date")
-_AZ, _DIGITS26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
+
+
+def _div(x: Column, y: Column) -> Column:
+    """Whole quotient of whole numbers (``/`` gives a double, too coarse for 18 digits)."""
+    return F.call_function("div", x, y)
 
 
 class Feistel:
@@ -63,68 +79,99 @@ class Feistel:
     def __init__(self, key: str, rounds: int = ROUNDS):
         self.key, self.rounds = key, rounds
 
-    def _f(self, kind: str, *parts) -> Column:
+    def _f(self, head: Column, *parts: Column) -> Column:
         """60 bits of SHA-256, as a number."""
-        digest = F.sha2(F.concat_ws("|", F.lit(self.key), F.lit(kind), *(p.cast("string") for p in parts)), 256)
+        digest = F.sha2(F.concat_ws("|", F.lit(self.key), head, *(p.cast("string") for p in parts)), 256)
         return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
-    def _steps(self) -> Column:
-        return F.sequence(F.lit(0), F.lit(self.rounds - 1))
+    def pair(self, left: Column, right: Column, a, b, kind: str, *tweak: Column) -> Column:
+        """A permutation of pairs (l, r), l below a and r below b, as a struct."""
+
+        def step(s: Column, i: Column) -> Column:
+            even = i % 2 == 0
+            left = F.when(even, F.pmod(s["l"] + self._f(s["t"], i, s["r"]), s["a"])).otherwise(s["l"])
+            right = F.when(even, s["r"]).otherwise(F.pmod(s["r"] + self._f(s["t"], i, s["l"]), s["b"]))
+            return F.struct(left.alias("l"), right.alias("r"), s["a"].alias("a"), s["b"].alias("b"), s["t"].alias("t"))
+
+        # sizes and tweak are part of the state, so that they are worked out once
+        sizes = (F.lit(n) if isinstance(n, int) else n for n in (a, b))
+        start = F.struct(*(c.cast("long").alias(n) for c, n in zip((left, right, *sizes), "lrab", strict=True)), F.concat_ws("|", F.lit(kind), *(x.cast("string") for x in tweak)).alias("t"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(self.rounds - 1)), start, step)
 
     def residues(self, x: Column, a: int, b: int, kind: str) -> Column:
         """A permutation of 0 .. a * b - 1."""
+        both = self.pair(_div(x, F.lit(b)), F.pmod(x, F.lit(b)), a, b, kind)
+        return both["l"] * b + both["r"]
 
-        def step(s: Column, i: Column) -> Column:
-            even = i % 2 == 0
-            left = F.when(even, F.pmod(s["l"] + self._f(kind, i, s["r"]), F.lit(a))).otherwise(s["l"])
-            right = F.when(even, s["r"]).otherwise(F.pmod(s["r"] + self._f(kind, i, s["l"]), F.lit(b)))
-            return F.struct(left.alias("l"), right.alias("r"))
+    def digits(self, s: Column, kind: str) -> Column:
+        """A permutation of the digit strings of s's length (18 at most): its halves are the two residues."""
+        n = F.length(s)
+        m = F.floor(n / 2).cast("int")
+        size = [F.rpad(F.lit("1"), k + 1, F.lit("0")).cast("long") for k in (m, n - m)]
+        both = self.pair(F.coalesce(F.substr(s, F.lit(1), m).try_cast("long"), F.lit(0)), F.coalesce(F.substr(s, m + 1).try_cast("long"), F.lit(0)), *size, kind, n)
+        return F.concat(*(F.when(k == 0, F.lit("")).otherwise(F.lpad(both[c].cast("string"), k, F.lit("0"))) for c, k in (("l", m), ("r", n - m))))
 
-        start = F.struct(F.floor(x / b).cast("long").alias("l"), F.pmod(x, F.lit(b)).cast("long").alias("r"))
-        return F.aggregate(self._steps(), start, step, lambda s: s["l"] * b + s["r"])
+    def _piece(self, s: Column, kind: str, *tweak: Column) -> Column:
+        """A permutation of the strings of s's format (PIECE characters at most)."""
+        mask = F.translate(s, _ALL, _CLASSES)
+        half = F.floor(F.length(s) / 2).cast("int")
+        chars = [F.filter(F.split(x, ""), lambda c: c != "") for x in (F.substr(s, F.lit(1), half), F.substr(s, half + 1))]
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        number = [F.aggregate(c, zero, lambda n, x: n * _radix(x) + _value(x)) for c in chars]
+        size = [F.aggregate(c, one, lambda n, x: n * _radix(x)) for c in chars]
+        both = self.pair(*number, *size, kind, mask, *tweak)
 
-    def _number(self, s: Column, radix: int) -> Column:
-        return F.when(s == "", F.lit(0).cast("long")).otherwise(F.conv(F.translate(s, _AZ, _DIGITS26) if radix == 26 else s, radix, 10).cast("long"))
+        def write(n: Column, c: Column) -> Column:
+            def step(s: Column, x: Column) -> Column:
+                rest = F.pmod(s["n"], _radix(x))
+                # the least digit belongs to the last character
+                return F.struct(_div(s["n"], _radix(x)).alias("n"), F.concat(_char(x, rest), s["out"]).alias("out"))
 
-    def _text(self, x: Column, width: Column, radix: int) -> Column:
-        digits = F.lpad(F.lower(F.conv(x.cast("string"), 10, radix)), width, F.lit("0"))
-        return F.when(width == 0, F.lit("")).otherwise(F.translate(digits, _DIGITS26, _AZ) if radix == 26 else digits)
+            return F.aggregate(F.reverse(c), F.struct(n.alias("n"), F.lit("").alias("out")), step)["out"]
+
+        return F.concat(write(both["l"], chars[0]), write(both["r"], chars[1]))
+
+    def string(self, s: Column, kind: str) -> Column:
+        """A permutation of the strings of s's format: the classes of its characters in a row (digit, small letter,
+        capital, or a character that stays)."""
+        pieces = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+        before = F.concat(F.array(F.lit("")), F.slice(pieces, 1, F.size(pieces) - 1))
+        both = F.zip_with(pieces, before, lambda p, b: F.struct(p.alias("p"), b.alias("b")))
+        return F.when(s == "", s).otherwise(F.array_join(F.transform(both, lambda x, i: self._piece(x["p"], kind, i, x["b"])), ""))
 
-    def _piece(self, s: Column, radix: int, kind: str, tweak: Column) -> Column:
-        n = F.length(s)
-        u = F.floor(n / 2).cast("int")
-        v = n - u
 
-        def step(h: Column, i: Column) -> Column:
-            m = F.when(i % 2 == 0, u).otherwise(v)
-            size = F.pow(F.lit(float(radix)), m).cast("decimal(20,0)").cast("long")
-            new = F.pmod(self._number(h["a"], radix) + F.pmod(self._f(kind, tweak, n, i, h["b"]), size), size)
-            return F.struct(h["b"].alias("a"), self._text(new, m, radix).alias("b"))
+_DIGITS, _SMALL, _CAPITALS = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ALL, _CLASSES = _DIGITS + _SMALL + _CAPITALS, "9" * 10 + "a" * 26 + "A" * 26
 
-        start = F.struct(F.substr(s, F.lit(1), u).alias("a"), F.substr(s, u + 1).alias("b"))
-        return F.aggregate(self._steps(), start, step, lambda h: F.concat(h["a"], h["b"]))
 
-    def string(self, s: Column, radix: int, kind: str) -> Column:
-        """A permutation of the strings of s's length over 0-9 (radix 10) or a-z (radix 26)."""
-        pieces = F.sequence(F.lit(0), F.floor((F.length(s) - 1) / PIECE).cast("int"))
-        each = F.transform(pieces, lambda p: self._piece(F.substr(s, p * PIECE + 1, F.lit(PIECE)), radix, kind, p))
-        return F.when(s == "", F.lit("")).otherwise(F.array_join(each, ""))
+def _first(c: Column) -> Column:
+    """Code of a class's first character, null for other characters."""
+    return F.when(c.between("0", "9"), 48).when(c.between("a", "z"), 97).when(c.between("A", "Z"), 65)
+
+
+def _radix(c: Column) -> Column:
+    return F.when(c.between("0", "9"), 10).when(c.between("a", "z") | c.between("A", "Z"), 26).otherwise(1).cast("long")
+
+
+def _value(c: Column) -> Column:
+    return F.coalesce(F.ascii(c) - _first(c), F.lit(0)).cast("long")
+
+
+def _char(c: Column, value: Column) -> Column:
+    return F.coalesce(F.char(_first(c) + value), c)
 
 
 def _only(s: Column, not_kept: str) -> Column:
     return F.regexp_replace(s, not_kept, "")
 
 
-def _refill(shape: Column, digits: Column, letters: Column | None = None) -> Column:
-    """shape with its digits (and letters) replaced, one by one, by those given."""
+def _refill(shape: Column, digits: Column) -> Column:
+    """shape (of a few characters) with its digits replaced, one by one, by those given."""
 
     def char(i: Column) -> Column:
         c = F.substr(shape, i, F.lit(1))
         so_far = F.substr(shape, F.lit(1), i)
-        out = F.when(c.rlike("[0-9]"), F.substr(digits, F.length(_only(so_far, "[^0-9]")), F.lit(1)))
-        if letters is not None:
-            out = out.when(c.rlike("[A-Za-z]"), F.substr(letters, F.length(_only(so_far, "[^A-Za-z]")), F.lit(1)))
-        return out.otherwise(c)
+        return F.when(c.between("0", "9"), F.substr(digits, F.length(_only(so_far, "[^0-9]")), F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), char), "")
 
@@ -143,7 +190,7 @@ def luhn_sum(digits: Column) -> Column:
 
 def _card(m: Column, f: Feistel) -> Column:
     digits = _only(m, "[^0-9]")
-    body = f.string(F.substr(digits, F.lit(1), F.length(digits) - 1), 10, "card")
+    body = f.digits(F.substr(digits, F.lit(1), F.length(digits) - 1), "card")
     check = F.pmod(F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
     return _refill(m, F.concat(body, check))
 
@@ -168,12 +215,28 @@ def _ssn(m: Column, f: Feistel) -> Column:
     return F.concat_ws("-", F.lpad(new_area.cast("string"), 3, "0"), F.lpad((F.floor(y / 9999) % 99 + 1).cast("string"), 2, "0"), F.lpad((y % 9999 + 1).cast("string"), 4, "0"))
 
 
+#: Phones of ten digits behind an optional +1; all others are + and digits.
+_TEN = r"^(?:\+1[^0-9]*)?(?:[^0-9+]*[0-9]){10}$"
+
+
+def _ten(m: Column) -> Column:
+    """The last ten digits."""
+    return F.regexp_extract(_only(m, "[^0-9]"), "([0-9]{10})$", 1)
+
+
+def _phone_valid(m: Column) -> Column:
+    return F.when(m.rlike(_TEN), F.substr(_ten(m), F.lit(4), F.lit(1)) >= "2").otherwise(~m.rlike(r"^\+0"))
+
+
 def _phone(m: Column, f: Feistel) -> Column:
-    plus = m.startswith("+")
-    digits = _only(m, "[^0-9]")
-    kept = F.when(plus, F.substr(digits, F.lit(1), F.lit(1))).otherwise(F.lit(""))
-    rest = F.when(plus, F.substr(digits, F.lit(2))).otherwise(digits)
-    return _refill(m, F.concat(kept, f.string(rest, 10, "phone")))
+    ten = _ten(m)
+    area, exchange, line = (F.substr(ten, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
+    y = f.residues((area * 800 + exchange - 200) * 10_000 + line, *PHONE, "phone")
+    upper = _div(y, F.lit(10_000))
+    new = F.concat(F.lpad(_div(upper, F.lit(800)).cast("string"), 3, "0"), (upper % 800 + 200).cast("string"), F.lpad((y % 10_000).cast("string"), 4, "0"))
+    ten_new = _refill(m, F.concat(F.when(m.startswith("+"), "1").otherwise(""), new))
+    other = F.concat(F.substr(m, F.lit(1), F.lit(2)), f.digits(F.substr(m, F.lit(3)), "phone+"))
+    return F.when(m.rlike(_TEN), ten_new).otherwise(other)
 
 
 #: Pattern of the text, format of the date.
@@ -199,9 +262,8 @@ def _date(m: Column, f: Feistel) -> Column:
 
 
 def _email(m: Column, f: Feistel) -> Column:
-    local = F.regexp_extract(m, "^([^@]*)@", 1)
-    letters = f.string(F.lower(_only(local, "[^A-Za-z]")), 26, "email")
-    return F.concat(_refill(local, f.string(_only(local, "[^0-9]"), 10, "email"), letters), F.substr(m, F.length(local) + 1))
+    local = F.regexp_extract(m, "^([^@]*+)@", 1)
+    return F.concat(f.string(local, "email"), F.substr(m, F.length(local) + 1))
 
 
 def kind_of(m: Column) -> Column:
@@ -213,7 +275,7 @@ def kind_of(m: Column) -> Column:
         .when(whole["ip"], "ip")
         .when(whole["ssn"], F.when(_ssn_valid(m), "ssn"))
         .when(whole["card"], F.when(luhn_sum(_only(m, "[^0-9]")) % 10 == 0, "card"))
-        .otherwise("phone")
+        .otherwise(F.when(_phone_valid(m), "phone"))
     )
 
 
@@ -228,23 +290,30 @@ def pseudonym(m: Column, kind: Column, f: Feistel) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
     """docs with personal values of the text column replaced, and with counts also columns n_email, n_card, n_ip, n_ssn,
-    n_phone, n_date (which docs must not have before)."""
+    n_phone, n_date (in place of columns of these names)."""
     f = Feistel(key)
     t = F.col(text)
-    found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("match"), kind_of(m).alias("kind")))
-    found = F.transform(found, lambda p: F.struct(p["kind"].alias("kind"), pseudonym(p["match"], p["kind"], f).alias("text")))
-    gaps = F.split(t, ANY, -1)
-    both = F.struct(gaps.alias("gaps"), found.alias("found"))
-    d = docs.withColumn("__pii", F.when(t.rlike(SOME) & t.rlike(ANY), both))
-    put = F.zip_with(F.slice("__pii.gaps", 1, F.size("__pii.found")), F.col("__pii.found"), lambda g, p: F.concat(g, p["text"]))
-    new = F.concat(F.array_join(put, ""), F.element_at("__pii.gaps", -1))
+    # marks around the matches, by which the text is split into gaps and (every second one) matches
+    own = F.when(F.contains(t, F.lit(MARK)), F.replace(t, F.lit(MARK), F.lit(MARK + OWN))).otherwise(t)
+    mark = lambda pattern: F.regexp_replace(own, pattern, f"{MARK}{EDGE}$0{MARK}{EDGE}")
+    marked = F.when(F.contains(t, F.lit("@")), mark(ANY)).when(t.rlike("[0-9]"), mark(NUMBERS))
+    found = F.when(F.contains(marked, F.lit(MARK + EDGE)), F.split(marked, MARK + EDGE, -1))
+
+    def part(p: Column, i: Column) -> Column:
+        kind = F.when(i % 2 == 1, kind_of(p))
+        return F.struct(kind.alias("kind"), pseudonym(p, kind, f).alias("text"))
+
+    name = f"pii_{uuid.uuid4().hex}"
+    d = docs.withColumn(name, F.transform(found, part))
+    parts = F.col(name)
+    joined = F.array_join(F.transform(parts, lambda p: p["text"]), "")
+    new = F.when(F.contains(joined, F.lit(MARK)), F.replace(joined, F.lit(MARK + OWN), F.lit(MARK))).otherwise(joined)
 
     def count(kind: str) -> Column:
-        own = F.filter("__pii.found", lambda p: p["kind"] == kind)
-        return F.when(F.col("__pii").isNull(), 0).otherwise(F.size(own)).cast("long")
+        return F.when(parts.isNull(), 0).otherwise(F.size(F.filter(parts, lambda p: p["kind"] == kind))).cast("long")
 
     added = {f"n_{k}": count(k) for k in KINDS} if counts else {}
-    return d.withColumns({text: F.when(F.col("__pii").isNull(), t).otherwise(new), **added}).drop("__pii")
+    return d.withColumns({text: F.when(parts.isNull(), t).otherwise(new), **added}).drop(name)
 
 
 #: Key of the registered query; a real run brings its own secret.
