@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -183,35 +185,49 @@ def test_secrets(spark):
     assert secrets.scan(frame(spark)).count() == len(documents())
 
 
+def test_secrets_of_very_long_texts(spark):
+    """Long candidates and very many matches, in time that grows with the text."""
+    rng = np.random.default_rng(12)
+    letters = np.array(list(secrets.ALPHABET))
+    texts = ["".join(rng.choice(letters, 200_000)), "0123456789abcdef " * 50_000, "q9W8e7R6t5Y4u3I2o1P0 0123456789abcdef " * 20_000, "ab-" * 300_000, "a1" * 200_000, "=" * 300_000, "secret: " * 50_000, "AKIA" * 100_000]
+    start = time.monotonic()
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)).orderBy("doc_id").collect()
+    assert time.monotonic() - start < 90
+    for i in (0, 3, 4, 5, 6, 7):
+        assert got[i].spans == slow_spans(texts[i])[1], i
+    # many matches: the brute force is quadratic, so a prefix is compared and the rest counted
+    assert (got[1].n_hex, got[1].n_entropy) == (50_000, 0) and got[1].spans.endswith(f"hex:{17 * 49_999}:{17 * 49_999 + 16}")
+    assert got[2].spans.startswith(slow_spans(texts[2][:378])[1]) and (got[2].n_hex, got[2].n_entropy) == (20_000, 20_000)
+
+
 # languages
 
 
-def slow_phrases(t, sample, stretch=langid.STRETCH):
-    """Phrases of a normalised text: longest substrings of the sample, one after the other, in stretches."""
-    n = 0
-    for at in range(0, len(t), stretch):
-        s, i = t[at : at + stretch], 0
-        while i < len(s):
-            i += s[i] not in sample  # such a letter opens the phrase
-            k = 0
-            while i + k < len(s) and s[i : i + k + 1] in sample:
-                k += 1
-            n += 1
-            i += k
+def slow_phrases(t, sample):
+    """Phrases of a normalised text: longest substrings of the sample, one after the other."""
+    n = i = 0
+    while i < len(t):
+        i += t[i] not in sample  # such a letter opens the phrase
+        k = 0
+        while i + k < len(t) and t[i : i + k + 1] in sample:
+            k += 1
+        n += 1
+        i += k
     return n
 
 
 def test_phrases_are_longest_matches(monkeypatch):
     monkeypatch.setattr(langid, "STRETCH", 40)
+    monkeypatch.setattr(langid, "AT_ONCE", 1000)
     rng = np.random.default_rng(9)
     samples = {"aa": text(rng, 80, "abcd"), "bb": text(rng, 80, "abce")}
     m = langid.Model(samples)
     cut = min(len(langid._normal(s)) for s in samples.values())
     p = langid.Parser(m)
-    texts = [text(rng, 30, "abcdef"), "abc", "zz Z? zz", samples["aa"], "  a  "]
+    texts = [text(rng, 30, "abcdef"), "abc", "zz Z? zz", samples["aa"], "  a  ", samples["bb"] * 30, text(rng, 2000, "abcdef"), "q" * 3000, text(rng, 500, "ab")]
     got = p.phrases([p.codes(t) for t in texts])
     for t, row in zip(texts, got.tolist(), strict=True):
-        assert row == [slow_phrases(langid._normal(t), langid._normal(samples[x])[:cut], 40) for x in ("aa", "bb")]
+        assert row == [slow_phrases(langid._normal(t), langid._normal(samples[x])[:cut]) for x in ("aa", "bb")]
     langs, scores = p.predict([None, "", "12 ?", "Дом", samples["bb"]])
     assert langs[:3] == ["und"] * 3 and scores[:3] == [0.0] * 3 and langs[4] == "bb" and all(0 <= s <= 1 for s in scores)
 
@@ -231,6 +247,26 @@ def test_held_out_languages(spark):
     assert none.languages == [] and {r.lang_pred for r in langid.predict(docs.select("doc_id", "text"), none).collect()} == {"und"}
 
 
+def test_whole_query(spark, tmp_path):
+    """The registered query against a slow one: held-out rows, samples, phrases, predictions and scores."""
+    rng = np.random.default_rng(14)
+    rows = [(i, text(rng, int(rng.integers(1, 200)), "abcdxyz" if i % 2 else "lmnoabc"), None if i % 7 == 0 else "odd" if i % 2 else "even") for i in range(60)] + documents()
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0
+    got = Counter(tuple(r) for r in langid.op8_language_id(spark, str(tmp_path)).collect())
+    # the sample is part of the model: its documents are those of the smallest hashes in each language
+    model = langid.fit(frame(spark, [r for r in rows if not held(r[0])]))
+    assert set(model.languages) == {lang for i, t, lang in rows if lang and t and not held(i) and langid._normal(t)}
+    fresh = langid.fit(frame(spark, [r for r in rows if not held(r[0])]).drop("source"))
+    samples = {lang: langid._normal(s)[: model.cut] for lang, s in fresh.texts.items()}
+    want = Counter()
+    for i, t, _ in rows:
+        n = langid._normal(t or "")
+        counts = sorted((slow_phrases(n, samples[lang]), lang) for lang in samples)
+        want[(i, held(i), counts[0][1], 1 - counts[0][0] / counts[1][0]) if n else (i, held(i), "und", 0.0)] += 1
+    assert got == want
+
+
 def test_short_samples_and_many_languages(spark, monkeypatch):
     """A language of one short text spoils no other, and every language is learned, whatever their number."""
     rng = np.random.default_rng(6)

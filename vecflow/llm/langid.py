@@ -11,8 +11,10 @@ longest, so the phrase count decides; shorter samples stay whole and set no cut
 their text allows, with phrases that cost as much as those of the others); ties go to the first language by name. The score is 1 - best / second best, which is 0 where two languages parse alike
 and near 1 where one parses far better (1 with a single language).
 
-Parsing runs on many stretches of STRETCH characters in step, one numpy lookup for each character of all; every
-character of every text is parsed. Characters are lower-cased, and runs of those that are no letters count as one
+Each text is parsed as a whole, from its first letter to its last. The work runs on many stretches of STRETCH characters
+in step, one numpy lookup for each character of all: a first round parses every stretch as if a phrase began there, a
+second one takes each stretch up again in the state in which the one before ended, and stops where its state comes to be
+that of the first round, as it soon is; what follows is the same. Characters are lower-cased, and runs of those that are no letters count as one
 space. Null texts, and texts without a letter, get ``und`` and a score of 0. If nothing could be learned all do.
 
 The fitted tables (about 2 * sample characters * letters * 4 bytes for each language) go to every executor in blocks of
@@ -40,8 +42,9 @@ DOC_CHARS = 1500
 BLOCK = 64
 #: Samples below this share of the longest don't set the length that all are cut to.
 MIN_SHARE = 0.5
-#: Characters that are parsed in a row; each stretch starts a phrase anew.
+#: Characters that are parsed in a row, and characters whose states are kept at a time (8 bytes each).
 STRETCH = 512
+AT_ONCE = 1 << 21
 UNKNOWN = "und"
 
 
@@ -82,6 +85,7 @@ class Model:
         self.languages = sorted(samples)
         sizes = [len(_normal(s)) for s in samples.values()]
         self.cut = min((n for n in sizes if n >= MIN_SHARE * max(sizes)), default=0) if cut is None else cut
+        self.texts = samples
         self.samples = samples if len(samples) > BLOCK else None
         if self.samples:  # tables come with blocks()
             return
@@ -146,34 +150,109 @@ class Parser:
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Numbers of phrases, a row for each text and a column for each language."""
-        owner, pieces = [], []
-        for i, c in enumerate(texts):
-            for at in range(0, len(c), STRETCH):
-                owner.append(i)
-                pieces.append(c[at : at + STRETCH])
         total = np.zeros((len(texts), len(self.model.tables)), np.int64)
-        order = np.argsort([-len(p) for p in pieces], kind="stable")
-        for group in range(0, len(order), 8192):
-            idx = order[group : group + 8192]
-            size = np.array([len(pieces[i]) for i in idx])
-            grid = np.zeros((size[0], len(idx)), np.int16)
-            for j, i in enumerate(idx):
-                grid[: len(pieces[i]), j] = pieces[i]
-            live = np.searchsorted(-size, -np.arange(size[0]), "left")  # stretches longer than each step
-            mine = np.array([owner[i] for i in idx])
+        group: list[tuple[int, int, int]] = []  # (text, from, to) of texts or stretches of texts
+        size = 0
+        ends: list[dict[int, int]] = [{} for _ in self.model.tables]  # the state of texts that go on in the next group
+
+        def close():
             for k, table in enumerate(self.model.tables):
-                flat, width = table.reshape(-1), table.shape[1]
-                state = np.zeros(len(idx), np.int64)
-                n = np.zeros(len(idx), np.int64)
-                for step in range(size[0]):
-                    m = live[step]
-                    to = flat.take(state[:m] * width + grid[step, :m])
-                    anew = to < 0
-                    n[:m] += anew if step else 1
-                    state[:m] = np.where(anew, ~to, to)
-                np.add.at(total[:, k], mine, n)
+                ends[k] = self._parse(table, texts, group, ends[k], total[:, k])
+
+        for i, c in enumerate(texts):
+            at = 0
+            while at < len(c):
+                to = min(len(c), at + max(STRETCH, (AT_ONCE - size) // STRETCH * STRETCH))
+                group.append((i, at, to))
+                size, at = size + to - at, to
+                if size >= AT_ONCE:
+                    close()
+                    group, size = [], 0
+        if group:
+            close()
         return total
 
+    @staticmethod
+    def _parse(table: np.ndarray, texts: list[np.ndarray], group, begun: dict[int, int], total: np.ndarray) -> dict[int, int]:
+        """Add the phrases of a group to total. begun: states of texts that go on; returns those after the group."""
+        pieces, owner, before = [], [], []
+        for i, at, to in group:
+            for p in range(at, to, STRETCH):
+                before.append(len(pieces) - 1 if p > 0 and owner and owner[-1] == i else -1)
+                owner.append(i)
+                pieces.append(texts[i][p : min(to, p + STRETCH)])
+        flat, width = table.reshape(-1), table.shape[1]
+        owner, before = np.array(owner), np.array(before)
+        size = np.array([len(p) for p in pieces])
+        order = np.argsort(-size, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        longest = int(size.max())
+        grid = np.zeros((longest, len(order)), np.int16)
+        for j, i in enumerate(order):
+            grid[: size[i], j] = pieces[i]
+        live = np.searchsorted(-size[order], -np.arange(longest), "left")  # stretches longer than each step
+        # first round: each stretch by itself
+        states, anew = np.zeros((longest, len(order)), np.int32), np.zeros((longest, len(order)), bool)
+        state = np.zeros(len(order), np.int64)
+        n = np.zeros(len(order), np.int64)
+        for step in range(longest):
+            m = live[step]
+            to = flat.take(state[:m] * width + grid[step, :m])
+            new = to < 0
+            state[:m] = np.where(new, ~to, to)
+            if not step:
+                new[:] = True
+            states[step, :m], anew[step, :m] = state[:m], new
+            n[:m] += new
+        # second round: from the state before, until it is the state of the first round
+        last = state.copy()  # by place in the order
+        entry = np.full(len(order), -1)
+        for j, i in enumerate(order):
+            entry[j] = last[rank[before[i]]] if before[i] >= 0 else begun.get(int(owner[i]), -1)
+        again = np.flatnonzero(entry >= 0)
+        extra = np.zeros(len(order), np.int64)
+        follower = np.full(len(order), -1)
+        for j, i in enumerate(order):
+            if before[i] >= 0:
+                follower[rank[before[i]]] = j
+        length = size[order]
+        while len(again):
+            extra[again] = 0
+            lanes, now = again, entry[again]
+            changed = []
+            for step in range(longest):
+                over = length[lanes] <= step
+                if over.any():  # parsed to its end in a state of its own
+                    last_now = now[over]
+                    mine = lanes[over]
+                    differ = last[mine] != last_now
+                    last[mine] = last_now
+                    changed.append(mine[differ])
+                    lanes, now = lanes[~over], now[~over]
+                if not len(lanes):
+                    break
+                to = flat.take(now * width + grid[step, lanes])
+                new = to < 0
+                now = np.where(new, ~to, to)
+                extra[lanes] += new.astype(np.int64) - anew[step, lanes]
+                open_ = now != states[step, lanes]
+                if not open_.all():
+                    met = lanes[~open_]
+                    end = states[length[met] - 1, met]
+                    changed.append(met[last[met] != end])
+                    last[met] = end
+                    lanes, now = lanes[open_], now[open_]
+            if len(lanes):
+                changed.append(lanes[last[lanes] != now])
+                last[lanes] = now
+            again = follower[np.concatenate(changed)] if changed else np.zeros(0, np.int64)
+            again = np.unique(again[again >= 0])
+            behind = before[order[again]]
+            entry[again] = last[rank[behind]]
+        np.add.at(total, owner[order], n + extra)
+        return {i: int(last[rank[len(pieces) - 1]]) for i, _, to in group[-1:] if to < len(texts[i])}
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         coded = [self.codes(t) if t else np.zeros(0, np.int16) for t in texts]
         n = self.phrases(coded)
@@ -193,11 +272,14 @@ class Parser:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, doc_chars: int = DOC_CHARS) -> Model:
     """Model of labelled docs(doc_id, text, lang). Ids choose the sample, and are no input of a prediction."""
     some = docs.where("lang is not null and text is not null and length(trim(text)) > 0")
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid"))
+    key, own = F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.xxhash64("text")
     # the filter on the rank keeps sample_docs rows of a language in each task before anything is shuffled
-    ranked = some.select("lang", "doc_id", key.alias("k")).distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k", "doc_id"))).where(F.col("r") <= sample_docs)
-    ids = [r["doc_id"] for r in ranked.select("doc_id").collect()]
-    rows = some.where(F.col("doc_id").isin(ids)).select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("t")).distinct().collect() if ids else []
+    order = Window.partitionBy("lang").orderBy("k", "doc_id", "h")
+    ranked = some.select("lang", "doc_id", key.alias("k"), own.alias("h")).distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
+    chosen = ranked.select("doc_id", "h").collect()
+    # ids may repeat: the text's hash keeps the rows to sample_docs a language
+    mine = F.col("doc_id").isin([r["doc_id"] for r in chosen]) & own.isin([r["h"] for r in chosen])
+    rows = some.where(mine).select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("t")).distinct().collect() if chosen else []
     samples: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], zlib.crc32(str(r["doc_id"]).encode()), r["t"])):
         samples.setdefault(r["lang"], []).append(r["t"])
