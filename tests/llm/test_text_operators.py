@@ -310,5 +310,7 @@ def test_url_filters(spark):
             got = urlfilter.judge(pages, urlfilter.rules_frame(spark, rules), broadcast_rules=limit).collect()
             want = Counter((r[0], *slow_judge(r[1], [x for x in rules if x[0]])) for r in rows)
             assert Counter(tuple(r) for r in got) == want
+    long_ = spark.createDataFrame([(1, "http://" + "a." * 500_000 + "com/en/1"), (2, "http://" + "." * 500_000 + "/es/")], "page_id long, url string")
+    assert [r.rule for r in urlfilter.judge(long_, urlfilter.rules_frame(spark)).orderBy("page_id").collect()] == ["com/en/", None]
     assert urlfilter.judge(pages, urlfilter.rules_frame(spark, [])).where("verdict <> 'allow'").count() == 0
     assert urlfilter.judge(pages.limit(0), urlfilter.rules_frame(spark)).count() == 0

@@ -87,6 +87,16 @@ def test_packing(spark, plain):
     assert by_doc == want
 
 
+def test_sequences_lie_by_length_whatever_the_splits(spark, tmp_path):
+    one, many = (packing.pack(frame(spark).repartition(n), common.tokenizer_path()) for n in (1, 7))
+    name = lambda d: Counter((r.doc_id, r.start, r.ids_crc32, r.sequence_id) for r in d.collect())
+    assert name(one) == name(many)
+    packing.write(many, str(tmp_path / "packed"))
+    folders = {p.name for p in (tmp_path / "packed").iterdir() if p.is_dir()}
+    assert folders == {f"bucket={r.bucket}" for r in many.select("bucket").distinct().collect()}
+    assert spark.read.parquet(str(tmp_path / "packed" / "bucket=3")).where("length <> 8").isEmpty()
+
+
 def test_added_tokens_are_the_librarys(spark, tmp_path):
     library = Tokenizer.from_file(common.tokenizer_path())
     texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y<|endoftext", "plain"]

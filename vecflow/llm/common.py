@@ -31,12 +31,15 @@ def bound_batches(spark: SparkSession) -> None:
 def shared_path(spark: SparkSession, what: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the session names none (tests on one machine) a temporary folder is made and set.
+    Only where the session names none and runs on one machine (tests) a temporary folder is made and set; a cluster
+    without such a folder is an error, as its machines don't share their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="vecflow-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -50,6 +53,22 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, in one new shared folder that clear() removes."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.path = spark, shared_path(spark, what)
+
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        path = f"{self.path}/{what}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -122,7 +122,7 @@ def _next_draws(k: int, rate: float):
     return run
 
 
-def _split_texts(docs: DataFrame, ids: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+def _split_texts(docs: DataFrame, ids: DataFrame, reps: DataFrame, k: int, scratch: common.Scratch) -> DataFrame:
     """(id, text): one text of each set of ids(id)."""
 
     def run(batches):
@@ -133,10 +133,10 @@ def _split_texts(docs: DataFrame, ids: DataFrame, reps: DataFrame, k: int) -> Da
             same = [len(s) > 0 and set_name(s, 254) == set_id for s, set_id in zip(sets, batch.column(0).to_pylist(), strict=True)]
             yield batch.filter(pa.array(same, pa.bool_()))
 
-    doc = common.written(reps.select("id", F.col("doc").alias("doc_id")).join(ids.distinct(), "id", "left_semi"), "split-ids")
+    doc = scratch.written(reps.select("id", F.col("doc").alias("doc_id")).join(ids.distinct(), "id", "left_semi"), "split-ids")
     # few of them: the texts stay where they are
     found = docs.join(doc.hint("broadcast" if doc.count() <= COUNTED else "shuffle_hash"), "doc_id").select("id", "text").mapInArrow(run, "id long, text string")
-    return common.written(found.groupBy("id").agg(F.min("text").alias("text")), "split")
+    return scratch.written(found.groupBy("id").agg(F.min("text").alias("text")), "split")
 
 
 def _more_draws(texts: DataFrame, k: int, runs: int, more: int, rate: float) -> DataFrame:
@@ -156,7 +156,7 @@ def _more_draws(texts: DataFrame, k: int, runs: int, more: int, rate: float) ->
     return texts.mapInArrow(run, "id long, run long, token long").select("id", F.col("run").cast("int").alias("run"), "token")
 
 
-def _buckets(docs: DataFrame, reps: DataFrame, k: int, runs: int, more: int, rate: float, small: int, depth: int) -> DataFrame:
+def _buckets(docs: DataFrame, reps: DataFrame, k: int, runs: int, more: int, rate: float, small: int, depth: int, scratch: common.Scratch) -> DataFrame:
     """(bucket, id, members): the leaves of all paths that hold more than one set."""
 
     def leaves(level, at):
@@ -168,27 +168,27 @@ def _buckets(docs: DataFrame, reps: DataFrame, k: int, runs: int, more: int, rat
         return sized.where(leaf).select(F.col("path").alias("bucket"), "id", "members"), sized.where(~leaf)
 
     def first(tokens, name):
-        return common.written(tokens.select("id", F.xxhash64("run", "token").alias("path"), F.lit(None).cast("long").alias("above")), name)
+        return scratch.written(tokens.select("id", F.xxhash64("run", "token").alias("path"), F.lit(None).cast("long").alias("above")), name)
 
     tokens = reps.select("id", F.posexplode("draws").alias("run", "tokens")).select("id", "run", F.explode("tokens").alias("token"))
     done, large = leaves(first(tokens, "paths1"), 1)
     if depth == 1:
         return done
-    large = common.written(large, "large1")
+    large = scratch.written(large, "large1")
     if large.isEmpty():
         return done
-    texts = _split_texts(docs, large.select("id"), reps, k)
+    texts = _split_texts(docs, large.select("id"), reps, k, scratch)
     if more:
         also, larger = leaves(first(_more_draws(texts, k, runs, more, rate), "paths-more"), 1)
-        done, large = done.unionByName(also), common.written(large.unionByName(larger), "large1")
+        done, large = done.unionByName(also), scratch.written(large.unionByName(larger), "large1")
     for at in range(2, depth + 1):
         own = large.groupBy("id").agg(F.collect_list(F.struct("path", F.col("members").alias("above"))).alias("paths"))
         drawn = texts.join(own, "id").select("id", "text", "paths").mapInArrow(_next_draws(k, rate), "id long, path long, above long, token long")
-        level = common.written(drawn.select("id", F.xxhash64("path", "token").alias("path"), "above"), f"paths{at}")
+        level = scratch.written(drawn.select("id", F.xxhash64("path", "token").alias("path"), "above"), f"paths{at}")
         here, large = leaves(level, at)
         done = done.unionByName(here)
         if at < depth:
-            large = common.written(large, f"large{at}")
+            large = scratch.written(large, f"large{at}")
             if large.isEmpty():
                 break
     return done
@@ -325,22 +325,24 @@ def _send_sets(k: int, small: int):
     return run
 
 
-def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(id, root) of edges(id, root): the smallest id of each connected component, by alternating star contraction."""
-    e = common.written(edges.where("id <> root").select(F.greatest("id", "root").alias("u"), F.least("id", "root").alias("v")).distinct(), "edges")
-    state = None
-    for _ in range(most_rounds):
+def _stars(e: DataFrame) -> bool:
+    """Whether each u has one v, and no v is a u itself."""
+    return e.groupBy("u").count().where("count > 1").isEmpty() and e.select(F.col("v").alias("u")).join(e, "u", "left_semi").isEmpty()
+
+
+def components(edges: DataFrame, scratch: common.Scratch | None = None) -> DataFrame:
+    """(id, root) of edges(id, root): the smallest id of each connected component, by alternating star contraction,
+    which goes on until every component is one star."""
+    scratch = scratch or common.Scratch(edges.sparkSession, "components")
+    e = scratch.written(edges.where("id <> root").select(F.greatest("id", "root").alias("u"), F.least("id", "root").alias("v")).distinct(), "edges")
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = common.written(large, "stars")
+        large = scratch.written(large, "stars")
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = common.written(large.join(small, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()
-        if now == state:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        state = now
-    raise RuntimeError("components did not settle")
+        e = scratch.written(large.join(small, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct(), "edges")
+    return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, recall: float = RECALL, rate: float = RATE, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
@@ -348,22 +350,25 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
     spark = docs.sparkSession
     common.bound_batches(spark)
     runs, more = runs_for(threshold, recall, rate), more_runs_for(threshold, recall, rate, depth)
-    n = common.partitions(spark)
+    n, scratch = common.partitions(spark), common.Scratch(spark, "jaccard")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = common.written(_sets(d, shingle, runs, rate), "sets")
-    reps = common.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.any_value("draws").alias("draws")).withColumn("id", F.col("a")), "classes")
-    buckets = common.written(_named_once(_buckets(d, reps, shingle, runs, more, rate, small, depth)), "buckets")
+    sets = scratch.written(_sets(d, shingle, runs, rate), "sets")
+    reps = scratch.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.any_value("draws").alias("draws")).withColumn("id", F.col("a")), "classes")
+    buckets = scratch.written(_named_once(_buckets(d, reps, shingle, runs, more, rate, small, depth, scratch)), "buckets")
     own = buckets.groupBy("id").agg(F.collect_set(F.struct("bucket", "members")).alias("own")).join(reps.select("id", "doc"), "id")
     own = own.select(F.col("doc").alias("doc_id"), "id", "own").hint("shuffle_hash")
     sent = d.join(own, "doc_id").select("id", "text", "own").mapInArrow(_send_sets(shingle, small), "part long, id long, bucket long, keys array<long>, shingles binary, block int")
     met = sent.repartition(2 * n, "part").sortWithinPartitions("part").mapInArrow(_pairs_by_bucket(threshold), "id long, links long, root long")
-    met = common.written(met, "links")
+    met = scratch.written(met, "links")
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
-    rooted = reps.select("a", "b", "n", "id", "doc", "copies").join(links, "id", "left").join(components(met), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rooted = reps.select("a", "b", "n", "id", "doc", "copies").join(links, "id", "left").join(components(met, scratch), "id", "left").withColumn("root", F.coalesce("root", "id"))
     first = rooted.groupBy("root").agg(F.min("doc").alias("class_id"))
     classes = rooted.join(first, "root").select("a", "b", "n", "class_id", F.coalesce("links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies"))
     out = sets.select("doc_id", "a", "b", "n").join(classes, ["a", "b", "n"], "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.col("n").alias("n_shingles"))
+    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.col("n").alias("n_shingles"))
+    result = common.written(out, "near-duplicates")
+    scratch.clear()
+    return result
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

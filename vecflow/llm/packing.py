@@ -2,8 +2,10 @@
 
 A document's ids, closed by an end id, are cut into pieces whose lengths are powers of two of at most ``max_len``
 (its length in binary, as many pieces of ``max_len`` as fit). Every piece is a sequence of its own in the bucket of
-its length: no sequence crosses documents and none holds padding. Documents are independent of each other, so the
-work is one pass over the partitions of the scan, without a shuffle; a lost task is simply run again.
+its length: no sequence crosses documents and none holds padding. Pieces are cut where documents are scanned and then
+dealt by bucket, each bucket in SALTS parts by a hash of the piece, so that rows of one length lie together and no bucket
+is one task's; in a part they are in order of document and place and numbered. A sequence's number follows from the
+pieces alone, not from the splits of the scan. ``write`` lays buckets down as folders.
 
 Null and empty texts give the end id alone (one piece of length 1). Repeated rows each give their own pieces. Other
 columns of the input are left behind unless named in ``keep``. An empty table gives no rows.
@@ -14,12 +16,14 @@ from __future__ import annotations
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecflow.llm import common, tokens
 
 MAX_LEN = 2048
+#: Parts of a bucket, and bits of a number within a part.
+SALTS, NUMBER_BITS = 256, 40
 
 
 def pieces_of(n: int, max_len: int = MAX_LEN) -> list[int]:
@@ -64,8 +68,16 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, max_len: int = MAX_LE
 
     kinds = {"doc_id": "long", "start": "long", "length": "long", "ids": "binary", "ids_crc32": "long", "doc_tokens": "long", "bucket": "int"}
     out = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, ", ".join(f"{f.name} {kinds[f.name]}" for f in schema))
-    # the scan's partitions number the sequences without a shuffle: each piece is one sequence
-    return out.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    # each piece is one sequence: numbered within its part of its bucket
+    part = F.col("bucket").cast("long") * SALTS + F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS))
+    order = Window.partitionBy("part").orderBy("doc_id", "start", "ids_crc32")
+    numbered = out.withColumn("part", part).withColumn("sequence_id", F.shiftleft("part", NUMBER_BITS) + F.row_number().over(order) - 1)
+    return numbered.drop("part").withColumn("offset", F.lit(0).cast("long"))
+
+
+def write(pieces: DataFrame, path: str) -> None:
+    """Pieces as Parquet files, a folder for each sequence length (``bucket=11`` holds sequences of 2048 ids)."""
+    pieces.write.partitionBy("bucket").option("compression", "zstd").parquet(path)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A rule is a verdict for a host and the start of a path, written ``host/path``; it fits the host and all its
 subdomains where the path starts with the rule's. Each distinct (host, path) of the urls is expanded into every
-host suffix with every path prefix of a length that some rule has; expressions and rules meet in an equi-join on
+host suffix with a number of labels, and every path prefix of a length, that some rule has; expressions and rules meet in an equi-join on
 the first 8 hex digits of their SHA-256, the full digests confirm, and the longest rule wins (by its written length;
 ties by the longer host, then the text of the rule, then block before allow). Urls without a fitting rule are
 allowed, or get the ``default`` verdict.
@@ -54,7 +54,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", broadcast_
     parted = parted.select("page_id", host.alias("host"), path.alias("path"))
 
     clean = rules.select("host", "path", "verdict").where("host is not null and path is not null and verdict is not null").distinct()
-    size = clean.agg(F.count("*").alias("n"), F.collect_set(F.length("path")).alias("lengths")).first()
+    size = clean.agg(F.count("*").alias("n"), F.collect_set(F.length("path")).alias("lengths"), F.collect_set(F.size(F.split("host", r"\."))).alias("labels")).first()
     lengths = sorted(size["lengths"] or [])  # distinct lengths of rule paths: at most the longest path
     text = F.concat("host", "path")
     keyed = clean.select(
@@ -64,8 +64,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", broadcast_
     if size["n"] <= broadcast_rules:
         keyed = F.broadcast(keyed)
 
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    n_labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    counts = sorted(size["labels"] or [])
+    suffixes = F.array_compact(F.array(*(F.when(n_labels >= n, F.substring_index("host", ".", -n)) for n in counts))) if counts else F.array().cast("array<string>")
     prefixes = F.array(*(F.when(F.length("path") >= n, F.expr(f"substring(path, 1, {n})")) for n in lengths)) if lengths else F.array().cast("array<string>")
     expressions = (
         parted.where("host <> ''").select("host", "path").distinct()
