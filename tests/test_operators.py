@@ -44,6 +44,34 @@ def test_late_discovery_takes_over_channel_ticks(spark):
     assert [t for t, _ in released(spark, rows)] == [150]
 
 
+def test_a_long_chain_of_late_discovery(spark, monkeypatch):
+    """Each virtual channel's own event decides on the next one's: one link a pass, however many."""
+    n, rows = 60, []
+    for i in range(n):
+        # v_i is first seen by an event that is late exactly if v_{i-1} was not tracked before
+        rows += [("Insert", f"v{i:02d}", 10 * i + 5), ("TimeTick", None, 10 * i + 10), ("Insert", f"v{i:02d}", 10 * i + 12)]
+    rows.append(("TimeTick", None, 10_000))
+    ticks, channel_tick, mark, late = {}, 0, 0, []
+    for p, (kind, v, tso) in enumerate(rows):
+        if kind == "TimeTick":
+            channel_tick = max(channel_tick, tso)
+            ticks = {k: max(t, tso) for k, t in ticks.items()}
+            mark = max(mark, min(ticks.values(), default=channel_tick))
+        elif mark > 0 and tso <= mark:
+            late.append(p)
+        else:
+            ticks.setdefault(v, channel_tick)
+    for walk in (O.WALK, 0):  # one by one, and by repetition
+        monkeypatch.setattr(O, "WALK", walk)
+        assert sorted(r.p for r in O.Ordered(log(spark, rows[: 3 * n if walk else 18])).events.where("late").collect()) == [p for p in late if p < (3 * n if walk else 18)]
+
+
+def test_running_values(spark):
+    d = spark.createDataFrame([("c", k, v) for k, v in ((0, None), (1, 3), (9, 2), (10, 5), (25, None), (31, 4))], "c string, k long, v long")
+    got = asof.running(d, ["c"], "k", "v", "m", 10, "was").orderBy("k").collect()
+    assert [(r.m, r.was) for r in got] == [(None, None), (3, None), (3, 3), (5, 3), (5, 5), (5, 5)]
+
+
 def test_message_ids(spark):
     ids = [bytes.fromhex("3930000000000000"), b"67890", b"abc", b"", None, bytes.fromhex("ffffffffffffffff")]
     got = L.decode_checkpoint(spark.createDataFrame([(str(i), b, i) for i, b in enumerate(ids)], "pchannel string, msg_id binary, tso long")).orderBy("tso").collect()

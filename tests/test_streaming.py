@@ -3,6 +3,7 @@
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from vecflow.operators import ordering as O
@@ -80,7 +81,9 @@ def test_stream_is_the_model_and_survives_a_restart(spark, tmp_path):
     assert sorted(r.p for r in dropped.collect()) == sorted(late)
 
 
-def test_batch_form_is_the_model(spark):
+@pytest.mark.parametrize("walk", [O.WALK, 0])
+def test_batch_form_is_the_model(spark, monkeypatch, walk):
+    monkeypatch.setattr(O, "WALK", walk)
     logs = {f"c{i}": random_log(i, 60) for i in range(12)}
     df = spark.createDataFrame([(p, k, c, v and f"{c}_{v}", t) for c, rows in logs.items() for p, k, v, t in rows], "p long, kind string, pchannel string, vchannel string, tso long")
     o = O.Ordered(df)

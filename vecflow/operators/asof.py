@@ -1,8 +1,8 @@
 """As-of joins and running numbers without a window over the large side.
 
 The key axis is cut into buckets. The small side (change points) is gathered by bucket, with the nearest point beyond
-the bucket carried in; the large side meets its bucket's row in an equi-join. So the large side is spread over as many
-tasks as it has buckets, however few channels there are.
+the bucket carried in; the large side meets its bucket's row in an equi-join and searches its points by halving. So the
+large side is spread over as many tasks as it has buckets, however few channels there are.
 """
 
 from __future__ import annotations
@@ -11,31 +11,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None) -> DataFrame:
+#: Buckets of the key axis whose carried points are put together at once.
+SPINE = 4096
+
+
+def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None, keys: DataFrame | None = None) -> DataFrame:
     """left with the value of the nearest right row: the last with point < key, or forward the first with point > key;
-    with strict False equal points count too. Null where there is none. Points are unique within ``on``."""
+    with strict False equal points count too. Null where there is none. Points are unique within ``on``. ``keys`` may hold
+    the columns on and key of left, or more of them, where they are cheaper to come by than left itself."""
     name = name or value
     bucket = F.floor(F.col(key) / F.lit(width)).cast("long")
     l = left.withColumn("__b", bucket)
     r = right.select(*on, F.floor(F.col(point) / F.lit(width)).cast("long").alias("__b"), F.struct(F.col(point).alias("k"), F.col(value).alias("v")).alias("__x"))
     mine = r.groupBy(*on, "__b").agg(F.array_sort(F.collect_list("__x")).alias("__pts"))
     edge = F.element_at("__pts", 1 if forward else -1)
-    spine = l.select(*on, "__b").distinct().join(mine, [*on, "__b"], "full_outer")
-    w = Window.partitionBy(*on).orderBy(F.col("__b").desc() if forward else F.col("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    spine = spine.withColumn("__carry", F.last(F.when(F.col("__pts").isNotNull(), edge), ignorenulls=True).over(w))
-    k = F.col(key)
-
-    def fits(x: Column) -> Column:
-        a = x["k"]
-        if forward:
-            return a > k if strict else a >= k
-        return a < k if strict else a <= k
-
-    own = F.filter("__pts", fits)
-    best = F.coalesce(F.try_element_at(own, F.lit(1 if forward else -1)), F.col("__carry"))
+    spine = (left if keys is None else keys).select(*on, bucket.alias("__b")).distinct().join(mine, [*on, "__b"], "full_outer")
+    # the nearest point beyond a bucket is the greatest of those before it (forward: the least of those after it)
+    spine = spine.withColumns({"__at": -F.col("__b") if forward else F.col("__b"), "__edge": F.when(F.col("__pts").isNotNull(), edge)})
+    spine = running(spine, on, "__at", "__edge", None, SPINE, "__carry", least=forward).drop("__at", "__edge")
+    # points that lie before the one sought (forward) or up to it
+    n = _up_to(F.col("__pts"), F.col(key), strict if forward else not strict)
+    best = F.coalesce(F.get("__pts", n if forward else n - 1), F.col("__carry"))
     return l.join(spine, [*on, "__b"], "left").withColumn(name, best["v"]).drop("__b", "__pts", "__carry")
 
 
+def _up_to(points: Column, key: Column, equal: bool) -> Column:
+    """How many of an array's sorted points have k < key, or with equal k <= key; 0 of a null array."""
+    size = F.greatest(F.coalesce(F.size(points), F.lit(0)), F.lit(0))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        k = F.get(points, mid)["k"]
+        below = (s["lo"] < s["hi"]) & F.coalesce(k <= key if equal else k < key, F.lit(False))
+        return F.struct(F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+
+    halvings = F.ceil(F.log2(size + 1)).cast("int")
+    found = F.aggregate(F.sequence(F.lit(1), halvings), F.struct(F.lit(0).alias("lo"), size.alias("hi")), step, lambda s: s["lo"])
+    return F.when(size > 0, found).otherwise(0)
+
+
+def running(df: DataFrame, within: list[str], key: str, value: str, name: str | None, width: int, before: str | None = None, least: bool = False) -> DataFrame:
+    """df with the running maximum (or minimum) of a column in key order as ``name``, put together from buckets of the key
+    as in ``number``, and as ``before`` that of the rows before (null at the first). Keys are unique within ``within``."""
+    top, choose = (F.min, F.least) if least else (F.max, F.greatest)
+    d = df.withColumn("__r", F.floor(F.col(key) / F.lit(width)).cast("long"))
+    tops = d.groupBy(*within, "__r").agg(top(value).alias("__m"))
+    ahead = Window.partitionBy(*within).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    reach = tops.select(*within, "__r", top("__m").over(ahead).alias("__reach"))
+    own = Window.partitionBy(*within, "__r").orderBy(key)
+    parts = {n: top(value).over(w) for n, w in ((name, own), (before, own.rowsBetween(Window.unboundedPreceding, -1))) if n}
+    d = d.withColumns(parts).join(reach, [*within, "__r"])
+    return d.withColumns({n: choose(n, "__reach") for n in parts}).drop("__r", "__reach")
+
+
 def number(df: DataFrame, within: list[str], axis: Column, order: list[Column], name: str = "seq") -> DataFrame:
     """df with running numbers from 1 in the given order: numbered within buckets of the axis (which must rise with the
     order), and shifted by the sizes of the buckets before."""

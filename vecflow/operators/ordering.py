@@ -7,10 +7,13 @@ tso, in order of tso, deletes before inserts within a tso, then by position.
 
 A virtual channel is tracked from its first tick or first event that isn't late. One first seen by an event takes over
 earlier channel-level ticks, one first seen by its own tick doesn't. Lateness depends on tracking and tracking on
-lateness, always on earlier positions only, so repeating the computation ends at the one solution.
+lateness, always on earlier positions only, so repeating the computation ends at the one solution. Only events that come
+before the first tick of their own virtual channel bear on tracking, with the ticks up to the last of them. Up to WALK
+such rows are gone through one by one; more are solved by repetition, which ends when the first sightings (one row for
+each virtual channel) come out as they went in, however many links that takes. All events are joined once, at the end.
 
-All windows run on ticks, by channel; events meet the watermark's change points by bucketed as-of joins, so a channel
-that holds the whole log is still spread over all tasks.
+Running maxima of ticks are put together from buckets of offsets, and events meet the watermark's change points by
+bucketed as-of joins, so a channel that holds the whole log is still spread over all tasks.
 """
 
 from __future__ import annotations
@@ -19,11 +22,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecflow.functions.tso import SHIFT
-from vecflow.operators.asof import asof, number
+from vecflow.operators.asof import asof, number, running
 
 TICK = "TimeTick"
-#: Offsets in a bucket of the arrival axis, and tso in one of the release axis (about a minute).
-OFFSETS, TSOS = 4096, 60_000 << SHIFT
+#: Offsets in a bucket of the arrival axis, and tso in one of the release axis (about a minute): each event meets the
+#: change points of its bucket. Offsets of which running maxima are put together at once.
+OFFSETS, TSOS, RANGE = 64, 60_000 << SHIFT, 4096
+
+
+#: Rows that are gone through on the driver at most.
+WALK = 20_000
 
 
 def op_rank(kind: Column) -> Column:
@@ -46,23 +54,21 @@ def tick_grid(ticks: DataFrame, seen: DataFrame) -> DataFrame:
     t = ticks.select("pchannel", "p", F.col("vchannel").alias("of"), "tso")
     s = seen.select("pchannel", F.col("vchannel").alias("vc"), "p0", "by_event")
     takes = F.when(F.col("of") == F.col("vc"), F.col("tso")).when(F.col("of").isNull() & ((F.col("p") > F.col("p0")) | F.col("by_event")), F.col("tso"))
-    w = Window.partitionBy("pchannel", "vc").orderBy("p")
-    grid = t.join(s, "pchannel").withColumn("level", F.max(takes).over(w))
+    grid = running(t.join(s, "pchannel").withColumn("takes", takes), ["pchannel", "vc"], "p", "takes", "level", RANGE)
     return grid.select("pchannel", "p", "vc", "level", (F.col("p") >= F.col("p0")).alias("live"))
 
 
 def watermarks(ticks: DataFrame, seen: DataFrame) -> DataFrame:
-    """(pchannel, p, g): the global watermark after each tick."""
+    """(pchannel, p, g, was): the global watermark after each tick and before it (null at the first)."""
     least = tick_grid(ticks, seen).where("live").groupBy("pchannel", "p").agg(F.min(F.coalesce("level", F.lit(0).cast("long"))).alias("w"))
     alone = F.when(F.col("vchannel").isNull(), F.col("tso")).otherwise(F.lit(0).cast("long"))
     each = ticks.join(least, ["pchannel", "p"], "left").withColumn("w", F.coalesce("w", alone))
-    return each.select("pchannel", "p", F.max("w").over(Window.partitionBy("pchannel").orderBy("p")).alias("g"))
+    return running(each, ["pchannel"], "p", "w", "g", RANGE, "was").select("pchannel", "p", "g", "was")
 
 
 def change_points(marks: DataFrame) -> DataFrame:
     """Ticks that lift the watermark."""
-    before = F.lag("g").over(Window.partitionBy("pchannel").orderBy("p"))
-    return marks.withColumn("was", before).where("was is null or g > was").drop("was")
+    return marks.where("was is null or g > was").drop("was")
 
 
 def with_watermark(events: DataFrame, marks: DataFrame, width: int = OFFSETS) -> DataFrame:
@@ -72,37 +78,85 @@ def with_watermark(events: DataFrame, marks: DataFrame, width: int = OFFSETS) ->
 
 
 class Ordered:
-    """The solution for one log: seen, marks (watermarks) and events (with g_before and late)."""
+    """The solution for one log: seen, marks (watermarks) and events (with g_before and late).
+
+    Ticks and watermarks are kept in storage until close()."""
 
-    def __init__(self, log: DataFrame, most_passes: int = 50):
-        # ticks are few next to events, and every pass needs them more than once
+    def __init__(self, log: DataFrame):
         ticks, events = ticks_of(log).persist(), log.where(F.col("kind") != TICK)
-        self.ticks = ticks
-        self.marks = None
-        seen, state = first_seen(log), None
-        for _ in range(most_passes):
-            self.seen = seen = _kept(seen)
-            now = seen.agg(F.count("*"), F.sum(F.xxhash64("pchannel", "vchannel", "p0", "by_event") % 1_000_003)).first()
-            if now == state:
-                return
-            state = now
-            if self.marks is not None:
-                self.marks.unpersist()
-            self.marks = watermarks(ticks, seen).persist()
-            self.events = with_watermark(events, self.marks)
-            on_time = self.events.where("not late").select("pchannel", "vchannel", "p", "kind")
-            seen = first_seen(on_time.unionByName(ticks.select("pchannel", "vchannel", "p", F.lit(TICK).alias("kind"))))
-        raise RuntimeError("the late set did not settle")
+        own = ticks.where("vchannel is not null").groupBy("pchannel", "vchannel").agg(F.min("p").alias("p"))
+        own = own.withColumn("kind", F.lit(TICK)).persist()
+        first = own.select("pchannel", "vchannel", F.col("p").alias("first"))
+        early = events.where("vchannel is not null").select("pchannel", "vchannel", "p", "tso", "kind").join(first, ["pchannel", "vchannel"], "left")
+        early = early.where("first is null or p < first").drop("first").persist()
+        last = early.groupBy("pchannel").agg(F.max("p").alias("last"))
+        near = ticks.join(last, "pchannel").where("p < last").drop("last").persist()
+        few = early.select("pchannel", "p", "kind", "vchannel", "tso").unionByName(near.withColumn("kind", F.lit(TICK))).limit(WALK + 1).collect()
+        self.seen = _walked(log, few, own) if len(few) <= WALK else _repeated(log, near, early, own)
+        for df in (near, early, own):
+            df.unpersist()
+        self.log, self.ticks = events, ticks
+        self.marks = watermarks(ticks, self.seen).persist()
+        self.events = with_watermark(events, self.marks)
+
+    def close(self) -> None:
+        self.ticks.unpersist()
+        self.marks.unpersist()
 
     def released(self, width: int = TSOS) -> DataFrame:
         """Events that aren't late with release_p, the tick that releases them (null: still pending)."""
         points = change_points(self.marks).groupBy("pchannel", "g").agg(F.min("p").alias("release_p"))
-        return asof(self.events.where("not late"), points, ["pchannel"], "tso", "g", "release_p", forward=True, strict=False, width=width)
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """A small table held by value: first sightings, one row for each virtual channel."""
-    return df.sparkSession.createDataFrame(df.toArrow())
+        return asof(self.events.where("not late"), points, ["pchannel"], "tso", "g", "release_p", forward=True, strict=False, width=width, keys=self.log)
+
+
+def _rows(seen: DataFrame) -> list[tuple]:
+    """First sightings as values: one for each virtual channel."""
+    return sorted(tuple(r) for r in seen.select("pchannel", "vchannel", "p0", "by_event").collect())
+
+
+def _table(log: DataFrame, rows: list[tuple]) -> DataFrame:
+    return log.sparkSession.createDataFrame(rows, "pchannel string, vchannel string, p0 long, by_event boolean")
+
+
+def _walked(log: DataFrame, rows: list, own: DataFrame) -> DataFrame:
+    """First sightings by going through the rows that bear on them one by one."""
+    seen, levels, ticks, marks = {(r["pchannel"], r["vchannel"]): (r["p"], False) for r in own.collect()}, {}, {}, {}
+    for r in sorted(rows, key=lambda r: (r["pchannel"], r["p"])):
+        c, v, tso = r["pchannel"], r["vchannel"], r["tso"]
+        mine, mark = levels.setdefault(c, {}), marks.get(c, 0)
+        if r["kind"] == TICK:
+            if v is None:
+                ticks[c] = max(ticks.get(c, 0), tso)
+            for x in list(mine) if v is None else [v]:
+                mine[x] = max(mine.get(x, 0), tso)
+            marks[c] = max(mark, min(mine.values(), default=ticks.get(c, 0)))
+        elif not (mark > 0 and tso <= mark) and v not in mine:
+            mine[v] = ticks.get(c, 0)
+            seen[c, v] = (r["p"], True)
+    return _table(log, sorted((*k, *x) for k, x in seen.items()))
+
+
+def _repeated(log: DataFrame, ticks: DataFrame, early: DataFrame, own: DataFrame) -> DataFrame:
+    """First sightings by repetition until they stay as they are."""
+    names = ["pchannel", "vchannel"]
+    # no watermark exceeds the ticks so far: an event above them all is on time whatever is tracked
+    tops = running(ticks, ["pchannel"], "p", "tso", "g", RANGE, "was")
+    sure = with_watermark(early, tops).withColumn("sure", ~F.col("late")).select(*names, "p", "kind", "sure")
+    first = sure.unionByName(own.withColumn("sure", F.lit(True))).groupBy(*names)
+    first = first.agg(F.min("p").alias("p0"), F.min_by(F.col("kind") != TICK, "p").alias("by_event"), F.min_by("sure", "p").alias("sure")).collect()
+    settled = sorted(tuple(r)[:4] for r in first if r["sure"])
+    open_ = log.sparkSession.createDataFrame([(r["pchannel"], r["vchannel"]) for r in first if not r["sure"]], "pchannel string, vchannel string")
+    doubtful, own = early.join(open_, names, "left_semi").persist(), own.join(open_, names, "left_semi").persist()
+    on_time, before = doubtful, None
+    while True:
+        rows = sorted(settled + _rows(first_seen(on_time.unionByName(own, allowMissingColumns=True))))
+        seen = _table(log, rows)
+        if rows == before or len(rows) == len(settled):
+            break
+        before, on_time = rows, with_watermark(doubtful, watermarks(ticks, seen)).where("not late")
+    doubtful.unpersist()
+    own.unpersist()
+    return seen
 
 
 def in_order(events: DataFrame) -> DataFrame:

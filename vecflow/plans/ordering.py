@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vecflow import fixtures
 from vecflow.functions import tso as T
 from vecflow.operators import ordering as O
+from vecflow.operators.asof import running
 from vecflow.plans.registry import query
 from vecflow.plans.sql import on, solution
 
@@ -38,10 +39,8 @@ def release_position(spark, sf_dir):
 
 @query("vchannel_timeticks", on(fixtures.LOG_MULTI) + " SELECT pchannel, vchannel, p, max(tso) OVER (PARTITION BY pchannel, vchannel ORDER BY p) AS tick FROM log_multi WHERE kind = 'TimeTick' AND vchannel IS NOT NULL")
 def vchannel_timeticks(spark, sf_dir):
-    from pyspark.sql import Window
-
     own = O.ticks_of(fixtures.log_multi(spark, sf_dir)).where("vchannel is not null")
-    return own.select("pchannel", "vchannel", "p", F.max("tso").over(Window.partitionBy("pchannel", "vchannel").orderBy("p")).alias("tick"))
+    return running(own, ["pchannel", "vchannel"], "p", "tso", "tick", O.RANGE).select("pchannel", "vchannel", "p", "tick")
 
 
 @query("channel_ticks", solution() + " SELECT p, vc, level FROM gr WHERE live")
