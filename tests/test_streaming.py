@@ -112,14 +112,29 @@ def test_stalled_channel_is_released(spark, tmp_path):
         q.stop()
 
 
-def test_full_buffer_loses_nothing_and_stored_ticks_count(spark, tmp_path):
-    src = tmp_path / "in"
-    put(spark, src, [(i, "Insert", "v0", 1000 + i) for i in range(10)] + [(10, "Insert", "v0", 50)], "a")
-    ticks = spark.createDataFrame([("c", "v0", 60), ("c", "v1", 60)], "pchannel string, vchannel string, tick long")
-    drain(spark, src, tmp_path / "out", tmp_path / "ck", 11, S.Options(10**9, max_events=4), ticks)
+def test_full_buffer_makes_nothing_late_and_stored_ticks_count(spark, tmp_path):
+    """A full channel that isn't stalled waits for its watermark: later events on time stay on time."""
+    src, options = tmp_path / "in", S.Options(10**9, max_events=4, heartbeats=True)
+    put(spark, src, [(i, "Insert", "v0", 1000 + i) for i in range(10)] + [(10, "Insert", "v0", 50), (11, "Insert", "v0", 990)], "a")
+    ticks = spark.createDataFrame([("c", "v0", 60), ("c", "v1", 60), ("c", None, 70)], "pchannel string, vchannel string, tick long")
+    drain(spark, src, tmp_path / "out", tmp_path / "ck", 12, options, ticks)
+    # v2 takes over the stored channel-level tick of 70
+    put(spark, src, [(12, "Insert", "v2", 995), (13, "TimeTick", "v0", 5000), (14, "TimeTick", "v1", 1004)], "b")
+    drain(spark, src, tmp_path / "out", tmp_path / "ck", 3, options)
+    put(spark, src, [(15, "TimeTick", "v2", 1004)], "c")
+    drain(spark, src, tmp_path / "out", tmp_path / "ck", 1, options)
     got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted(r.p for r in got if r.route == "forced") == list(range(8))  # two full buffers of four
+    changes = sorted((r for r in got if r.route in ("change", "forced")), key=lambda r: r.seq)
+    assert [r.p for r in changes] == [11, 12, 0, 1, 2, 3, 4] and {r.route for r in changes} == {"change"}
     assert [r.p for r in got if r.route == "late"] == [10]  # below the stored ticks
+    assert sorted((r.p, r.watermark) for r in got if r.route == "heartbeat") == [(11, 60), (14, 70), (15, 1004)]
+
+
+def test_full_and_stalled_channel_is_released(spark, tmp_path):
+    put(spark, tmp_path / "in", [(i, "Insert", "v0", 1000 - i) for i in range(5)], "a")
+    drain(spark, tmp_path / "in", tmp_path / "out", tmp_path / "ck", 5, S.Options(0, max_events=4))
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("seq").collect()
+    assert [(r.p, r.route, r.watermark) for r in got] == [(4 - i, "forced", 1000) for i in range(5)]
 
 
 def test_rows_of_one_message_all_come_out(spark, tmp_path):

@@ -1,21 +1,22 @@
 """Watermark ordering of a stream: exact and sequential within each physical channel, in parallel across channels.
 
 State of a channel (RocksDB): ticks of its virtual channels, the channel-level tick, the global watermark, the time of
-its last advance, and pending events keyed by (tso, rank, offset, row_pos): rows of one message share its
-offset and differ in row_pos (rows of a multi-row insert, keys of a delete). Rows that are alike in all four, as where
-the input has no row_pos, are numbered in order of arrival. Each micro-batch sorts a channel's rows by (offset, row_pos)
-and applies them one by one: late events go out at once with route "late", ticks release pending events in order with
-route "change". If the watermark has not advanced for ``stall_timeout_ms`` while events are pending, everything pending
-is released in order (route "forced") and the watermark rises to the highest of them. Where ``max_events`` or
-``max_bytes`` are exceeded, pending events are released likewise: nothing is lost. Source rate limits (maxFilesPerTrigger,
-maxOffsetsPerTrigger) keep micro-batches small.
+its last advance, and pending events by ranges of tso (SPAN), of which a batch reads and writes only those that its rows
+touch. Rows of one message share their offset and differ in row_pos (rows of a multi-row insert, keys of a delete). Each
+micro-batch sorts a channel's rows by (offset, row_pos) and applies them one by one: late events go out at once with route
+"late", ticks release pending events in order (tso, deletes first, offset, row_pos) with route "change". If the watermark
+has not advanced for ``stall_timeout_ms`` while events are pending, everything pending is released in order (route
+"forced") and the watermark rises to the highest of them. A channel that holds more than ``max_events`` or ``max_bytes``
+is full: it is released likewise, but only if it is stalled as well; until then events wait in the state, on disk, so none
+turns late for want of room. With ``heartbeats`` each channel gives a row with route "heartbeat" for each batch it takes
+part in: the last offset read and the watermark. Source rate limits (maxFilesPerTrigger, maxOffsetsPerTrigger) keep
+micro-batches small.
 
 Spark's own watermarks can't express this: they are one value, the largest event time less a delay, between batches.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,12 @@ class Options:
     stall_timeout_ms: int = 30_000
     max_events: int = 10_000
     max_bytes: int = 64 << 20
+    heartbeats: bool = False
+
+
+#: Bits of a tso below its range: about a second.
+SPAN = 28
+_EVENT = "p long, row_pos long, kind string, vchannel string, tso long, payload string"
 
 
 def event_size(payload: str | None) -> int:
@@ -69,9 +76,45 @@ class Channel:
         return True
 
 
-def sort_key(tso: int, kind: str, p: int, row_pos: int = 0, again: int = 0) -> bytes:
-    """Bytes that sort as (tso, deletes first, offset, row of the message, number among rows alike)."""
-    return struct.pack(">qBqqq", tso, kind != "Delete", p, row_pos, again)
+def sort_key(tso: int, kind: str, p: int, row_pos: int = 0) -> tuple:
+    """(tso, deletes first, offset, row of the message)."""
+    return tso, kind != "Delete", p, row_pos
+
+
+class Pending:
+    """Pending events of a channel in a map state of ranges of tso; ranges are read when needed and written at the end."""
+
+    def __init__(self, state):
+        self.state, self.held, self.touched = state, {}, set()
+        self.spans = {k[0] for k in state.keys()}
+
+    def _of(self, span: int) -> list[tuple]:
+        if span not in self.held:
+            self.held[span] = [tuple(x) for x in self.state.getValue((span,))[0]] if span in self.spans else []
+        return self.held[span]
+
+    def add(self, event: tuple) -> None:
+        span = event[4] >> SPAN
+        self._of(span).append(event)
+        self.spans.add(span)
+        self.touched.add(span)
+
+    def release(self, upto: int | None = None) -> list[tuple]:
+        """Events up to a tso (all of them if None), in order, taken out. Rows alike stay in order of arrival."""
+        due: list[tuple] = []
+        for span in [x for x in self.spans if upto is None or x <= upto >> SPAN]:
+            mine = self._of(span)
+            due += [e for e in mine if upto is None or e[4] <= upto]
+            self.held[span] = [e for e in mine if upto is not None and e[4] > upto]
+            self.touched.add(span)
+        return sorted(due, key=lambda e: sort_key(e[4], e[2], e[0], e[1]))
+
+    def store(self) -> None:
+        for span in self.touched:
+            if self.held[span]:
+                self.state.updateValue((span,), (self.held[span],))
+            elif self.state.containsKey((span,)):
+                self.state.removeKey((span,))
 
 
 class Orderer(StatefulProcessor):
@@ -82,7 +125,7 @@ class Orderer(StatefulProcessor):
         self.handle = handle
         self.meta = handle.getValueState("meta", "channel_tick long, watermark long, advanced_at long, seq long, events long, bytes long")
         self.ticks = handle.getMapState("ticks", "vchannel string", "tick long")
-        self.pending = handle.getMapState("pending", "k string", "p long, row_pos long, kind string, vchannel string, tso long, payload string")
+        self.pending = handle.getMapState("pending", "span long", f"events array<struct<{_EVENT.replace(' ', ':').replace(',:', ',')}>>")
 
     def _load(self, now: int):
         if self.meta.exists():
@@ -92,17 +135,11 @@ class Orderer(StatefulProcessor):
         ticks = {k[0]: v[0] for k, v in self.ticks.iterator()}
         return Channel(ticks, tick, mark), at, seq, events, size
 
-    def _release(self, upto: int | None) -> list[tuple]:
-        """Pending events up to a tso (all of them if None), in order, taken out of the state."""
-        due = [(k[0], v) for k, v in self.pending.iterator() if upto is None or v[4] <= upto]
-        for k, _ in due:
-            self.pending.removeKey((k,))
-        return [v for _, v in sorted(due, key=lambda x: bytes.fromhex(x[0]))]
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
         channel, at, seq, events, size = self._load(now)
         held = pd.concat(list(rows)).sort_values(["p", "row_pos"], kind="stable")
+        pending = Pending(self.pending)
         out: list[tuple] = []
 
         def emit(route, rows_):
@@ -119,7 +156,7 @@ class Orderer(StatefulProcessor):
             if r.kind == "TimeTick":
                 if channel.tick(v, int(r.tso)):
                     at = now
-                    emit("change", self._release(channel.watermark))
+                    emit("change", pending.release(channel.watermark))
                 continue
             event = (int(r.p), int(r.row_pos), r.kind, v, int(r.tso), payload)
             if channel.is_late(event[4]):
@@ -127,23 +164,21 @@ class Orderer(StatefulProcessor):
                 continue
             if v is not None:
                 channel.track(v)
-            if events + 1 > self.options.max_events or size + event_size(payload) > self.options.max_bytes:
-                top = max((x[1][4] for x in self.pending.iterator()), default=channel.watermark)
-                channel.watermark, at = max(channel.watermark, top), now
-                emit("forced", self._release(None))
-                if channel.is_late(event[4]):
-                    emit("late", [event])
-                    continue
-            again = 0
-            while self.pending.containsKey((k := sort_key(event[4], event[2], event[0], event[1], again).hex(),)):
-                again += 1
-            self.pending.updateValue((k,), event)
+            pending.add(event)
             events, size = events + 1, size + event_size(payload)
+        full = events > self.options.max_events or size > self.options.max_bytes
+        if full and now - at >= self.options.stall_timeout_ms:
+            due = pending.release()
+            channel.watermark, at = max(channel.watermark, due[-1][4]), now
+            emit("forced", due)
+        if self.options.heartbeats:
+            out.append((key[0], None, "heartbeat", int(held["p"].iloc[-1]), None, None, None, None, None, channel.watermark))
+        pending.store()
         for v, t in channel.ticks.items():
             self.ticks.updateValue((v,), (t,))
         self.meta.update((channel.channel_tick, channel.watermark, at, seq, events, size))
         self._wake(events, at)
-        yield pd.DataFrame(out, columns=NAMES)
+        yield _frame(out)
 
     def _wake(self, events: int, at: int) -> None:
         for t in list(self.handle.listTimers()):
@@ -156,26 +191,38 @@ class Orderer(StatefulProcessor):
         channel, _, seq, events, _ = self._load(now)
         if not events:
             return
-        rows = self._release(None)
+        pending = Pending(self.pending)
+        rows = pending.release()
+        pending.store()
         channel.watermark = max(channel.watermark, max(r[4] for r in rows))
         out = [(key[0], seq + i + 1, "forced", *r, channel.watermark) for i, r in enumerate(rows)]
         self.meta.update((channel.channel_tick, channel.watermark, now, seq + len(rows), 0, 0))
-        yield pd.DataFrame(out, columns=NAMES)
+        yield _frame(out)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Stored ticks of a former run: (pchannel, vchannel, tick); the watermark is their least."""
+        """Stored ticks of a former run: (pchannel, vchannel, tick), without a vchannel the channel-level one, which those
+        take over that are discovered later; the watermark is the least of the virtual channels' ticks, or that one."""
         channel = Channel({}, 0, 0)
         for r in initialState.itertuples(index=False):
-            channel.tick(r.vchannel, int(r.tick))
+            if pd.isna(r.vchannel):
+                channel.channel_tick = max(channel.channel_tick, int(r.tick))
+            else:
+                channel.ticks[r.vchannel] = max(channel.ticks.get(r.vchannel) or 0, int(r.tick))
         for v, t in channel.ticks.items():
             self.ticks.updateValue((v,), (t,))
-        least = min((t or 0 for t in channel.ticks.values()), default=0)
-        self.meta.update((0, least, timerValues.getCurrentProcessingTimeInMs(), 0, 0, 0))
+        least = min((t or 0 for t in channel.ticks.values()), default=channel.channel_tick)
+        self.meta.update((channel.channel_tick, least, timerValues.getCurrentProcessingTimeInMs(), 0, 0, 0))
 
     def close(self) -> None:
         pass
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    """Rows of OUTPUT; whole numbers that may be null keep their type."""
+    df = pd.DataFrame(rows, columns=NAMES)
+    return df.astype({c: "Int64" for c in ("seq", "p", "row_pos", "tso", "watermark")})
+
+
 def order_stream(df: DataFrame, options: Options | None = None, initial_ticks: DataFrame | None = None) -> DataFrame:
     """A stream (or batch) of INPUT columns as released, late and forced events; see OUTPUT.
 
@@ -190,7 +237,7 @@ def order_stream(df: DataFrame, options: Options | None = None, initial_ticks: D
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(changes in order, late events) of order_stream."""
-    return df.where("route <> 'late'"), df.where("route = 'late'")
+    return df.where("route in ('change', 'forced')"), df.where("route = 'late'")
 
 
 def log_payload(log: DataFrame) -> DataFrame:
