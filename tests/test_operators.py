@@ -8,7 +8,7 @@ from vecflow.functions import convert as V
 from vecflow.functions import types as Y
 from vecflow.functions import vectors as W
 from vecflow.functions.tso import effective_tso, or_default
-from vecflow.operators import asof, decode, envelope, pivot, schema, snapshot
+from vecflow.operators import asof, changes, decode, envelope, pivot, schema, snapshot
 from vecflow.operators import ordering as O
 from vecflow.sources import log as L
 
@@ -121,6 +121,66 @@ def test_packed_vectors(spark):
     assert r.a == r.b == r.c == [1.5, -2.0, 0.25] and r.s == '{"1":0.5,"42":1.0}' and r.m == {1: 0.5, 42: 1.0}
 
 
+def test_packed_batches(spark):
+    """Nulls, empty values and bytes left over keep their places in a batch."""
+    import numpy as np
+
+    f = lambda *x: np.array(x, "f4").tobytes()
+    rows = [(0, f(1, 2), [1.0]), (1, None, None), (2, b"", []), (3, f(3) + b"abc", [2.0, 3.0]), (4, b"ab", None), (5, f(4, 5, 6), [4.5])]
+    d = spark.createDataFrame(rows, "i int, b binary, v array<float>").coalesce(1)
+    got = d.select("i", W.unpack_f32("b").alias("a"), V.pack_f32("v").alias("p")).orderBy("i").collect()
+    assert [r.a for r in got] == [[1, 2], None, [], [3], [], [4, 5, 6]]
+    assert [None if r.p is None else bytes(r.p) for r in got] == [None if v is None else f(*v) for _, _, v in rows]
+    assert d.limit(0).select(W.unpack_f16("b").alias("a")).collect() == []
+
+
+def test_avro_output(spark):
+    """Avro where its package is present; without it the call fails at once, and JSON works."""
+    d = spark.createDataFrame([("c", 1)], "op string, id long")
+    assert envelope.serialize(d, ["op", "id"]).first().value == '{"op":"c","id":1}'
+    try:
+        got = envelope.serialize(d, ["op", "id"], "avro").first().value
+    except Exception as e:
+        assert "avro" in str(e).lower()
+    else:
+        assert bytes(got) == b"\x00\x02c\x00\x02"
+
+
+def test_pages_of_text_and_sparse_keys(spark):
+    d = spark.createDataFrame([(f"k{i * i % 977:03d}", i * 10**15) for i in range(300)], "t string, n long").distinct()
+    for key in ("t", "n"):
+        keys = sorted(r[0] for r in d.select(key).collect())
+        got = snapshot.page(d.select(key).dropDuplicates(), key, 7, parts=9).collect()
+        assert {r[key]: r.page for r in got} == {k: i // 7 for i, k in enumerate(sorted(set(keys)))}
+
+
+def test_log_from_stored_offsets(spark, tmp_path):
+    L.write_log(spark.createDataFrame([("t", i % 2, i, b"x") for i in range(10)] + [("u", 0, 1, b"y")], "topic string, partition int, offset long, value binary"), str(tmp_path / "log"))
+    read = lambda start: sorted((r.topic, r.offset) for r in L.read_log(spark, str(tmp_path / "log"), start=start).collect())
+    assert read('{"t": {"0": 6, "1": -1}}') == [("t", 6), ("t", 8), ("u", 1)]
+    assert read("latest") == [] and len(read("earliest")) == 11
+
+
+def test_message_table_function(spark):
+    from vecflow.functions.udtf import register
+
+    register(spark)
+    texts = ['{"base":{"msgType":"Insert"},"fieldsData":[{"name":"a","vals":["1",null]},{"name":"b","vals":["x"]}]}', '{"base":{"msgType":"Delete"},"int64PrimaryKeys":[7,8]}', '{"base":{"msgType":"TimeTick"}}', "no json", "[]", None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").createOrReplaceTempView("messages_of_test")
+    got = spark.sql("SELECT i, m.* FROM messages_of_test, LATERAL explode_message(t) m ORDER BY i, row_pos").collect()
+    assert [(r.i, r.row_pos, r.kind, r.key, r.row) for r in got] == [(0, 0, "Insert", None, '{"a": "1", "b": "x"}'), (0, 1, "Insert", None, '{"a": null, "b": null}'), (1, 0, "Delete", "7", None), (1, 1, "Delete", "8", None)]
+
+
+def test_handoff_resumes_behind_the_checkpoint(spark):
+    stream = spark.createDataFrame([("a", 1, "Insert", 5), ("a", 2, "Insert", 6), ("a", 3, "Delete", 7), ("b", 1, "Insert", 8)], "pchannel string, p long, kind string, tso long")
+    ck = spark.createDataFrame([("a", 2, 100)], "pchannel string, offset long, tso long")
+    snap = spark.createDataFrame([(1,)], "id long")
+    say = lambda d: sorted((r.phase, r.op, r.p or 0, r.tso) for r in d.collect())
+    assert say(changes.handoff(snap, stream, ck)) == [(0, "r", 0, 100), (1, "c", 1, 8), (1, "d", 3, 7)]
+    assert len(say(changes.handoff(snap, stream, ck, inclusive=True))) == 4
+    assert len(say(changes.handoff(snap, stream, ck.limit(0)))) == 5
+
+
 def test_narrowing_wraps(spark):
     d = spark.createDataFrame([(40000,), (-32769,), (2**40 + 7,), (None,)], "x long")
     assert [r[0] for r in d.select(V.to_short(F.col("x"))).collect()] == [-25536, 32767, 7, None]

@@ -49,7 +49,7 @@ log AS (
 def log_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log dealt over three physical channels."""
     channel = F.concat(F.lit("dml_"), (F.col("pk") % 3).cast("string"))
-    return log(spark, sf_dir).withColumn("pchannel", channel).withColumn("vchannel", F.concat(channel, F.substring("vchannel", 6, 100)))
+    return log(spark, sf_dir).withColumn("pchannel", channel).withColumn("vchannel", F.concat(channel, F.substr(F.col("vchannel"), F.lit(6))))
 
 
 LOG_MULTI = LOG + """,
@@ -124,15 +124,15 @@ def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per nation: pchannel, msg_id (8 little-endian bytes, decimal text, or bytes that are neither), tso."""
-    n = table(spark, sf_dir, "nation").withColumn("off", F.col("n_nationkey").cast("long") * 100000007)
+    """One row per customer: pchannel, msg_id (8 little-endian bytes, decimal text, or bytes that are neither), tso."""
+    n = table(spark, sf_dir, "customer").withColumn("off", F.col("c_custkey").cast("long") * 100000007)
     le = F.unhex(F.concat(*(F.substring(F.lpad(F.hex("off"), 16, "0"), 15 - 2 * i, 2) for i in range(8))))
     text = F.encode(F.col("off").cast("string"), "UTF-8")
     bad = F.encode(F.lit("abc"), "UTF-8")
-    return n.select(F.col("n_name").alias("pchannel"), F.when(F.col("n_nationkey") % 7 == 6, bad).when(F.col("n_nationkey") % 2 == 0, le).otherwise(text).alias("msg_id"), (F.col("off") * 4096).alias("tso"))
+    return n.select(F.col("c_name").alias("pchannel"), F.when(F.col("c_custkey") % 7 == 6, bad).when(F.col("c_custkey") % 2 == 0, le).otherwise(text).alias("msg_id"), (F.col("off") * 4096).alias("tso"))
 
 
 CHECKPOINTS = """
 checkpoints AS (
-  SELECT n_name AS pchannel, n_nationkey, CAST(n_nationkey AS BIGINT) * 100000007 AS off, n_nationkey % 7 = 6 AS bad, CAST(n_nationkey AS BIGINT) * 100000007 * 4096 AS tso FROM nation
+  SELECT c_name AS pchannel, c_custkey, CAST(c_custkey AS BIGINT) * 100000007 AS off, c_custkey % 7 = 6 AS bad, CAST(c_custkey AS BIGINT) * 100000007 * 4096 AS tso FROM customer
 )"""

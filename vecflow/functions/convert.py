@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -61,6 +63,14 @@ def to_float_vector(c: Column, is_bytes: bool = False) -> Column:
     return unpack_f32(c) if is_bytes else c.cast("array<float>")
 
 
+def converted(fields: Column, types: dict[str, str], converters: dict | None = None) -> dict[str, Column]:
+    """Columns of a row's text values (map<string, string>) by field type: the usual conversion, or for the types named in
+    ``converters`` (type -> function of a Column) that one."""
+    usual = {"Bool": lambda c: to_bool(c, "string"), "Int8": to_short, "Int16": to_short, "Int32": to_int, "Int64": to_long, "Float": to_float, "Double": to_double}
+    chosen = usual | (converters or {})
+    return {name: chosen.get(kind, to_string)(fields[name]).alias(name) for name, kind in types.items()}
+
+
 def convert_untyped(c: Column, kind: str, enum: dict[str, int] | None = None) -> Column:
     """A value without a field type: numbers, booleans, text and bytes pass, float lists become little-endian bytes, enum
     names their numbers, anything else its text."""
@@ -74,9 +84,15 @@ def convert_untyped(c: Column, kind: str, enum: dict[str, int] | None = None) ->
     return c if kind in ("integer", "floating", "boolean", "string", "bytes") else F.to_json(c)
 
 
-@F.pandas_udf(BinaryType())
-def pack_f32(v: pd.Series) -> pd.Series:
-    return v.map(lambda x: None if x is None else x.astype("<f4").tobytes())
+@F.arrow_udf(BinaryType())
+def pack_f32(v: pa.Array) -> pa.Array:
+    """Little-endian 32-bit floats of lists without nulls: the batch's values are one buffer already."""
+    lists = pc.fill_null(v, pa.scalar([], v.type)).cast(pa.list_(pa.float32()))
+    raw = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<f4").tobytes()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)) * 4
+    offsets = np.concatenate(([0], ends)).astype("<i4")
+    packed = pa.Array.from_buffers(pa.binary(), len(v), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+    return pc.if_else(pc.is_valid(v), packed, pa.scalar(None, pa.binary()))
 
 
 def decimal_mode(c: Column, kind: str, mode: str) -> Column:

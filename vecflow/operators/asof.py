@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 SPINE = 4096
 
 
+#: Keys on which bounds of ranges rest at most.
+SAMPLE = 4096
+
+
 def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None, keys: DataFrame | None = None) -> DataFrame:
     """left with the value of the nearest right row: the last with point < key, or forward the first with point > key;
     with strict False equal points count too. Null where there is none. Points are unique within ``on``. ``keys`` may hold
@@ -50,6 +54,16 @@ def _up_to(points: Column, key: Column, equal: bool) -> Column:
     return F.when(size > 0, found).otherwise(0)
 
 
+def ranges(df: DataFrame, key: str, n: int) -> Column:
+    """A number that rises with a key of any orderable type, for at most n ranges of about equally many keys. The bounds
+    come from the SAMPLE keys of smallest hashes, which are the same whenever they are asked for."""
+    k = F.col(key)
+    some = df.where(k.isNotNull()).select(key).distinct().orderBy(F.xxhash64(k), k).limit(SAMPLE).collect()
+    keys = sorted(r[0] for r in some)
+    bounds = sorted({keys[i * len(keys) // n] for i in range(1, n)}) if keys else []
+    return _up_to(F.array(*(F.struct(F.lit(b).alias("k")) for b in bounds)), k, True) if bounds else F.lit(0)
+
+
 def running(df: DataFrame, within: list[str], key: str, value: str, name: str | None, width: int, before: str | None = None, least: bool = False) -> DataFrame:
     """df with the running maximum (or minimum) of a column in key order as ``name``, put together from buckets of the key
     as in ``number``, and as ``before`` that of the rows before (null at the first). Keys are unique within ``within``."""

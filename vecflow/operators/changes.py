@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecflow.operators.envelope import operation
 from vecflow.operators.ordering import op_rank
 
 
@@ -27,6 +28,21 @@ def handoff_union(snapshot: DataFrame, stream: DataFrame) -> DataFrame:
     return snap.unionByName(stream.withColumns({"op": F.lit("c"), "phase": F.lit(1)}), allowMissingColumns=True)
 
 
+def handoff(snapshot: DataFrame, stream: DataFrame, checkpoints: DataFrame, inclusive: bool = False) -> DataFrame:
+    """Snapshot reads followed by the stream from its checkpoints on, as one set of changes with op and phase.
+
+    stream(pchannel, p, kind, ...) gives each channel's rows behind (inclusive: from) the offset of
+    checkpoints(pchannel, offset, tso); a channel without a checkpoint gives all of its rows. Reads carry the least tso of
+    the checkpoints, at which the snapshot holds everything of every channel (null without checkpoints)."""
+    start = checkpoints.groupBy("pchannel").agg(F.min("offset").alias("__start"))
+    rest = stream.join(start, "pchannel", "left")
+    behind = F.col("p") >= F.col("__start") if inclusive else F.col("p") > F.col("__start")
+    rest = rest.where(F.coalesce(behind, F.lit(True))).drop("__start")
+    reads = snapshot.crossJoin(F.broadcast(checkpoints.agg(F.min("tso").alias("tso"))))
+    rest = rest.withColumns({"op": operation(F.col("kind")), "phase": F.lit(1)})
+    return reads.withColumns({"op": F.lit("r"), "phase": F.lit(0)}).unionByName(rest, allowMissingColumns=True)
+
+
 def handoff_overlap(snapshot: DataFrame, stream: DataFrame, pk: list[str]) -> DataFrame:
     """Keys with the phase that holds them: snapshot, stream or both."""
     d = snapshot.select(*pk).distinct().withColumn("__a", F.lit(True)).join(stream.select(*pk).distinct().withColumn("__b", F.lit(True)), pk, "full_outer")

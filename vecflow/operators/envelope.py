@@ -44,7 +44,14 @@ def with_key(df: DataFrame, pk: str) -> DataFrame:
     return df.withColumn("key", F.to_json(F.struct(pk)))
 
 
-def route(df: DataFrame, prefix: str, db: str = "default") -> DataFrame:
+def route(df: DataFrame, prefix: str, db: str = "default", router=None) -> DataFrame:
+    """df(collection, ...) with topic: prefix.db.collection, or whatever ``router(df)`` makes of the rows (it may rename,
+    drop or multiply them, and must give a topic)."""
+    if router is not None:
+        routed = router(df)
+        if "topic" not in routed.columns:
+            raise ValueError("a router must give a topic")
+        return routed
     return df.withColumn("topic", F.concat_ws(".", F.lit(prefix), F.lit(db), "collection"))
 
 

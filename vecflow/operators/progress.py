@@ -21,7 +21,7 @@ def load_progress(rows: DataFrame) -> DataFrame:
     """(kind, name, val) of key/value rows: offsets and ticks as numbers, null offsets and ticks of 0 where they are none."""
     number = F.col("val").try_cast("bigint")
     kind = F.when(F.col("key").startswith(OFFSET), "offset").when(F.col("key").startswith(TICK), "tick").when(F.col("key") == CHECKPOINT, "checkpoint").when(F.col("key") == DONE, "completed")
-    name = F.when(kind == "offset", F.substring("key", len(OFFSET) + 1, 1000)).when(kind == "tick", F.substring("key", len(TICK) + 1, 1000)).otherwise("")
+    name = F.when(kind == "offset", F.substr(F.col("key"), F.lit(len(OFFSET) + 1))).when(kind == "tick", F.substr(F.col("key"), F.lit(len(TICK) + 1))).otherwise("")
     value = F.when(kind == "tick", F.coalesce(number, F.lit(0))).when(kind == "completed", (F.lower("val") == "true").cast("bigint")).otherwise(number)
     return rows.select(kind.alias("kind"), name.alias("name"), value.alias("val")).where("kind is not null")
 

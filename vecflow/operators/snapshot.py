@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecflow.operators.asof import number
+from vecflow.operators.asof import number, ranges
 from vecflow.operators.filters import all_rows_filter, filter_collections
 
 
@@ -22,10 +22,12 @@ def snapshot_decision(mode: Column, has_offset: Column, completed: Column) -> Co
     return F.when(m.isin("initial", "when_needed"), ~has_offset | ~completed).when(m == "recovery", ~has_offset).when(m == "never", F.lit(False))
 
 
-def page(df: DataFrame, key: str, size: int, width: int = 1 << 16) -> DataFrame:
-    """df with page, from 0, of ``size`` rows (1000 if not above 0) in key order."""
+def page(df: DataFrame, key: str, size: int, width: int | None = None, parts: int = 1024) -> DataFrame:
+    """df with page, from 0, of ``size`` rows (1000 if not above 0) in key order. Rows are numbered in ranges of keys: of
+    ``width`` for dense whole numbers, else (text, sparse numbers) in ``parts`` ranges of about equally many keys."""
     size = size if size > 0 else 1000
-    d = number(df, [], F.floor(F.col(key) / F.lit(width)), [F.col(key)], "__n")
+    axis = F.floor(F.col(key) / F.lit(width)) if width else ranges(df, key, parts)
+    d = number(df, [], axis, [F.col(key)], "__n")
     return d.withColumn("page", F.floor((F.col("__n") - 1) / F.lit(size)).cast("long")).drop("__n")
 
 

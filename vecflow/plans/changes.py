@@ -85,10 +85,10 @@ def conv_untyped(spark, sf_dir):
     return _events(spark, sf_dir).select("event_id", V.convert_untyped(F.col("event_id"), "integer").alias("n"), V.convert_untyped(F.col("event_type"), "enum", enum).alias("e"), V.convert_untyped(F.col("event_type"), "string").alias("s"), V.convert_untyped(F.array("user_id"), "list").alias("other"))
 
 
-@query("decimal_modes", "SELECT event_id, value AS as_double, CAST(CAST(value AS DECIMAL(38,7)) AS VARCHAR) AS f, CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,15)) AS VARCHAR) AS d, CAST(value AS VARCHAR) AS s FROM events WHERE value < 1000000")
+@query("decimal_modes", "SELECT event_id, value AS as_double, CAST(CAST(value AS DECIMAL(38,7)) AS VARCHAR) AS f, CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,15)) AS VARCHAR) AS d, CAST(value AS VARCHAR) AS s FROM events")
 def decimal_modes(spark, sf_dir):
     v = F.col("value")
-    return _events(spark, sf_dir).where("value < 1000000").select("event_id", V.decimal_mode(v, "Double", "double").alias("as_double"), V.decimal_mode(v, "Float", "precise").cast("string").alias("f"), V.decimal_mode(v, "Double", "precise").cast("string").alias("d"), V.decimal_mode(v, "Double", "string").alias("s"))
+    return _events(spark, sf_dir).select("event_id", V.decimal_mode(v, "Double", "double").alias("as_double"), V.decimal_mode(v, "Float", "precise").cast("string").alias("f"), V.decimal_mode(v, "Double", "precise").cast("string").alias("d"), V.decimal_mode(v, "Double", "string").alias("s"))
 
 
 _FIELD_TYPES = list(Y.TYPES)
@@ -278,6 +278,16 @@ def handoff_union(spark, sf_dir):
     return H.handoff_union(fixtures.snap_orders(spark, sf_dir), fixtures.stream_orders(spark, sf_dir)).select("o_orderkey", "op", "phase")
 
 
+@query("handoff", on(fixtures.LOG_MULTI) + """, ck AS (SELECT pchannel, max(p) // 2 AS "offset", max(tso) AS tso FROM log_multi WHERE pchannel <> 'dml_1' GROUP BY 1)
+ SELECT DISTINCT CAST(NULL AS BIGINT) AS p, pk, 'r' AS op, 0 AS phase, (SELECT min(tso) FROM ck) AS tso FROM log_multi WHERE kind = 'Insert'
+ UNION ALL SELECT p, pk, CASE kind WHEN 'Insert' THEN 'c' ELSE 'd' END, 1, log_multi.tso FROM log_multi LEFT JOIN ck USING (pchannel) WHERE kind <> 'TimeTick' AND ("offset" IS NULL OR p > "offset")""")
+def handoff(spark, sf_dir):
+    d = fixtures.log_multi(spark, sf_dir)
+    ck = d.where("pchannel <> 'dml_1'").groupBy("pchannel").agg(F.expr("max(p) div 2").alias("offset"), F.max("tso").alias("tso"))
+    snap = d.where("kind = 'Insert'").select("pk").distinct()
+    return H.handoff(snap, d.where("kind <> 'TimeTick'").select("pchannel", "p", "pk", "kind", "tso"), ck).select("p", "pk", "op", "phase", "tso")
+
+
 @query("handoff_overlap", on(_PHASES) + " SELECT o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN 'stream' WHEN t.o_orderkey IS NULL THEN 'snapshot' ELSE 'both' END AS phase FROM snap s FULL JOIN strm t USING (o_orderkey)")
 def handoff_overlap(spark, sf_dir):
     return H.handoff_overlap(fixtures.snap_orders(spark, sf_dir), fixtures.stream_orders(spark, sf_dir), ["o_orderkey"])
@@ -304,21 +314,26 @@ def snapshot_pk_filter(spark, sf_dir):
     return X.all_rows_filter(e, "pk")
 
 
-@query("snapshot_pages", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders WHERE o_orderkey % 10 < 7")
+@query("snapshot_pages", "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders")
 def snapshot_pages(spark, sf_dir):
-    return N.page(fixtures.snap_orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", 0, width=4096)
+    return N.page(_t(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0, width=4096)
+
+
+@query("snapshot_text_pages", "SELECT c_name, (row_number() OVER (ORDER BY c_name) - 1) // 100 AS page FROM customer")
+def snapshot_text_pages(spark, sf_dir):
+    return N.page(_t(spark, sf_dir, "customer").select("c_name"), "c_name", 100)
 
 
-@query("snapshot_counts", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders WHERE o_orderkey % 10 < 7 GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+@query("snapshot_counts", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
 def snapshot_counts(spark, sf_dir):
-    return N.snapshot_counts(fixtures.snap_orders(spark, sf_dir), ["o_orderstatus", "o_orderpriority"])
+    return N.snapshot_counts(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
 def _counts(spark, sf_dir):
-    return fixtures.snap_orders(spark, sf_dir).groupBy(F.col("o_orderpriority").alias("collection")).agg(F.count("*").alias("n"))
+    return _t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("collection")).agg(F.count("*").alias("n"))
 
 
-_COUNTS = "c AS (SELECT o_orderpriority AS collection, count(*) AS n FROM orders WHERE o_orderkey % 10 < 7 GROUP BY 1)"
+_COUNTS = "c AS (SELECT o_orderpriority AS collection, count(*) AS n FROM orders GROUP BY 1)"
 
 
 @query("snapshot_notifications", on(_COUNTS) + " SELECT collection, 'in_progress' AS status, CAST(NULL AS BIGINT) AS n FROM c UNION ALL SELECT collection, 'completed', n FROM c")

@@ -10,6 +10,8 @@ from vecflow import fixtures
 from vecflow.functions import tso as T
 from vecflow.functions import vectors as V
 from vecflow.operators import decode as D
+from vecflow.operators import envelope as E
+from vecflow.operators import ordering as O
 from vecflow.operators import pivot as P
 from vecflow.plans.registry import query
 from vecflow.plans.sql import on
@@ -47,7 +49,68 @@ def delete_messages(spark, sf_dir):
 @query("log_scan", "SELECT 'dml_' || (user_id % 3) AS topic, 0 AS \"partition\", event_id AS \"offset\", event_type AS value FROM events WHERE event_id >= 100")
 def log_scan(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select(F.concat(F.lit("dml_"), (F.col("user_id") % 3).cast("string")).alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.encode("event_type", "UTF-8").alias("value"))
-    return e.where("offset >= 100").select("topic", "partition", "offset", F.decode("value", "UTF-8").alias("value"))
+    path = L.shared_folder(spark, "log")
+    L.write_log(e, path)
+    plan = e.select("topic", "partition").distinct().withColumn("start", F.lit(100))
+    return L.read_log(spark, path, start=L.starting_offsets(plan)).select("topic", "partition", "offset", F.decode("value", "UTF-8").alias("value"))
+
+
+def tick_messages(spark):
+    """One tick above everything for each virtual channel of the messages."""
+    ticks = spark.range(3).select((F.col("id") + 2**40).alias("offset"), F.element_at(F.array(F.lit("dml_0"), F.lit("dml_0_v0"), F.lit("dml_0_v1")), (F.col("id") + 1).cast("int")).alias("shard"))
+    payload = F.struct(_base(F.lit("TimeTick"), F.lit(2**60)).alias("base"), F.col("shard").alias("shardName"))
+    return ticks.select(F.lit("dml_0").alias("topic"), "offset", F.encode(F.to_json(payload), "UTF-8").alias("value"))
+
+
+@query("log_to_changes", """WITH m AS (
+  SELECT (o_orderkey // 16) * 4 AS p, 'c' AS op, 1 AS r, (o_orderkey // 16) * 1000 + CASE WHEN (o_orderkey // 16) % 5 = 0 THEN 7 ELSE 0 END AS tso, CAST(o_orderkey AS VARCHAR) AS id,
+         row_number() OVER (PARTITION BY o_orderkey // 16 ORDER BY o_orderkey) - 1 AS row_pos FROM orders
+  UNION ALL SELECT l_orderkey * 4 + 1, 'd', 0, l_orderkey, CAST(l_linenumber AS VARCHAR), row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 FROM lineitem WHERE l_returnflag = 'R'
+) SELECT 'cdc.default.' || CASE op WHEN 'c' THEN 'orders' ELSE 'lineitem' END AS topic, op, dense_rank() OVER (ORDER BY tso, r, p) AS seq, row_pos, id, tso FROM m""")
+def log_to_changes(spark, sf_dir):
+    """Messages in files, read as a log, decoded, put in order, taken apart into rows, enveloped and routed."""
+    path = L.shared_folder(spark, "log")
+    L.write_log(insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir)).unionByName(tick_messages(spark)), path)
+    log = D.decode_single(L.read_log(spark, path)).withColumnRenamed("offset", "p")
+    ordered = O.ordered_changes(log)
+    rows = P.pivot_rows(ordered.where("kind = 'Insert'").drop("keys")).withColumn("id", F.col("row")["o_orderkey"]).drop("row")
+    keys = D.explode_deletes(ordered.where("kind = 'Delete'").drop("fields", "num_rows")).withColumnsRenamed({"key": "id", "key_pos": "row_pos"})
+    changes = E.envelope(rows.unionByName(keys), "id", ["id"])
+    return E.route(changes, "cdc").select("topic", "op", "seq", F.col("row_pos").cast("long").alias("row_pos"), F.coalesce("after.id", "before.id").alias("id"), "tso")
+
+
+@query("router_hook", on(fixtures.LOG) + " SELECT p, CASE WHEN kind = 'Delete' THEN 'gone' ELSE 'live.' || event_type END AS topic FROM log WHERE kind <> 'TimeTick'")
+def router_hook(spark, sf_dir):
+    d = fixtures.log(spark, sf_dir).where("kind <> 'TimeTick'")
+    own = lambda df: df.withColumn("topic", F.when(F.col("kind") == "Delete", "gone").otherwise(F.concat(F.lit("live."), "event_type")))
+    return E.route(d, "cdc", router=own).select("p", "topic")
+
+
+@query("converter_override", "SELECT o_orderkey AS id, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderstatus AS status FROM orders")
+def converter_override(spark, sf_dir):
+    from vecflow.functions.convert import converted
+
+    rows = P.pivot_rows(fixtures.batches(spark, sf_dir))
+    own = {"Double": lambda c: F.round(c.cast("double") * 100).cast("bigint")}
+    c = converted(F.col("row"), {"o_orderkey": "Int64", "o_totalprice": "Double", "o_orderstatus": "VarChar"}, own)
+    return rows.select(c["o_orderkey"].alias("id"), c["o_totalprice"].alias("cents"), c["o_orderstatus"].alias("status"))
+
+
+@query("explode_message_udtf", """SELECT (o_orderkey // 16) * 4 AS "offset", row_number() OVER (PARTITION BY o_orderkey // 16 ORDER BY o_orderkey) - 1 AS row_pos, 'Insert' AS kind, o_orderstatus AS val FROM orders
+ UNION ALL SELECT l_orderkey * 4 + 1, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1, 'Delete', CAST(l_linenumber AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R'""")
+def explode_message_udtf(spark, sf_dir):
+    from vecflow.functions.udtf import register
+
+    register(spark)
+    insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir)).createOrReplaceTempView("vecflow_messages")
+    return spark.sql("SELECT offset, CAST(row_pos AS BIGINT) AS row_pos, kind, CASE kind WHEN 'Insert' THEN get_json_object(row, '$.o_orderstatus') ELSE key END AS val FROM vecflow_messages, LATERAL explode_message(CAST(value AS STRING))")
+
+
+@query("unpack_half_vectors", "SELECT vec_id, CAST(label AS FLOAT) AS f16, CAST(-label - 1 AS FLOAT) AS bf16, 2 * label AS k, CAST(0.5 AS FLOAT) AS v FROM embeddings")
+def unpack_half_vectors(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", "label", *(pack_halves("label", F.lit(kind)).alias(kind) for kind in ("f16", "bf16")), pack_sparse("label").alias("s"))
+    d = e.select("vec_id", "label", F.element_at(V.unpack_f16("f16"), -1).alias("f16"), F.element_at(V.unpack_bf16("bf16"), -1).alias("bf16"), V.sparse_to_map(F.col("s")).alias("m"))
+    return d.select("vec_id", "f16", "bf16", F.element_at(F.map_keys("m"), 1).cast("int").alias("k"), F.element_at(F.map_values("m"), 1).alias("v"))
 
 
 _POS = fixtures.LOG_MULTI + """,
@@ -86,29 +149,29 @@ def checkpoint_decode(spark, sf_dir):
     return L.decode_checkpoint(fixtures.checkpoints(spark, sf_dir)).select("pchannel", "offset", "tso", F.col("error").isNotNull().alias("undecodable"))
 
 
-@query("checkpoint_key", "SELECT n_name AS pchannel, CASE n_nationkey % 3 WHEN 0 THEN 'by-dev/meta/checkpoint/' || n_name WHEN 1 THEN 'own/' || n_name || '/cp' END AS key FROM nation")
+@query("checkpoint_key", "SELECT c_name AS pchannel, CASE c_custkey % 3 WHEN 0 THEN 'by-dev/meta/checkpoint/' || c_name WHEN 1 THEN 'own/' || c_name || '/cp' END AS key FROM customer")
 def checkpoint_key(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation")
-    override = F.when(F.col("n_nationkey") % 3 == 1, "own/%s/cp").when(F.col("n_nationkey") % 3 == 2, "own/no-placeholder")
-    return n.select(F.col("n_name").alias("pchannel"), L.checkpoint_key(F.lit("by-dev/meta/"), override, F.col("n_name")).alias("key"))
+    c = _t(spark, sf_dir, "customer")
+    override = F.when(F.col("c_custkey") % 3 == 1, "own/%s/cp").when(F.col("c_custkey") % 3 == 2, "own/no-placeholder")
+    return c.select(F.col("c_name").alias("pchannel"), L.checkpoint_key(F.lit("by-dev/meta/"), override, F.col("c_name")).alias("key"))
 
 
-@query("collections_list", """SELECT n_regionkey AS region, pos, n_name AS name, CASE WHEN pos < 3 THEN n_nationkey ELSE 0 END AS id, CASE WHEN pos < 2 THEN n_nationkey * 1000 ELSE 0 END AS created
- FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos FROM nation)""")
+@query("collections_list", """SELECT c_nationkey AS region, pos, c_name AS name, CASE WHEN pos < 3 THEN c_custkey ELSE 0 END AS id, CASE WHEN pos < 2 THEN c_custkey * 1000 ELSE 0 END AS created
+ FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS pos FROM customer)""")
 def collections_list(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation").withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
-    rows = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
-    g = n.groupBy(F.col("n_regionkey").alias("region")).agg(rows.alias("r"))
-    g = g.select("region", F.transform("r", lambda x: x["n_name"]).alias("names"), F.transform(F.slice("r", 1, 3), lambda x: x["n_nationkey"]).alias("ids"), F.transform(F.slice("r", 1, 2), lambda x: x["n_nationkey"] * 1000).alias("created"))
+    n = _t(spark, sf_dir, "customer").withColumn("c_custkey", F.col("c_custkey").cast("long"))
+    rows = F.array_sort(F.collect_list(F.struct("c_custkey", "c_name")))
+    g = n.groupBy(F.col("c_nationkey").alias("region")).agg(rows.alias("r"))
+    g = g.select("region", F.transform("r", lambda x: x["c_name"]).alias("names"), F.transform(F.slice("r", 1, 3), lambda x: x["c_custkey"]).alias("ids"), F.transform(F.slice("r", 1, 2), lambda x: x["c_custkey"] * 1000).alias("created"))
     return C.collections(g, ["region"])
 
 
-@query("collection_schema", "SELECT CAST(n_regionkey AS VARCHAR) AS collection, CASE WHEN n_regionkey % 2 = 0 THEN 'default' ELSE 'db1' END AS db, count(*) AS n_fields, arg_max(n_name, n_nationkey) FILTER (n_nationkey % 3 = 0) AS pk FROM nation GROUP BY n_regionkey")
+@query("collection_schema", "SELECT CAST(c_nationkey AS VARCHAR) AS collection, CASE WHEN c_nationkey % 2 = 0 THEN 'default' ELSE 'db1' END AS db, count(*) AS n_fields, arg_max(c_name, c_custkey) FILTER (c_custkey % 3 = 0) AS pk FROM customer GROUP BY c_nationkey")
 def collection_schema(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation")
-    rows = F.array_sort(F.collect_list(F.struct("n_nationkey", F.col("n_name").alias("name"), (F.col("n_nationkey") % 3 == 0).alias("is_primary"))))
-    g = n.groupBy("n_regionkey").agg(rows.alias("fields"))
-    return C.collection_schema(g.select(F.col("n_regionkey").cast("string").alias("collection"), F.when(F.col("n_regionkey") % 2 == 0, " ").otherwise("db1").alias("db"), "fields"))
+    n = _t(spark, sf_dir, "customer")
+    rows = F.array_sort(F.collect_list(F.struct("c_custkey", F.col("c_name").alias("name"), (F.col("c_custkey") % 3 == 0).alias("is_primary"))))
+    g = n.groupBy("c_nationkey").agg(rows.alias("fields"))
+    return C.collection_schema(g.select(F.col("c_nationkey").cast("string").alias("collection"), F.when(F.col("c_nationkey") % 2 == 0, " ").otherwise("db1").alias("db"), "fields"))
 
 
 @query("field_dimension", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 3 THEN p_size ELSE 0 END AS dim FROM part")
@@ -128,12 +191,12 @@ def channel_map(spark, sf_dir):
     return C.channel_map(c.withColumn("physical", physical), ["nation"])
 
 
-@query("find_collection", "SELECT n_nationkey AS id, n_name AS name, list_contains((SELECT list(r_name) FROM region), 'default') AS database_exists FROM nation WHERE n_name = (SELECT max(n_name) FROM nation) LIMIT 1")
+@query("find_collection", "SELECT c_custkey AS id, c_name AS name, list_contains((SELECT list(c_mktsegment) FROM customer), 'default') AS database_exists FROM customer WHERE c_name = (SELECT max(c_name) FROM customer) LIMIT 1")
 def find_collection(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    wanted = n.agg(F.max("name")).first()[0]
-    dbs = _t(spark, sf_dir, "region").agg(F.collect_list("r_name").alias("dbs")).first()["dbs"]
-    return C.find_collection(n, wanted).withColumn("database_exists", C.database_exists(F.array(*map(F.lit, dbs)), "default"))
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_mktsegment")
+    known = c.agg(F.max("name").alias("wanted"), F.collect_set("c_mktsegment").alias("dbs"))  # one row: segments are few
+    found = C.find_collection(c.crossJoin(F.broadcast(known)), F.col("wanted"))
+    return found.select("id", "name", C.database_exists(F.col("dbs"), "default").alias("database_exists"))
 
 
 _TYPES = ["Insert", "Delete", "CreateCollection", "DropCollection", "TimeTick", "CreatePartition", "DropPartition", "Flush"]
@@ -346,6 +409,16 @@ def pack_f32(v: pd.Series) -> pd.Series:
     return v.map(lambda x: x.astype("<f4").tobytes())
 
 
+@F.pandas_udf(BinaryType())
+def pack_halves(label: pd.Series, kind: pd.Series) -> pd.Series:
+    """[0, label] as 16-bit floats, or [-1, -label - 1] as bfloat16."""
+    import numpy as np
+
+    x = np.stack((np.zeros(len(label), "f4"), label.to_numpy("f4")), axis=1)
+    raw = x.astype("<f2") if kind.iloc[:1].eq("f16").all() else ((-x - 1).view("<u4") >> 16).astype("<u2")
+    return pd.Series([r.tobytes() for r in raw])
+
+
 @F.pandas_udf(BinaryType())
 def pack_sparse(label: pd.Series) -> pd.Series:
     import struct

@@ -35,7 +35,7 @@ def channel_map(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.posexplode("virtual").alias("pos", "vchannel"), "physical").select(*keep, F.col("pos").cast("long").alias("pos"), "vchannel", F.when(F.size("physical") > 0, physical).alias("pchannel"))
 
 
-def find_collection(df: DataFrame, name: str) -> DataFrame:
+def find_collection(df: DataFrame, name: str | Column) -> DataFrame:
     return df.where(F.col("name") == name).limit(1)
 
 

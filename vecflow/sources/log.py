@@ -6,6 +6,8 @@ A log has the columns of Spark's Kafka source: topic, partition, offset, key, va
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +16,40 @@ MESSAGE = "topic string, partition int, offset bigint, key binary, value binary,
 
 
 def read_log(spark: SparkSession, source: str, fmt: str = "parquet", streaming: bool = False, start: str = "earliest", **options) -> DataFrame:
-    """Messages of a topic (fmt "kafka") or of files with the same columns. start is earliest, latest or offsets as JSON."""
+    """Messages of a topic (fmt "kafka") or of files with the same columns. start is earliest, latest or offsets as JSON
+    (as of starting_offsets): the first offset of each topic partition, -1 for none of those that are there. Partitions of
+    files that the JSON doesn't name are read from their beginning; latest gives none of a batch's files."""
     reader = spark.readStream if streaming else spark.read
     if fmt == "kafka":
         fixed = {"subscribe": source, "startingOffsets": start, "kafka.isolation.level": "read_committed", "failOnDataLoss": "true"}
         return reader.format("kafka").options(**fixed | options).load()
-    return reader.format(fmt).schema(MESSAGE).options(**options).load(source)
+    rows = reader.format(fmt).schema(MESSAGE).options(**options).load(source)
+    if start in ("earliest", "latest"):
+        return rows if start == "earliest" or streaming else rows.where(F.lit(False))
+    wanted = F.lit(True)
+    for topic, partitions in json.loads(start).items():
+        for partition, offset in partitions.items():
+            other = (F.col("topic") != topic) | (F.col("partition") != int(partition))
+            wanted = wanted & (other | (F.col("offset") >= offset if offset >= 0 else F.lit(False)))
+    return rows.where(wanted)
+
+
+def write_log(df: DataFrame, path: str) -> None:
+    """Messages df(topic, offset, value, ...) as files that read_log reads; what else is missing is null or 0."""
+    missing = {"partition": F.lit(0), "key": F.lit(None).cast("binary"), "timestamp": F.lit(None).cast("timestamp")}
+    d = df.withColumns({c: v for c, v in missing.items() if c not in df.columns})
+    d.select("topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), F.col("key").cast("binary").alias("key"), "value", "timestamp").write.parquet(path)
+
+
+def shared_folder(spark: SparkSession, what: str) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share; on one machine without such a setting a
+    temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="vecflow-")
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
 def starting_offsets(plan: DataFrame) -> str:
