@@ -28,6 +28,15 @@ def test_remembered_forms_give_the_tokenizers_ids(x):
     assert tokens.encoder(common.tokenizer_path()).encode(x).tolist() == t.encode(x, add_special_tokens=False).ids
 
 
+def test_latin_forms_are_the_patterns():
+    e = tokens.encoder(common.tokenizer_path())
+    assert e.latin
+    for c in map(chr, range(0x260)):
+        for x in (c, "a" + c, " " + c + c, c + "a", "1" + c + "1", "  " + c, c + "  b", "'s" + c, "'" + c, "!" + c + "!"):
+            assert tokens.latin_forms(x) == (e.any_forms(x) if ord(c) < 0x250 else None), (c, x)
+    assert e.forms("naïve Дом's 12") == ["naïve", " Дом", "'s", " 12"]
+
+
 def test_special_strings_and_white_space(plain):
     e = tokens.encoder(common.tokenizer_path())
     for x in ["<|endoftext|> a", "don't we'll 's ''s x'S", "  a\n\n b \t", "a²b½ ١٢ ǅ _x_", "\u00a0\u2003a", "e\u0301 ", ""]:

@@ -9,6 +9,19 @@ from collections.abc import Iterable
 import numpy as np
 
 
+#: The pattern of the public byte-level vocabularies, for which latin_forms() is the same: a fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters, numbers and white space below U+0250, and what lies beyond.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
+_BEYOND = re.compile("[^\x00-ɏ]").search
+_LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[sdmt]|ll|ve|re)| ?[^{_L}{_N}{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+
+
+def latin_forms(text: str) -> list[str] | None:
+    """The word forms of a text of characters below U+0250, by plain character ranges; None for other texts."""
+    return None if _BEYOND(text) else _LATIN(text)
+
+
 class _Remembered(dict):
     """Word form (as the pattern cuts it) -> its ids as little-endian unsigned 32-bit bytes.
 
@@ -50,7 +63,8 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        self.forms = regex.compile(public_tokenizers.PATTERN).findall
+        self.any_forms = regex.compile(public_tokenizers.PATTERN).findall
+        self.latin = public_tokenizers.PATTERN == PATTERN
         self.ids = _Remembered(self.tokenizer.model)
         own = {t.content: (i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()} if added else {}
         if any(t.single_word or t.lstrip or t.rstrip for _, t in own.values()):
@@ -59,6 +73,10 @@ class ByteBpe:
         longest = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")").split if own else None
 
+    def forms(self, text: str) -> list[str]:
+        got = latin_forms(text) if self.latin else None
+        return self.any_forms(text) if got is None else got
+
     def encode_bytes(self, text: str) -> bytes:
         if not any(content in text for content in self.added):
             return b"".join(map(self.ids.__getitem__, self.forms(text)))
