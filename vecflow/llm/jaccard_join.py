@@ -17,7 +17,7 @@ share a split bucket both do. The part of links that never meet, a^runs + q^(run
 
 * Buckets that no split makes small are cut into blocks, and each pair of blocks is compared by itself: exact, in
   bounded memory, whatever the size.
-* Of buckets with the same members one is kept.
+* A bucket's set that has no other one of like size there is not sent; of buckets with the same members one is kept.
 * A pair is counted only in the smallest bucket that holds both of its sets; each row carries the list of its buckets
   (RATE * runs of them, about), so this needs no exchange of pairs. A bucket sends numbers of links and a spanning tree
   of its links, never pairs: rows grow with the sets, not with the square of a group's size.
@@ -35,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecflow.llm import common
@@ -194,6 +194,17 @@ def _buckets(docs: DataFrame, reps: DataFrame, k: int, runs: int, more: int, rat
     return done
 
 
+def _of_like_sizes(buckets: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """Buckets less the sets that no other one of the bucket comes near in size: similarity is at most the sizes' ratio.
+
+    The nearest in size are the neighbours in order of size, so no pair that could be linked is parted."""
+    near = Window.partitionBy("bucket").orderBy("n", "id")
+    sized = buckets.join(reps.select("id", "n"), "id").withColumns({"less": F.lag("n").over(near), "more": F.lead("n").over(near)})
+    least = threshold * (1 - 1e-6)
+    like = (F.coalesce("less", F.lit(0)) >= least * F.col("n")) | F.coalesce(F.col("n") >= least * F.col("more"), F.lit(False))
+    return sized.where(like).select("bucket", "id", "members")
+
+
 def _named_once(buckets: DataFrame) -> DataFrame:
     """Buckets less those that have the same members as another one."""
     h = F.xxhash64("id", F.lit("member"))
@@ -354,7 +365,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = scratch.written(_sets(d, shingle, runs, rate), "sets")
     reps = scratch.written(sets.where("a is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.any_value("draws").alias("draws")).withColumn("id", F.col("a")), "classes")
-    buckets = scratch.written(_named_once(_buckets(d, reps, shingle, runs, more, rate, small, depth, scratch)), "buckets")
+    buckets = scratch.written(_named_once(_of_like_sizes(_buckets(d, reps, shingle, runs, more, rate, small, depth, scratch), reps, threshold)), "buckets")
     own = buckets.groupBy("id").agg(F.collect_set(F.struct("bucket", "members")).alias("own")).join(reps.select("id", "doc"), "id")
     own = own.select(F.col("doc").alias("doc_id"), "id", "own").hint("shuffle_hash")
     sent = d.join(own, "doc_id").select("id", "text", "own").mapInArrow(_send_sets(shingle, small), "part long, id long, bucket long, keys array<long>, shingles binary, block int")
