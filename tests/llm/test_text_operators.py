@@ -146,6 +146,22 @@ def test_decontamination(spark):
     assert decontam.decontaminate(frame(spark, []), bench).count() == 0
 
 
+def test_blocks_of_rows_that_come_in_another_order_each_time(spark):
+    items = [" ".join(f"w{i}x{j}" for j in range(10)) for i in range(12)]
+    bench = spark.createDataFrame([(f"i{i:02}", t) for i, t in enumerate(items)], "item_id string, text string")
+    rows = [(7, f"before {items[i]} and {items[(5 * i + 1) % 12]}") for i in range(12)] + [(7, "nothing of them")]
+
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.sample(frac=1)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInPandas(shuffled, "doc_id long, text string")
+    got = decontam.decontaminate(docs, bench, block_windows=3).collect()
+    assert sorted((r.n_words, r.n_hit, list(r.item_ids)) for r in got) == sorted((len(t.split()), 10 * k, [f"i{i:02}" for i, x in enumerate(items) if x in t]) for _, t in rows for k in [sum(x in t for x in items)])
+    kept = decontam.drop_contaminated(docs, bench, block_windows=3).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(7, "nothing of them")]
+
+
 # secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

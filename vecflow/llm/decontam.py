@@ -14,8 +14,9 @@ word shingles:
 4. Exact verification: the document's words of that span are compared with the window's, byte by byte.
 
 Windows are processed in blocks of at most ``block_windows``: what a task receives is bounded by that, whatever the
-benchmark's size, and documents need no shuffle. With several blocks the results of a document are put together by
-one. A lost task is run again from the scan.
+benchmark's size, and documents need no shuffle. Of several blocks one is held at a time: rows are numbered in a table
+that is written once, each block writes the hits it finds, and one shuffle of hits puts those of a row together. A lost
+task is run again from the scan or that table.
 
 Words: maximal runs of digits, letters A-Z in lower case, and characters beyond ASCII. Null and empty texts have no
 words, are never contaminated and never contaminate. Items without an id add hits but are not counted as items.
@@ -143,7 +144,8 @@ def _search(windows: list[bytes], n_words: list[int], prefixes, sizes):
 
 
 def _blocks_of(listed: DataFrame, n_blocks: int, docs: DataFrame):
-    """For each block of windows what a task needs to find them, broadcast: about block_windows rows at a time."""
+    """For each block of windows what a task needs to find them, broadcast: about block_windows rows at a time. The
+    caller destroys one before it asks for the next."""
     spark = listed.sparkSession
     for b in range(n_blocks):
         rows = listed.where(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == b).collect()
@@ -157,10 +159,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, b
     common.bound_batches(docs.sparkSession)
     listed = common.written(item_windows(items, window), "windows")
     n_blocks = max(1, -(-listed.count() // block_windows))
-    names = docs.columns
-    at = names.index("text")
-    out = docs
-    for sent in _blocks_of(listed, n_blocks, docs):
+    at = docs.columns.index("text")
+    out, before = docs, None
+    for b, sent in enumerate(_blocks_of(listed, n_blocks, docs)):
 
         def run(batches, sent=sent):
             windows, n_words, _, prefixes, sizes = sent.value
@@ -171,6 +172,13 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, b
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
+        if b < n_blocks - 1:
+            scratch = common.Scratch(docs.sparkSession, "clean")
+            out = scratch.written(out, "documents")
+            sent.destroy()
+            if before is not None:
+                before.clear()
+            before = scratch
     return out
 
 
@@ -182,8 +190,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     listed = common.written(item_windows(items, window), "windows")
     n_blocks = max(1, -(-listed.count() // block_windows))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if n_blocks > 1:
-        d = d.withColumn("row", F.monotonically_increasing_id())
+    scratch = common.Scratch(spark, "decontamination")
+    if n_blocks > 1:  # written, so that all blocks mean the same row by its number
+        d = scratch.written(d.withColumn("row", F.monotonically_increasing_id()), "rows")
     else:
         d = d.withColumn("row", F.lit(0).cast("long"))
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.list_(pa.int64())))])
@@ -203,7 +212,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                     spans.append(_merged(got))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(v, f.type) for v, f in zip((n, ids, spans), list(schema)[2:], strict=True))], schema=schema)
 
-        parts.append(d.mapInArrow(run, "doc_id long, row long, n_words long, item_ids array<string>, spans array<array<long>>"))
+        hits = d.mapInArrow(run, "doc_id long, row long, n_words long, item_ids array<string>, spans array<array<long>>")
+        if n_blocks > 1:  # the first block also brings the rows without hits
+            hits = scratch.written(hits.where(F.size("spans") > 0) if parts else hits, "hits")
+            sent.destroy()
+        parts.append(hits)
     out = parts[0]
     if n_blocks > 1:
         for p in parts[1:]:
@@ -213,7 +226,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
         n_hit = F.aggregate("spans", start, lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s[1] - F.greatest(a["end"], s[0]))).alias("n"), F.greatest(a["end"], s[1]).alias("end")))["n"]
     else:
         n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), "item_ids", "spans")
+    out = out.select("doc_id", "n_words", n_hit.alias("n_hit"), "item_ids", "spans")
+    if n_blocks > 1:
+        out = common.written(out, "contamination")
+        scratch.clear()
+    return out
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
