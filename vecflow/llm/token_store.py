@@ -66,9 +66,11 @@ def _range_bounds(docs: DataFrame, n: int) -> list[int]:
     return sorted(set(got or []))
 
 
-def _tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def _tokenise(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int]) -> DataFrame:
+    """Rows (shard, doc_id, n, packed): a shard is the number of bounds that the id reaches, 0 without an id."""
     end = int(end_id).to_bytes(4, "little")
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
+    edges = np.array(bounds, np.int64)
+    schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
 
     def run(batches):
         enc, z = tokens.encoder(tokenizer, added=True), zstandard.ZstdCompressor(level=1)
@@ -78,9 +80,12 @@ def _tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 ids = np.frombuffer(enc.encode_bytes(text) + end, "<u4")
                 n.append(len(ids))
                 packed.append(z.compress(ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\xff" + ids.tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), common.blobs(packed)], schema=schema)
+            doc_ids = batch.column(0)
+            shard = np.searchsorted(edges, doc_ids.fill_null(0).to_numpy(), "right").astype(np.int32)
+            shard[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            yield pa.RecordBatch.from_arrays([pa.array(shard), doc_ids, pa.array(n, pa.int64()), common.blobs(packed)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, packed binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "shard int, doc_id long, n long, packed binary")
 
 
 def _unpack(packed: bytes) -> np.ndarray:
@@ -142,12 +147,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) ->
     spark = docs.sparkSession
     common.bound_batches(spark)
     bounds = _range_bounds(docs.select("doc_id"), min(4096, common.partitions(spark)))
-    shard = F.lit(0)
-    if bounds:
-        # the number of bounds below the id: a search in a constant sorted array
-        shard = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("doc_id"))), F.lit(0))
-        shard = F.when(F.col("doc_id").isNull(), 0).otherwise(shard)
-    dealt = _tokenise(docs, tokenizer, end_id).select(shard.cast("int").alias("shard"), "doc_id", "n", "packed").repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "packed")
+    dealt = _tokenise(docs, tokenizer, end_id, bounds).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "packed")
     plain = common.written(dealt.mapInArrow(_blocks, _BLOCK_SQL), "plain-ids")
     counts = plain.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # one row for each id in use: bounded by the vocabulary
