@@ -356,8 +356,9 @@ def components(edges: DataFrame, scratch: common.Scratch | None = None) -> DataF
     return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, recall: float = RECALL, rate: float = RATE, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
-    """One row per row of docs(doc_id, text): doc_id, class_id, n_links, n_copies, n_shingles."""
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, recall: float = RECALL, rate: float = RATE, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
+    """One row per row of docs(doc_id, text): what join() gives, the set's name (a, b, n), and whether a row of this
+    doc_id and set is the one that stays of its class (the smallest doc_id; of its sets there the smallest name)."""
     spark = docs.sparkSession
     common.bound_batches(spark)
     runs, more = runs_for(threshold, recall, rate), more_runs_for(threshold, recall, rate, depth)
@@ -373,30 +374,59 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE,
     met = scratch.written(met, "links")
     links = met.groupBy("id").agg(F.sum("links").alias("links"))
     rooted = reps.select("a", "b", "n", "id", "doc", "copies").join(links, "id", "left").join(components(met, scratch), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    first = rooted.groupBy("root").agg(F.min("doc").alias("class_id"))
-    classes = rooted.join(first, "root").select("a", "b", "n", "class_id", F.coalesce("links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies"))
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc", "a", "b", "n")).alias("first"))
+    whole = F.struct("doc", "a", "b", "n")
+    classes = rooted.join(first, "root").select("a", "b", "n", F.col("first.doc").alias("class_id"), (whole == F.col("first")).alias("leads"), F.coalesce("links", F.lit(0)).alias("n_links"), F.col("copies").alias("n_copies"))
     out = sets.select("doc_id", "a", "b", "n").join(classes, ["a", "b", "n"], "left")
-    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.col("n").alias("n_shingles"))
+    out = out.select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.col("n").alias("n_shingles"), "a", "b", F.coalesce(F.col("leads") & (F.col("doc_id") == F.col("class_id")), F.lit(True)).alias("stays"),
+    )
     result = common.written(out, "near-duplicates")
     scratch.clear()
     return result
 
 
+def join(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of docs(doc_id, text): doc_id, class_id, n_links, n_copies, n_shingles. Options: threshold,
+    shingle (words), recall, rate, small, depth; their defaults are this module's constants."""
+    return _classes(docs, **options).select("doc_id", "class_id", "n_links", "n_copies", "n_shingles")
+
+
+def _named(docs: DataFrame, k: int) -> DataFrame:
+    """docs with the name of each row's set: __a, __b (null without words), __n."""
+    schema = pa.schema([("row", pa.struct([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))])
+
+    @F.arrow_udf("struct<a:long,b:long,n:long>")
+    def name(text: pa.Array) -> pa.Array:
+        raw, off = common.utf8_column(text)
+        sets = [shingle_set(raw[off[i] : off[i + 1]], k) for i in range(len(text))]
+        names = [pa.array([set_name(s, seed) if len(s) else None for s in sets], pa.int64()) for seed in (254, 255)]
+        return pa.StructArray.from_arrays([*names, pa.array([len(s) for s in sets], pa.int64())], fields=list(schema.field("row").type))
+
+    return docs.withColumn("__set", name(F.col("text").cast("string"))).select("*", *(F.col(f"__set.{c}").alias(f"__{c}") for c in "abn")).drop("__set")
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs less all but one row of each class: the row of the class's smallest doc_id stays.
 
-    Rows without a doc_id, without text and without words all stay. Of rows that share a doc_id and are all of them the
-    smallest of their class, one stays."""
-    classes = join(docs, **options)
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    # repeated ids are rare: only then are whole rows compared by id
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    Rows without a doc_id, without text and without words all stay. Where rows of different sets share a doc_id, each
+    is judged by its own set; of rows of one doc_id and equal sets that are all their class's first, the one of the
+    smallest text stays."""
+    spark = docs.sparkSession
+    common.bound_batches(spark)
+    classes = _classes(docs, **options)
+    gone = classes.where("not stays")
+    # repeated ids are rare: only their rows are told apart by their sets
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
-        return kept
-    wordy = classes.where("n_copies > 1").select("doc_id").distinct().join(repeated.select("doc_id"), "doc_id", "left_semi")
-    again = kept.join(wordy, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(wordy, "doc_id", "left_anti").unionByName(again.select(kept.columns))
+        return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    key = ["doc_id", "__a", "__b", "__n"]
+    lone = docs.join(repeated, "doc_id", "left_anti").join(gone.select("doc_id"), "doc_id", "left_anti")
+    again = _named(docs.join(repeated, "doc_id", "left_semi"), options.get("shingle", SHINGLE))
+    again = again.join(gone.select("doc_id", F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("n_shingles").alias("__n")).distinct(), key, "left_anti")
+    first = again.where("__n > 0").groupBy(key).agg(F.min_by(F.struct(*docs.columns), "text").alias("__row")).select("__row.*")
+    return lone.select(docs.columns).unionByName(first).unionByName(again.where("__n = 0").select(docs.columns))
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
