@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vecflow.llm import decontam, jaccard_join, langid, order_minhash, packing, pii, secrets, suffix_dedup, token_store, urlfilter
+from vecflow.llm import decontam, html_text, jaccard_join, langid, order_minhash, packing, pii, secrets, spelling, suffix_dedup, token_store, urlfilter, vector_codes
 
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +15,9 @@ _QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_packing": packing.op9_packing,
     "op10_url_filters": urlfilter.op10_url_filters,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_html_text": html_text.op13_html_text,
 }
 _SQL: dict[str, str] = {"op5_decontamination": decontam.OP5_SQL, "op6_secret_scans": secrets.OP6_SQL, "op10_url_filters": urlfilter.OP10_SQL}
 
