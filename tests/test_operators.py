@@ -171,6 +171,30 @@ def test_message_table_function(spark):
     assert [(r.i, r.row_pos, r.kind, r.key, r.row) for r in got] == [(0, 0, "Insert", None, '{"a": "1", "b": "x"}'), (0, 1, "Insert", None, '{"a": null, "b": null}'), (1, 0, "Delete", "7", None), (1, 1, "Delete", "8", None)]
 
 
+def test_malformed_messages_of_the_table_function(spark):
+    """None of them ends the query; the message that fits still gives its rows."""
+    from vecflow.functions.udtf import register
+
+    register(spark)
+    texts = ['{"base":"x"}', '{"base":{"msgType":"Insert"},"numRows":"2","fieldsData":[{"name":"a","vals":["1"]}]}', '{"base":{"msgType":"Insert"},"numRows":2,"fieldsData":[1]}', '{"base":{"msgType":"Insert"},"fieldsData":{"a":1}}', '{"base":{"msgType":7}}', '{"base":{"msgType":"Delete"},"primaryKeys":[1]}',
+             '{"base":{"msgType":"Delete"},"primaryKeys":{"ints":null,"strs":["é\\"",{"a":1},null]}}', '{"base":{"msgType":"Insert"},"numRows":2000000000,"fieldsData":[3,{"name":"a","vals":[1,{"b":"c"}]},{"vals":[true]}]}', '{"base":{"msgType":"Insert"},"numRows":-1,"fieldsData":[{"name":"a","vals":[1]}]}', ""]
+    got = spark.sql("SELECT i, m.* FROM {t}, LATERAL explode_message(t) m ORDER BY i, row_pos", t=spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")).collect()
+    assert [(r.i, r.row_pos, r.key, r.row) for r in got] == [(1, 0, None, '{"a": "1"}'), (6, 0, 'é"', None), (6, 1, '{"a":1}', None), (6, 2, None, None), (7, 0, None, '{"a": 1, null: true}'), (7, 1, None, '{"a": {"b":"c"}, null: null}')]
+
+
+def test_batches_keep_what_fits(spark):
+    texts = ['{"msgType":"x","pchannel":"p","messages":[1,{"msgType":"Insert","ts":5}]}', '{"messages":["a",null,{"ts":7}]}', '{"messages":[{"ts":"9"},{"timestamp":9223372036854775808},{"numRows":3000000000,"ts":1}]}', "{", "[1]", '{"pchannel":3,"messages":[{"ts":1}]}', '{"pchannel":"q"}', '{"messages":null}', None, '{"messages":[{"ts":3,"fieldsData":[{"name":"a","vals":[1.50,true,[1,2],null]},null]}]}']
+    df = spark.createDataFrame([("t", 0, i, t) for i, t in enumerate(texts)], "topic string, partition int, offset long, value string")
+    got = sorted(decode.decode_batch(df).collect(), key=lambda r: r.offset)
+    assert [(r.offset, r.i, r.pchannel, r.tso, r.num_rows) for r in got] == [(0, 1, "p", 5, 0), (1, 2, "t", 7, 0), (9, 0, "t", 3, 4)]
+    assert got[2].fields[0].vals == ["1.5", "true", "[1,2]", None] and len(got[2].fields) == 1
+    bad = sorted(((r.offset, r.element, r.detected, r.detail) for r in decode.batch_quarantine(df).collect()), key=repr)
+    assert [x[:3] for x in bad] == [(2, 0, "ts: STRING"), (2, 1, "timestamp: DECIMAL"), (2, 2, "numRows: BIGINT"), (3, None, "malformed JSON"), (4, None, "message: ARRAY"), (5, None, "pchannel: BIGINT"), (8, None, "malformed JSON")]
+    assert bad[0][3] == '{"ts":"9"}' and bad[3][3] == "{"
+    with pytest.raises(Exception, match="expected a batch of typed message maps detected"):
+        decode.batch_quarantine(df, strict=True).collect()
+
+
 def test_handoff_resumes_behind_the_checkpoint(spark):
     stream = spark.createDataFrame([("a", 1, "Insert", 5), ("a", 2, "Insert", 6), ("a", 3, "Delete", 7), ("b", 1, "Insert", 8)], "pchannel string, p long, kind string, tso long")
     ck = spark.createDataFrame([("a", 2, 100)], "pchannel string, offset long, tso long")

@@ -102,8 +102,8 @@ def explode_message_udtf(spark, sf_dir):
     from vecflow.functions.udtf import register
 
     register(spark)
-    insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir)).createOrReplaceTempView("vecflow_messages")
-    return spark.sql("SELECT offset, CAST(row_pos AS BIGINT) AS row_pos, kind, CASE kind WHEN 'Insert' THEN get_json_object(row, '$.o_orderstatus') ELSE key END AS val FROM vecflow_messages, LATERAL explode_message(CAST(value AS STRING))")
+    messages = insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir))
+    return spark.sql("SELECT offset, CAST(row_pos AS BIGINT) AS row_pos, kind, CASE kind WHEN 'Insert' THEN get_json_object(row, '$.o_orderstatus') ELSE key END AS val FROM {messages}, LATERAL explode_message(CAST(value AS STRING))", messages=messages)
 
 
 @query("unpack_half_vectors", "SELECT vec_id, CAST(label AS FLOAT) AS f16, CAST(-label - 1 AS FLOAT) AS bf16, 2 * label AS k, CAST(0.5 AS FLOAT) AS v FROM embeddings")
@@ -276,6 +276,42 @@ def batch_defaults(spark, sf_dir):
     return D.decode_batch(batch_messages(spark, sf_dir)).select("offset", F.col("i").cast("long").alias("i"), "vchannel", "tso", "kind")
 
 
+#: Put at the front of every fifth batch: elements that are no maps, maps with wrong types, and a map that fits.
+_FOREIGN = ['1', '"a"', 'null', '[2]', '{"msgType":"Insert","ts":"9"}', '{"ts":5,"numRows":null,"fieldsData":[7,{"name":"x","vals":["1",2,null,{"a":1}]}]}', '{"ts":6.5,"vchannel":3,"fieldsData":[{"vals":"x","dim":5000000000}]}', '{"msgType":"Delete","ts":8,"primaryKeys":["k",4,null]}']
+
+
+def foreign_batches(spark, sf_dir):
+    """batch_messages with foreign elements in every fifth, and every eleventh (from 3 and 4) not readable as a whole."""
+    b, g = batch_messages(spark, sf_dir), F.col("offset")
+    text = F.col("value").cast("string")
+    text = F.when(g % 5 == 0, F.replace(text, F.lit('"messages":['), F.lit('"messages":[' + ",".join(_FOREIGN) + ","))).otherwise(text)
+    text = F.when(g % 11 == 3, "no json").when(g % 11 == 4, F.lit('{"messages":{"a":1}}')).otherwise(text)
+    return b.select("topic", F.lit(0).alias("partition"), "offset", F.encode(text, "UTF-8").alias("value"))
+
+
+_FOREIGN_BATCH = _BATCH + """
+, g AS (SELECT DISTINCT "offset" AS o FROM bm)
+, fb AS (
+  SELECT "offset", i + CASE WHEN "offset" % 5 = 0 THEN 8 ELSE 0 END AS i, kind, pchannel, tso, num_rows, n_keys FROM bm
+  UNION ALL SELECT o, 5, 'TimeTick', CASE WHEN o % 2 = 0 THEN 'dml_9' ELSE 'dml_0' END, 5, 4, NULL FROM g WHERE o % 5 = 0
+  UNION ALL SELECT o, 7, 'Delete', CASE WHEN o % 2 = 0 THEN 'dml_9' ELSE 'dml_0' END, 8, 0, 3 FROM g WHERE o % 5 = 0
+)"""
+
+
+@query("decode_batch_foreign", _FOREIGN_BATCH + ' SELECT "offset", i, kind, pchannel, tso, num_rows, n_keys FROM fb WHERE "offset" % 11 NOT IN (3, 4)')
+def decode_batch_foreign(spark, sf_dir):
+    d = D.decode_batch(foreign_batches(spark, sf_dir))
+    return d.select("offset", F.col("i").cast("long").alias("i"), "kind", "pchannel", "tso", F.col("num_rows").cast("long").alias("num_rows"), F.when(F.col("keys").isNotNull(), F.size("keys")).cast("long").alias("n_keys"))
+
+
+@query("batch_quarantine", _FOREIGN_BATCH + """ SELECT 'dml_0' AS topic, 0 AS "partition", o AS "offset", element, 'a batch of typed message maps' AS expected, detected FROM (
+ SELECT o, 4 AS element, 'ts: STRING' AS detected FROM g WHERE o % 5 = 0 AND o % 11 NOT IN (3, 4)
+ UNION ALL SELECT o, 6, 'vchannel: BIGINT, ts: DECIMAL, fieldsData[0].dim: BIGINT, fieldsData[0].vals: STRING' FROM g WHERE o % 5 = 0 AND o % 11 NOT IN (3, 4)
+ UNION ALL SELECT o, NULL, CASE o % 11 WHEN 3 THEN 'malformed JSON' ELSE 'messages: OBJECT' END FROM g WHERE o % 11 IN (3, 4))""")
+def batch_quarantine(spark, sf_dir):
+    return D.batch_quarantine(foreign_batches(spark, sf_dir)).drop("detail")
+
+
 _ROWS = on(fixtures.BATCHES)
 
 
