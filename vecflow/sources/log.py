@@ -34,11 +34,13 @@ def read_log(spark: SparkSession, source: str, fmt: str = "parquet", streaming:
     return rows.where(wanted)
 
 
-def write_log(df: DataFrame, path: str) -> None:
-    """Messages df(topic, offset, value, ...) as files that read_log reads; what else is missing is null or 0."""
+def write_log(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Messages df(topic, offset, value, ...) as files that read_log reads; what else is missing is null or 0. Files are in
+    order of topic, partition and offset, so that their statistics tell what they hold."""
     missing = {"partition": F.lit(0), "key": F.lit(None).cast("binary"), "timestamp": F.lit(None).cast("timestamp")}
     d = df.withColumns({c: v for c, v in missing.items() if c not in df.columns})
-    d.select("topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), F.col("key").cast("binary").alias("key"), "value", "timestamp").write.parquet(path)
+    d = d.select("topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), F.col("key").cast("binary").alias("key"), "value", "timestamp")
+    d.sortWithinPartitions("topic", "partition", "offset").write.mode(mode).parquet(path)
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
