@@ -178,6 +178,6 @@ def test_repeated_changes_within_the_delay(spark, tmp_path):
     rows = [("c", 1, 5, "c", "2024-01-01 00:00:00"), ("c", 1, 5, "c", "2024-01-01 00:00:30"), ("c", 2, 5, "c", "2024-01-01 00:00:10")]
     schema = "collection string, pk long, tso long, op string, at timestamp"
     spark.createDataFrame(rows, "collection string, pk long, tso long, op string, at string").withColumn("at", F.to_timestamp("at")).coalesce(1).write.json(str(tmp_path / "in"))
-    q = S.correlate_stream(spark.readStream.schema(schema).json(str(tmp_path / "in")), "1 minute").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q = S.drop_repetitions(spark.readStream.schema(schema).json(str(tmp_path / "in")), "1 minute").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.pk for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]

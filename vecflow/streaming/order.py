@@ -252,6 +252,6 @@ def heartbeats(query) -> list[dict]:
     return [{"batch": p["batchId"], "rows": p["numInputRows"], "ms": p["durationMs"].get("triggerExecution", 0)} for p in query.recentProgress]
 
 
-def correlate_stream(df: DataFrame, delay: str) -> DataFrame:
+def drop_repetitions(df: DataFrame, delay: str) -> DataFrame:
     """At-least-once changes (collection, pk, tso, op, at) without repetitions that come within ``delay`` of each other."""
     return df.withWatermark("at", delay).dropDuplicatesWithinWatermark(["collection", "pk", "tso", "op"])
