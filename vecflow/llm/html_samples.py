@@ -67,8 +67,8 @@ class Sampler:
         return " ".join(w).capitalize() + self.r.choice(("...." if self.r.random() < 0.05 else ".", ".", ".", "?", "!"))
 
     def prose(self, most: int = 8) -> str:
-        if self.r.random() < 0.06:
-            return self.word().capitalize() + "."
+        if self.r.random() < 0.08:
+            return self.word().capitalize() + "." if self.r.random() < 0.7 else self.words(self.r.randint(3, 300))
         return " ".join(self.sentence() for _ in range(self.r.randint(1, most)))
 
     def name(self, words: str, sure: float = 0.5) -> str:
@@ -132,7 +132,7 @@ class Sampler:
         if r.random() < 0.3:
             out.append(self.block(r.choice(("h2", "h3", "h4", "p", "div")), say(), OTHER))
         if tag in ("ul", "ol"):
-            out += [self.block("li", say() if r.random() < 0.7 else self.prose(2), OTHER, r.random() < 0.7) for _ in range(r.randint(1, 9))]
+            out += [self.block("li", say() if r.random() < 0.7 else self.prose(2), OTHER, r.random() < 0.7) for _ in range(r.randint(1, 6))]
         elif kind == "form":
             for _ in range(r.randint(1, 5)):
                 out.append(r.choice((
@@ -140,14 +140,14 @@ class Sampler:
                     f"<select><option>{OTHER}{say()}<option>{OTHER}{say()}</select>", f"<textarea>{OTHER}{say()}</textarea>", f"<p>{OTHER}{self.prose(2)}</p>", f"<div>{OTHER}{say()}</div>",
                 )))
         elif kind == "comments":
-            for _ in range(r.randint(1, 8)):
+            for _ in range(r.randint(1, 4)):
                 start_, end_ = self.tag(r.choice(("div", "li", "article", "div")), r.choice((words, NEUTRAL)), "", 0.7)
                 head = self.block(r.choice(("h4", "div", "cite", "p")), f"{self.word().capitalize()} {r.choice(said)}", OTHER) if r.random() < 0.6 else ""
                 out.append(start_ + (head if "<cite>" not in head else f"<div>{head}</div>") + "".join(self.block("p", self.inline(self.prose(4)), OTHER) for _ in range(r.randint(1, 3))) + end_)
         else:
             way = r.random()
             if way < 0.4 or kind == "menu" and way < 0.8:
-                items = "".join(self.block("li", say() if r.random() < 0.6 else self.words(r.randint(1, 6)), OTHER, r.random() < 0.85) for _ in range(r.randint(1, 10)))
+                items = "".join(self.block("li", say() if r.random() < 0.6 else self.words(r.randint(1, 6)), OTHER, r.random() < 0.85) for _ in range(r.randint(1, 6)))
                 out.append(f"<ul>{items}</ul>")
             elif way < 0.75:
                 out += [self.block(r.choice(("p", "p", "div", "h3")), self.inline(self.prose(3) if r.random() < 0.7 else say(), 0.5), OTHER) for _ in range(r.randint(1, 4))]

@@ -7,7 +7,7 @@ whole sequence, so that each block is judged in the context of its document, and
 main text; blocks of a half or more are joined by one space. No text is cut, no page is skipped.
 
 The model is fitted to SAMPLE_PAGES drawn pages (``html_samples``): a fixed number, not rows of the table, so fitting
-takes the same time whatever the input; it is fitted once a process on the driver and sent to the tasks with the
+takes the same time whatever the input; it is fitted once a process, by one task, and sent to the tasks with the
 expression. No shuffle: pages are judged where they are read.
 
 Defined cases: a null or empty html, or one without main text, gives an empty text; equal rows give equal texts; a page
@@ -18,12 +18,13 @@ they are, nulls included; other columns are left behind. An empty table gives no
 
 from __future__ import annotations
 
-import functools
+import math
+import pickle
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecflow.llm import common
@@ -31,7 +32,7 @@ from vecflow.llm.html_blocks import BUCKETS, Leaf, Paths, leaves
 from vecflow.llm.html_samples import MAIN, Sampler
 
 #: Pages drawn to learn from, and passes over them.
-SAMPLE_PAGES = 5000
+SAMPLE_PAGES = 4500
 PASSES = 4
 SEED = 20
 #: Sizes of path vectors, word vectors, and of the state of each direction.
@@ -66,7 +67,7 @@ def _numbers(leaf: Leaf) -> tuple:
     t = leaf.text
     n = len(t)
     head = t[:1]
-    return (np.log1p(n) / 6, np.log1p(t.count(" ")) / 5, leaf.linked, min(1.0, 20 * sum(map(t.count, ",;:")) / n), t[-1] in ".!?", head.isupper(), min(1.0, 30 * sum(map(t.count, ".!?")) / n), 1.0)
+    return (min(math.log1p(n), 7) / 6, min(math.log1p(t.count(" ")), 5) / 5, leaf.linked, min(1.0, 20 * sum(map(t.count, ",;:")) / n), t[-1] in ".!?", head.isupper(), min(1.0, 30 * sum(map(t.count, ".!?")) / n), 1.0)
 
 
 def _block_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -314,17 +315,30 @@ def fit(n_pages: int = SAMPLE_PAGES, passes: int = PASSES, seed: int = SEED, bat
     return Labeller(*weights)
 
 
-@functools.cache
-def fitted() -> Labeller:
-    return fit()
+_FITTED: dict[tuple, Labeller] = {}
+
+
+def fitted(spark: SparkSession, n_pages: int = SAMPLE_PAGES, passes: int = PASSES, seed: int = SEED) -> Labeller:
+    """A fitted labeller, by a task of its own: workers of tasks have one thread each for matrices, which suits the small
+    ones here. About 0.8 MB of weights come back."""
+
+    def run(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(n_pages, passes, seed))], pa.binary())], ["model"])
+
+    key = n_pages, passes, seed
+    if key not in _FITTED:
+        rows = spark.range(1).repartition(1).mapInArrow(run, "model binary").collect()
+        _FITTED[key] = pickle.loads(rows[0][0])
+    return _FITTED[key]
 
 
 # The operator
 
 
-def extract(html: Column | str, model: Labeller | None = None) -> Column:
+def extract(html: Column, model: Labeller) -> Column:
     """Main text of a column of pages; empty for null."""
-    model = fitted() if model is None else model
     paths = Paths()
 
     @F.arrow_udf("string")
@@ -348,12 +362,14 @@ def extract(html: Column | str, model: Labeller | None = None) -> Column:
         judge()
         return pa.array(out, pa.string())
 
-    return main_text(html if isinstance(html, str) else html)
+    return main_text(html)
 
 
 def main_texts(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
     """pages(page_id, url, html) as (page_id, url, text, n_chars)."""
-    common.bound_batches(pages.sparkSession)
+    spark = pages.sparkSession
+    common.bound_batches(spark)
+    model = fitted(spark) if model is None else model
     read = pages.select("page_id", "url", extract(F.col("html").cast("string"), model).alias("text"))
     return read.withColumn("n_chars", F.length("text").cast("long"))
 
