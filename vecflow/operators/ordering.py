@@ -12,12 +12,16 @@ before the first tick of their own virtual channel bear on tracking, with the ti
 such rows are gone through one by one; more are solved by repetition, which ends when the first sightings (one row for
 each virtual channel) come out as they went in, however many links that takes. All events are joined once, at the end.
 
-Running maxima of ticks are put together from buckets of offsets, and events meet the watermark's change points by
+Watermarks are swept by ranges of offsets, and running maxima put together from such ranges; events meet the watermark's change points by
 bucketed as-of joins, so a channel that holds the whole log is still spread over all tasks.
 """
 
 from __future__ import annotations
 
+import heapq
+from typing import ClassVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +36,10 @@ OFFSETS, TSOS, RANGE = 64, 60_000 << SHIFT, 4096
 
 #: Rows that are gone through on the driver at most.
 WALK = 20_000
+#: Solutions whose ticks and watermarks are kept at once.
+KEPT = 3
+#: Offsets that are swept at once for watermarks; virtual channels that are sent to every executor at most.
+SWEEP, SENT = 1 << 15, 200_000
 
 
 def op_rank(kind: Column) -> Column:
@@ -58,11 +66,113 @@ def tick_grid(ticks: DataFrame, seen: DataFrame) -> DataFrame:
     return grid.select("pchannel", "p", "vc", "level", (F.col("p") >= F.col("p0")).alias("live"))
 
 
+def _states(ticks: DataFrame, seen: DataFrame, width: int = SWEEP) -> DataFrame:
+    """(pchannel, r, vc, p0, by_event, took, level): for each virtual channel and each range of offsets with ticks, the
+    highest tick that it takes in the range, and in the ranges before it."""
+    r = F.floor(F.col("p") / F.lit(width)).cast("long").alias("r")
+    whole = F.col("vchannel").isNull()
+    tops = ticks.groupBy("pchannel", r).agg(F.max(F.when(whole, F.col("tso"))).alias("top"))
+    named = ticks.where(~whole).groupBy("pchannel", F.col("vchannel").alias("vc"), r).agg(F.max("tso").alias("own"))
+    first = F.floor(F.col("p0") / F.lit(width)).cast("long")
+    s = seen.select("pchannel", F.col("vchannel").alias("vc"), "p0", "by_event", first.alias("r0"))
+    # of its first range one first seen by a tick takes the channel-level ticks behind that only
+    rest = ticks.where(whole).groupBy("pchannel", r).agg(F.collect_list(F.struct("p", "tso")).alias("all"))
+    behind = F.array_max(F.transform(F.filter("all", lambda x: x["p"] > F.col("p0")), lambda x: x["tso"]))
+    part = s.where("not by_event").join(rest.withColumnRenamed("r", "r0"), ["pchannel", "r0"]).select("pchannel", "vc", F.col("r0").alias("r"), behind.alias("part"))
+    side = F.broadcast(s) if s.count() <= SENT else s
+    d = tops.join(side, "pchannel").join(named, ["pchannel", "vc", "r"], "left").join(part, ["pchannel", "vc", "r"], "left")
+    takes = F.when(F.col("by_event") | (F.col("r") > F.col("r0")), F.col("top")).when(F.col("r") == F.col("r0"), F.col("part"))
+    d = d.withColumn("took", F.greatest("own", takes))
+    before = Window.partitionBy("pchannel", "vc").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    return d.select("pchannel", "r", "r0", "vc", "p0", "by_event", "took", F.max("took").over(before).alias("level"))
+
+
+class _Levels:
+    """Levels of virtual channels that only rise, with the least of them: equal levels share a node, and a tick of all
+    joins the nodes below it, so each step costs about the logarithm of their number."""
+
+    def __init__(self):
+        self.parent, self.level, self.count = [], [], []
+        self.at: dict = {}  # level -> node
+        self.node: dict = {}  # virtual channel -> node
+        self.heap: list = []
+
+    def _of(self, level: int) -> int:
+        n = self.at.get(level)
+        if n is None:
+            n = self.at[level] = len(self.parent)
+            self.parent.append(n)
+            self.level.append(level)
+            self.count.append(0)
+            heapq.heappush(self.heap, (level, n))
+        return n
+
+    def _find(self, n: int) -> int:
+        while self.parent[n] != n:
+            self.parent[n] = self.parent[self.parent[n]]
+            n = self.parent[n]
+        return n
+
+    def raise_one(self, vc: str, level: int) -> None:
+        """A virtual channel's own tick; one that isn't there yet comes in."""
+        old = self.node.get(vc)
+        if old is not None:
+            old = self._find(old)
+            if level <= self.level[old]:
+                return
+            self.count[old] -= 1
+        n = self._of(level)
+        self.count[n] += 1
+        self.node[vc] = n
+
+    def raise_all(self, level: int) -> None:
+        if self.node:
+            to = self._of(level)
+            while self.heap[0][0] < level:
+                low, n = heapq.heappop(self.heap)
+                del self.at[low]
+                self.parent[n] = to
+                self.count[to] += self.count[n]
+
+    def least(self) -> int | None:
+        while self.heap and not self.count[self.heap[0][1]]:
+            low, _ = heapq.heappop(self.heap)
+            del self.at[low]
+        return self.heap[0][0] if self.heap else None
+
+
+def _swept(table: pa.Table) -> pa.Table:
+    """(pchannel, p, w) of the ticks of one range, from its states and ticks."""
+    rows = table.select(["p", "vchannel", "tso", "state", "by_event"]).to_pylist()
+    levels, top, out = _Levels(), None, []
+    for r in rows:
+        if r["state"] and r["p"] is None:
+            levels.raise_one(r["vchannel"], r["tso"] or 0)
+    for r in sorted((r for r in rows if r["p"] is not None), key=lambda r: (r["p"], not r["state"])):
+        v, tso = r["vchannel"], r["tso"]
+        if r["state"]:
+            levels.raise_one(v, max(tso or 0, (top or 0) if r["by_event"] else 0))
+            continue
+        if v is None:
+            top = tso if top is None else max(top, tso)
+            levels.raise_all(tso)
+        elif v in levels.node:
+            levels.raise_one(v, tso)
+        w = levels.least()
+        out.append((r["p"], w if w is not None else tso if v is None else 0))
+    return pa.table({"pchannel": pa.array([table["pchannel"][0].as_py()] * len(out), pa.string()), "p": pa.array([p for p, _ in out], pa.int64()), "w": pa.array([w for _, w in out], pa.int64())})
+
+
 def watermarks(ticks: DataFrame, seen: DataFrame) -> DataFrame:
-    """(pchannel, p, g, was): the global watermark after each tick and before it (null at the first)."""
-    least = tick_grid(ticks, seen).where("live").groupBy("pchannel", "p").agg(F.min(F.coalesce("level", F.lit(0).cast("long"))).alias("w"))
-    alone = F.when(F.col("vchannel").isNull(), F.col("tso")).otherwise(F.lit(0).cast("long"))
-    each = ticks.join(least, ["pchannel", "p"], "left").withColumn("w", F.coalesce("w", alone))
+    """(pchannel, p, g, was): the global watermark after each tick and before it (null at the first).
+
+    Each range of offsets is swept by itself, from the level of each virtual channel at its start: work is ticks, and
+    virtual channels times ranges, not ticks times virtual channels."""
+    states = _states(ticks, seen).where("r >= r0")
+    inside = F.col("r") == F.col("r0")
+    rows = states.select("pchannel", "r", F.when(inside, F.col("p0")).alias("p"), F.col("vc").alias("vchannel"), F.col("level").alias("tso"), F.lit(True).alias("state"), "by_event")
+    own = ticks.select("pchannel", F.floor(F.col("p") / F.lit(SWEEP)).cast("long").alias("r"), "p", "vchannel", "tso", F.lit(False).alias("state"), F.lit(False).alias("by_event"))
+    each = rows.unionByName(own).groupBy("pchannel", "r").applyInArrow(_swept, "pchannel string, p long, w long")
     return running(each, ["pchannel"], "p", "w", "g", RANGE, "was").select("pchannel", "p", "g", "was")
 
 
@@ -80,7 +190,10 @@ def with_watermark(events: DataFrame, marks: DataFrame, width: int = OFFSETS) ->
 class Ordered:
     """The solution for one log: seen, marks (watermarks) and events (with g_before and late).
 
-    Ticks and watermarks are kept in storage until close()."""
+    Ticks and watermarks are kept in storage until close(), the end of a with block, or until KEPT later solutions were
+    made: frames of a closed one still give the same rows, computed anew."""
+
+    _kept: ClassVar[list[Ordered]] = []
 
     def __init__(self, log: DataFrame):
         ticks, events = ticks_of(log).persist(), log.where(F.col("kind") != TICK)
@@ -98,10 +211,21 @@ class Ordered:
         self.log, self.ticks = events, ticks
         self.marks = watermarks(ticks, self.seen).persist()
         self.events = with_watermark(events, self.marks)
+        self._kept.append(self)
+        while len(self._kept) > KEPT:
+            self._kept[0].close()
 
     def close(self) -> None:
-        self.ticks.unpersist()
-        self.marks.unpersist()
+        if self in self._kept:
+            self._kept.remove(self)
+            self.ticks.unpersist()
+            self.marks.unpersist()
+
+    def __enter__(self) -> Ordered:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def released(self, width: int = TSOS) -> DataFrame:
         """Events that aren't late with release_p, the tick that releases them (null: still pending)."""
@@ -173,7 +297,7 @@ def ordered_changes(log: DataFrame) -> DataFrame:
 def stalled(log: DataFrame) -> DataFrame:
     """(pchannel, vchannel, tick, stalled): tracked channels without a tick, or behind the foremost one."""
     o = Ordered(log)
-    last = tick_grid(o.ticks, o.seen).groupBy("pchannel", F.col("vc").alias("vchannel")).agg(F.max("level").alias("tick"))
+    last = _states(o.ticks, o.seen).groupBy("pchannel", F.col("vc").alias("vchannel")).agg(F.max("took").alias("tick"))
     last = o.seen.select("pchannel", "vchannel").join(last, ["pchannel", "vchannel"], "left")
     top = F.max("tick").over(Window.partitionBy("pchannel"))
     return last.withColumn("stalled", F.col("tick").isNull() | (F.col("tick") < top))
