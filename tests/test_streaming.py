@@ -1,5 +1,6 @@
 """The streaming orderer against a sequential model, the batch form, restarts and timers."""
 
+import json
 import random
 import time
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecflow.operators import ordering as O
 from vecflow.streaming import order as S
+from vecflow.streaming import state
 
 FILE = "p long, kind string, pchannel string, vchannel string, tso long, payload string"
 
@@ -174,6 +176,26 @@ def test_reference_cases():
     assert sorted(range(5), key=lambda i: keys[i]) == [4, 1, 3, 0, 2]
 
 
+def test_state_of_a_run_starts_another(spark, tmp_path):
+    """A new run, on a new checkpoint, from the state that the former one's checkpoint holds: as if unbroken."""
+    rows, half, options = random_log(9), 70, S.Options(10**9)
+    put(spark, tmp_path / "a", rows[:half], "a")
+    drain(spark, tmp_path / "a", tmp_path / "out", tmp_path / "ck1", half, options)
+    start = state.stored_state(spark, str(tmp_path / "ck1"))
+    assert start.where("entry = 'event'").count() > 0
+    start.write.parquet(str(tmp_path / "start"))
+    kept = {r.key: r.val for r in state.progress_of(spark, str(tmp_path / "ck1")).collect()}
+    assert kept["mq_offset_c"] == str(half - 1) and json.loads(state.resume_offsets(spark, str(tmp_path / "ck1"))) == {"c": {"0": half}}
+    own = {v: max(t for _, k, w, t in rows[:half] if k == "TimeTick" and w == v) for v in ("v0", "v1", "v2")}
+    assert all(int(kept[f"vchannel_timetick_{v}"]) >= t for v, t in own.items())
+    put(spark, tmp_path / "b", rows[half:], "b")
+    drain(spark, tmp_path / "b", tmp_path / "out2", tmp_path / "ck2", len(rows) - half, options, spark.read.parquet(str(tmp_path / "start")))
+    done, late = model(rows)
+    changes, dropped = S.split(spark.read.parquet(str(tmp_path / "out"), str(tmp_path / "out2")))
+    assert [r.p for r in changes.orderBy("seq").collect()] == done and [r.seq for r in changes.orderBy("seq").collect()] == list(range(1, len(done) + 1))
+    assert sorted(r.p for r in dropped.collect()) == sorted(late)
+
+
 def test_repeated_changes_within_the_delay(spark, tmp_path):
     rows = [("c", 1, 5, "c", "2024-01-01 00:00:00"), ("c", 1, 5, "c", "2024-01-01 00:00:30"), ("c", 2, 5, "c", "2024-01-01 00:00:10")]
     schema = "collection string, pk long, tso long, op string, at timestamp"

@@ -124,6 +124,7 @@ class Orderer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", "channel_tick long, watermark long, advanced_at long, seq long, events long, bytes long")
+        self.position = handle.getValueState("position", "p long")
         self.ticks = handle.getMapState("ticks", "vchannel string", "tick long")
         self.pending = handle.getMapState("pending", "span long", f"events array<struct<{_EVENT.replace(' ', ':').replace(',:', ',')}>>")
 
@@ -176,6 +177,7 @@ class Orderer(StatefulProcessor):
         pending.store()
         for v, t in channel.ticks.items():
             self.ticks.updateValue((v,), (t,))
+        self.position.update((int(held["p"].iloc[-1]),))
         self.meta.update((channel.channel_tick, channel.watermark, at, seq, events, size))
         self._wake(events, at)
         yield _frame(out)
@@ -200,18 +202,33 @@ class Orderer(StatefulProcessor):
         yield _frame(out)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Stored ticks of a former run: (pchannel, vchannel, tick), without a vchannel the channel-level one, which those
-        take over that are discovered later; the watermark is the least of the virtual channels' ticks, or that one."""
-        channel = Channel({}, 0, 0)
+        """What is stored of a former run. Rows (pchannel, vchannel, tick): ticks, without a vchannel the channel-level one,
+        which those take over that are discovered later; the watermark is the least of the virtual channels' ticks, or
+        that one. Rows of streaming.state.stored_state() hold watermark, place and pending events besides."""
+        channel, now, seq, place = Channel({}, 0, 0), timerValues.getCurrentProcessingTimeInMs(), 0, None
+        pending, events, size = Pending(self.pending), 0, 0
         for r in initialState.itertuples(index=False):
-            if pd.isna(r.vchannel):
+            entry = getattr(r, "entry", "tick")
+            if entry == "event":
+                payload = None if pd.isna(r.payload) else r.payload
+                pending.add((int(r.p), int(r.row_pos), r.kind, None if pd.isna(r.vchannel) else r.vchannel, int(r.tso), payload))
+                events, size = events + 1, size + event_size(payload)
+            elif entry == "channel":
+                channel.channel_tick, channel.watermark, seq = int(r.tick), int(r.watermark), int(r.seq)
+                place = None if pd.isna(r.p) else int(r.p)
+            elif pd.isna(r.vchannel):
                 channel.channel_tick = max(channel.channel_tick, int(r.tick))
             else:
-                channel.ticks[r.vchannel] = max(channel.ticks.get(r.vchannel) or 0, int(r.tick))
+                channel.ticks[r.vchannel] = max(channel.ticks.get(r.vchannel) or 0, 0 if pd.isna(r.tick) else int(r.tick)) or None
         for v, t in channel.ticks.items():
             self.ticks.updateValue((v,), (t,))
+        pending.store()
+        if place is not None:
+            self.position.update((place,))
         least = min((t or 0 for t in channel.ticks.values()), default=channel.channel_tick)
-        self.meta.update((channel.channel_tick, least, timerValues.getCurrentProcessingTimeInMs(), 0, 0, 0))
+        self.meta.update((channel.channel_tick, max(channel.watermark, least), now, seq, events, size))
+        if events:
+            self.handle.registerTimer(now + self.options.stall_timeout_ms)
 
     def close(self) -> None:
         pass
@@ -227,7 +244,8 @@ def order_stream(df: DataFrame, options: Options | None = None, initial_ticks: D
     """A stream (or batch) of INPUT columns as released, late and forced events; see OUTPUT.
 
     row_pos is the row's place in its message; nulls, and an input without it, count as 0.
-    initial_ticks(pchannel, vchannel, tick) preloads the ticks of a former run."""
+    initial_ticks(pchannel, vchannel, tick) preloads the ticks of a former run; with rows of streaming.state.stored_state()
+    the new run goes on where the former one stood."""
     initial = initial_ticks.groupBy("pchannel") if initial_ticks is not None else None
     row_pos = F.coalesce(F.col("row_pos").cast("long"), F.lit(0)) if "row_pos" in df.columns else F.lit(0)
     return df.withColumn("row_pos", row_pos.cast("long")).groupBy("pchannel").transformWithStateInPandas(
