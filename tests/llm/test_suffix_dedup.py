@@ -149,3 +149,31 @@ def test_hot_anchor(spark, monkeypatch):
     want = [least[x[p : p + 50]] < d for x, d in zip(raws, doc, strict=True) for p in range(len(x) - 49)]
     assert sd._repeats(raw, np.array(first), np.array(size), np.array(doc), 50).tolist() == want
     assert any(want) and not all(want)
+    # and with hashes of which many are equal by chance
+    hashes = sd._string_hashes
+    monkeypatch.setattr(sd, "_string_hashes", lambda *a: hashes(*a) & np.uint64(0xFC00000000000000))
+    assert sd._repeats(raw, np.array(first), np.array(size), np.array(doc), 50).tolist() == want
+
+
+def test_memory_of_a_hot_string():
+    """60,000 ever different surroundings of one string: hashes and bounded pieces, not an order of all copies."""
+    import tracemalloc
+
+    n = 60_000
+    rng = np.random.default_rng(3)
+    raw = rng.integers(97, 123, (n, 80), np.uint8)
+    raw[:, 15:65] = raw[0, 15:65]
+    flat, first, size, doc = raw.ravel(), np.arange(n) * 80, np.full(n, 80), np.arange(n) // 3
+    tracemalloc.start()
+    got = sd._repeats(flat, first, size, doc, 50).reshape(n, 31)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    least: dict = {}
+    for x, d in zip(flat.reshape(n, 80), doc.tolist(), strict=True):
+        x = x.tobytes()
+        for p in range(31):
+            least.setdefault(x[p : p + 50], d)
+    for i in range(0, n, 50):
+        x = flat[80 * i : 80 * i + 80].tobytes()
+        assert got[i].tolist() == [least[x[p : p + 50]] < doc[i] for p in range(31)]

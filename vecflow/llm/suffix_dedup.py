@@ -18,8 +18,9 @@ No single suffix array could hold the corpus, so the suffix order is built in pa
    different batches aside in the same way, and passages whose anchor has no other one. It sorts all positions of the
    other passages by prefix doubling (4, 8, 16, 32, length bytes), finds previous and next smaller positions, and from
    the ranks of all lengths the longest previous factor of each position, up to ``length``. Positions that reach it are
-   reported as spans. The strings of an anchor that alone exceeds WHOLE bytes are dealt by their hash (equal strings stay
-   together) and ordered a part at a time, so that working memory stays bounded whatever an anchor's frequency.
+   reported as spans. Where an anchor's passages alone exceed WHOLE bytes, their strings are gathered by hash, and two of
+   each repeated string (the smallest document's and another's) are ordered, WHOLE bytes at a time; the others are held
+   against the first byte by byte. So working memory is 8 bytes a string besides what WHOLE bounds.
 4. Spans of a row are merged and cut out.
 
 The text is shuffled by doc_id once and used for the second and the fourth step. Each step works through its batches or
@@ -58,7 +59,7 @@ GATHER = 1 << 23
 BUCKET = 1 << 25
 #: Bytes of passages that are ordered at once, about, and those of one anchor from which its strings are dealt.
 PART = 1 << 19
-WHOLE = 1 << 22
+WHOLE = 1 << 20
 #: Positions that one suffix order holds at most; larger buckets are ordered with wider keys.
 PACKED = 1 << 21
 
@@ -463,17 +464,26 @@ def longest_previous_factors(raw: np.ndarray, starts: np.ndarray, doc: np.ndarra
     return out
 
 
-def _string_parts(raw: np.ndarray, first: np.ndarray, size: np.ndarray, length: int, parts: int) -> np.ndarray:
-    """For each ``length``-byte string of passages, in order, the part (below ``parts``) that its hash names."""
-    out, ends = [], np.cumsum(size)
+def _string_hashes(raw: np.ndarray, first: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """For each ``length``-byte string of passages, in order, a 64-bit hash."""
+    out, ends, at = np.empty(int((size - length + 1).sum()), np.uint64), np.cumsum(size), 0
     i = 0
     while i < len(first):
         j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + SEGMENT * 4, "right")))
         n = size[i:j]
         h = _gram_hashes(raw[_ranges(first[i:j], n)], length)
-        out.append((h[_ranges(np.cumsum(n) - n, n - length + 1)] % np.uint64(parts)).astype(np.uint32))
-        i = j
-    return np.concatenate(out)
+        h = common.mix(h[_ranges(np.cumsum(n) - n, n - length + 1)])
+        out[at : at + len(h)] = h
+        at, i = at + len(h), j
+    return out
+
+
+def _strings(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    return raw[at[:, None] + np.arange(length)]
+
+
+def _factors_of_strings(raw: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    return longest_previous_factors(_strings(raw, at, length).ravel(), np.arange(len(at)) * length, doc, length)
 
 
 def _repeats(raw: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
@@ -484,16 +494,50 @@ def _repeats(raw: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np.ndarr
         owner = np.repeat(np.arange(len(first)), n)
         starts = (np.cumsum(size) - size)[owner] + _ranges(np.zeros(len(first), np.int64), n)
         return longest_previous_factors(raw[_ranges(first, size)], starts, doc[owner], length) >= length
+    return _repeats_by_hash(raw, first, size, doc, length)
+
+
+def _repeats_by_hash(raw: np.ndarray, first: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """_repeats() of passages that are too many to be put in suffix order at once.
+
+    Strings are gathered by hash, a block of hash values at a time. Of each group that several documents hold, two
+    strings go into suffix order, that of the smallest document and one of another, WHOLE bytes at a time; where these
+    match, the group's others are held against the first byte by byte. Groups in which bytes differ under one hash are put
+    in suffix order whole. So memory is the hashes (8 bytes a string) and what WHOLE bounds, however often a string occurs."""
+    n = size - length + 1
     begin = np.cumsum(n) - n
-    parts = -(-int(n.sum()) * length // WHOLE)
-    part = _string_parts(raw, first, size, length, parts)
-    out = np.zeros(len(part), bool)
-    for k in range(parts):
-        mine = np.flatnonzero(part == k)
-        # a string that is most of a part by itself is one passage in effect: its smallest document keeps it
+    h = _string_hashes(raw, first, size, length)
+    out = np.zeros(len(h), bool)
+    bits = np.uint64(max(1, (len(h) * length // (4 * WHOLE)).bit_length()))
+    room = max(2, WHOLE // length)
+    for block in range(1 << int(bits)):
+        mine = np.flatnonzero(h >> (np.uint64(64) - bits) == np.uint64(block))
+        if len(mine) < 2:
+            continue
         owner = np.searchsorted(begin, mine, "right") - 1
-        strings = raw[_ranges(first[owner] + mine - begin[owner], np.full(len(mine), length))]
-        out[mine] = longest_previous_factors(strings, np.arange(len(mine)) * length, doc[owner], length) >= length
+        order = np.lexsort((doc[owner], h[mine]))
+        mine, owner = mine[order], owner[order]
+        d, at, key = doc[owner], first[owner] + mine - begin[owner], h[mine]
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(mine))))
+        later = np.flatnonzero(d > d[head[group]])
+        if not len(later):
+            continue
+        shared, where = np.unique(group[later], return_index=True)
+        odd = np.zeros(len(head), bool)
+        for i in range(0, len(shared), room // 2):
+            some = shared[i : i + room // 2]
+            pair = np.stack((head[some], later[where[i : i + room // 2]]), axis=1).ravel()
+            odd[some] = _factors_of_strings(raw, at[pair], d[pair], length).reshape(-1, 2)[:, 1] < length
+        later = later[~odd[group[later]]]
+        for i in range(0, len(later), room):
+            some = later[i : i + room]
+            same = (_strings(raw, at[some], length) == _strings(raw, at[head[group[some]]], length)).all(1)
+            out[mine[some]] = same
+            odd[group[some[~same]]] = True
+        odd = np.flatnonzero(odd[group])
+        if len(odd):
+            out[mine[odd]] = _factors_of_strings(raw, at[odd], d[odd], length) >= length
     return out
 
 
