@@ -1,5 +1,6 @@
 """Operators on the cases that their rules name."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -8,7 +9,7 @@ from vecflow.functions import convert as V
 from vecflow.functions import types as Y
 from vecflow.functions import vectors as W
 from vecflow.functions.tso import effective_tso, or_default
-from vecflow.operators import asof, changes, decode, envelope, pivot, schema, snapshot
+from vecflow.operators import asof, changes, decode, envelope, metrics, pivot, schema, snapshot
 from vecflow.operators import ordering as O
 from vecflow.sources import log as L
 
@@ -195,6 +196,21 @@ def test_batches_keep_what_fits(spark):
         decode.batch_quarantine(df, strict=True).collect()
 
 
+def test_sparse_entries_of_odd_values(spark):
+    e = np.array([(2**32 - 1, -2.0), (0, float("inf"))], [("k", "<u4"), ("v", "<f4")]).tobytes()
+    d = spark.createDataFrame([(0, e), (1, None), (2, b""), (3, b"1234567"), (4, e[:8] + b"x")], "i int, s binary").coalesce(1)
+    got = {r.i: r.m and [(x.k, x.v) for x in r.m] for r in d.select("i", W.unpack_sparse("s").alias("m")).collect()}
+    assert got == {0: [(2**32 - 1, -2.0), (0, float("inf"))], 1: None, 2: [], 3: [], 4: [(2**32 - 1, -2.0)]}
+
+
+def test_counters_of_the_job_that_writes(spark, tmp_path):
+    """One job: the counters are there when the rows are."""
+    o = O.Ordered(log(spark, [("Insert", "v", 5), ("TimeTick", "v", 9), ("Insert", "v", 4), ("Delete", "v", 12)]))
+    df, seen = metrics.observed(o.events, metrics.event_counters())
+    df.write.parquet(str(tmp_path / "events"))
+    assert seen.get == {"events": 3, "late": 1, "deletes": 1, "first": 0, "last": 3}
+
+
 def test_handoff_resumes_behind_the_checkpoint(spark):
     stream = spark.createDataFrame([("a", 1, "Insert", 5), ("a", 2, "Insert", 6), ("a", 3, "Delete", 7), ("b", 1, "Insert", 8)], "pchannel string, p long, kind string, tso long")
     ck = spark.createDataFrame([("a", 2, 100)], "pchannel string, offset long, tso long")

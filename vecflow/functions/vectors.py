@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -33,8 +32,8 @@ def vector_width(kind: str, dim: int) -> int:
     return WIDTHS[kind](dim)
 
 
-def _unpacked(b: pa.Array, width: int, floats) -> pa.Array:
-    """Vectors of a batch of packed values: whole items of ``width`` bytes, decoded in one pass over the joined bytes."""
+def _items(b: pa.Array, width: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """(bytes, list offsets, mask of nulls) of the whole items of ``width`` bytes in a batch of packed values."""
     whole = pc.fill_null(b, b"").cast(pa.large_binary())
     size = pc.binary_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
     n = size // width
@@ -44,8 +43,13 @@ def _unpacked(b: pa.Array, width: int, floats) -> pa.Array:
     if (size % width).any():  # trailing bytes of some value: keep whole items only
         at = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
         raw = raw[at < np.repeat(n * width, size)]
-    values = pa.array(floats(np.ascontiguousarray(raw)), pa.float32())
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), values, mask=pc.is_null(b))
+    return np.ascontiguousarray(raw), pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pc.is_null(b)
+
+
+def _unpacked(b: pa.Array, width: int, floats) -> pa.Array:
+    """Vectors of a batch of packed values, decoded in one pass over the joined bytes."""
+    raw, offsets, none = _items(b, width)
+    return pa.ListArray.from_arrays(offsets, pa.array(floats(raw), pa.float32()), mask=none)
 
 
 @F.arrow_udf(ArrayType(FloatType()))
@@ -66,17 +70,13 @@ def unpack_bf16(b: pa.Array) -> pa.Array:
     return _unpacked(b, 2, lambda raw: (raw.view("<u2").astype("<u4") << 16).view("<f4"))
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("k", LongType()), StructField("v", FloatType())])))
-def unpack_sparse(b: pd.Series) -> pd.Series:
+@F.arrow_udf(ArrayType(StructType([StructField("k", LongType()), StructField("v", FloatType())])))
+def unpack_sparse(b: pa.Array) -> pa.Array:
     """Entries of an unsigned 32-bit index and a 32-bit float, little-endian; trailing bytes are ignored."""
-
-    def one(x):
-        if x is None:
-            return None
-        e = np.frombuffer(x, [("k", "<u4"), ("v", "<f4")], len(x) // 8)
-        return [{"k": int(k), "v": float(v)} for k, v in zip(e["k"], e["v"], strict=True)]
-
-    return b.map(one)
+    raw, offsets, none = _items(b, 8)
+    e = raw.view([("k", "<u4"), ("v", "<f4")])
+    entries = pa.StructArray.from_arrays([pa.array(e["k"].astype(np.int64)), pa.array(np.ascontiguousarray(e["v"]), pa.float32())], ["k", "v"])
+    return pa.ListArray.from_arrays(offsets, entries, mask=none)
 
 
 def sparse_to_map(b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from vecflow.functions.tso import lag_ms
@@ -57,6 +57,18 @@ def pipeline_counters(ordered) -> DataFrame:
     return late.select(one, "late").join(e.select(one, "released", "pending"), "one").join(ticks.select(one, "ticks"), "one").drop("one")
 
 
+def observed(df: DataFrame, counters: dict[str, Column], name: str = "counters") -> tuple[DataFrame, Observation]:
+    """df, and an observation of counters over its rows: known (``.get``) once df has been written or collected, by the
+    job that does so."""
+    seen = Observation(name)
+    return df.observe(seen, *(c.alias(n) for n, c in counters.items())), seen
+
+
+def event_counters() -> dict[str, Column]:
+    """Events, late ones, deletes and the offsets they span, of the events of a solution (operators.ordering.Ordered)."""
+    return {"events": F.count(F.lit(1)), "late": F.count_if("late"), "deletes": F.count_if(F.col("kind") == "Delete"), "first": F.min("p"), "last": F.max("p")}
+
+
 def stream_metrics(marks: DataFrame, now_ms: int) -> DataFrame:
     """(pchannel, watermark, lag, position, resolved) after the last tick of each channel."""
     last = marks.groupBy("pchannel").agg(F.max("g").alias("watermark"), F.max("p").alias("position"))
