@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from vecflow.llm import common, tokens
 
 MAX_LEN = 2048
-#: Parts of a bucket, and bits of a number within a part.
-SALTS, NUMBER_BITS = 256, 40
+#: Parts of a bucket, and bits of a number within a part. Parts are many, so that one stays small at 100 TB (some 400,000
+#: sequences of 2048 ids): tasks hold as many parts as they come to.
+SALTS, NUMBER_BITS = 1 << 16, 40
 
 
 def pieces_of(n: int, max_len: int = MAX_LEN) -> list[int]:
