@@ -98,6 +98,19 @@ def test_recall_of_split_buckets(spark):
     assert Counter(tuple(r) for r in got.collect()) == slow_join(rows)
 
 
+def test_bucket_that_does_not_shrink(spark):
+    """More than SMALL near copies at the registered settings: compared in pairs of blocks, every link counted once."""
+    rng = np.random.default_rng(31)
+    base, n = text(rng, 120).split(), jj.SMALL + 60
+    rows = []
+    for i in range(n):
+        own = list(base)
+        own[int(rng.integers(len(own)))] = f"only{i}"
+        rows.append((i, " ".join(own), None))
+    got = jj.join(frame(spark, [*rows, (n, text(rng, 50), None)])).collect()
+    assert Counter((r.class_id, r.n_links, r.n_copies) for r in got) == {(0, n - 1, 1): n, (n, 0, 1): 1}
+
+
 def test_runs():
     """The worst pair at the threshold (a set within another) is missed with 1 - recall at most."""
     none = np.exp(-jj.RATE * jj.THRESHOLD)

@@ -206,11 +206,11 @@ def _of_like_sizes(buckets: DataFrame, reps: DataFrame, threshold: float) -> Dat
 
 
 def _named_once(buckets: DataFrame) -> DataFrame:
-    """Buckets less those that have the same members as another one."""
+    """Buckets less those that have the same members as another one, their members counted again."""
     h = F.xxhash64("id", F.lit("member"))
     sig = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 16)).alias("s"), F.min("id").alias("lo"))
-    kept = sig.groupBy("n", "x", "s", "lo").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return buckets.join(kept, "bucket")
+    kept = sig.groupBy("n", "x", "s", "lo").agg(F.min("bucket").alias("bucket")).select("bucket", F.col("n").alias("members"))
+    return buckets.drop("members").join(kept, "bucket").select("bucket", "id", "members")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
