@@ -77,6 +77,34 @@ def test_token_files(spark, plain, tmp_path, monkeypatch):
     assert ranks.tolist() == sorted(counts, key=lambda i: (-counts[i], i))
 
 
+def test_shards_of_hot_ids():
+    """Shards rise with the ids; an id of many documents, and rows without one, are spread over several."""
+    rng = np.random.default_rng(2)
+    ids = np.concatenate((rng.integers(-50, 50, 4000), np.full(3000, 7), np.zeros(3000, np.int64)))
+    none = np.arange(len(ids)) >= 7000
+    bounds, more = sorted(np.quantile(ids[~none], [i / 20 for i in range(1, 20)], method="nearest").tolist()), 6
+    got = token_store.shards_of(ids, none, rng.integers(0, 2**32, len(ids), np.uint64).astype(np.uint32), bounds, more)
+    order = np.lexsort((got, np.where(none, -10**6, ids)))
+    assert (np.diff(got[order]) >= 0).all() and got.min() == 0 and got.max() == len(bounds) + more
+    assert np.bincount(got).max() < 1000 and len(set(got[none])) == 7 and len(set(got[ids == 7])) >= 8
+    assert token_store.shards_of(ids[:3], none[:3], np.zeros(3, np.uint32), [], 0).tolist() == [0, 0, 0]
+
+
+def test_token_files_of_hot_ids(spark, plain, tmp_path):
+    """Half of all rows without an id, a quarter of one id: files in order, every document once."""
+    rows = [(None, f"none {i}", "xx") for i in range(60)] + [(5, f"five {i}", "xx") for i in range(30)] + [(i, f"own {i}", "xx") for i in range(30)]
+    path = str(tmp_path / "t")
+    token_store.write_tokens(frame(spark, rows), common.tokenizer_path(), path)
+    got = sorted(token_store.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, *_ in rows), key=lambda i: (i is not None, i or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((r.doc_id, r.ids_crc32) for r in got), key=key) == sorted(((i, crc(plain(t) + [0])) for i, t, _ in rows), key=key)
+
+
 def test_packing(spark, plain):
     got = packing.pack(frame(spark), common.tokenizer_path()).collect()
     assert len({r.sequence_id for r in got}) == len(got) and {r.offset for r in got} == {0}

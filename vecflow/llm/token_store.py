@@ -6,7 +6,8 @@ in separate streams, and a reader finds lengths of four ranks with one look into
 
 The files are Parquet tables of blocks. A block holds consecutive documents of one shard: their ids, their numbers
 of tokens, the numbers of all tokens of it and of the shard before it, and the two streams. Shards are ranges of doc_id, so
-(shard, block) ascending is doc_id ascending; documents of equal doc_id are in the order of their ids' bytes.
+(shard, block) ascending is doc_id ascending; documents of equal doc_id are in the order of their ids' bytes,
+in each of the shards that an id of many documents takes (dealt by a hash of those bytes).
 
 Stages: texts are encoded once where they are scanned; ids are dealt into ranges of doc_id (the one shuffle, of
 compressed ids), packed into blocks and written; ranks come from counts of all ids (one row for each id of the
@@ -58,18 +59,28 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 # the stages
 
 
-def _range_bounds(docs: DataFrame, n: int) -> list[int]:
-    """Bounds of at most n ranges of doc_id with about equal numbers of rows."""
+def _range_bounds(docs: DataFrame, n: int) -> tuple[list[int], int]:
+    """(bounds, more): bounds of n ranges of doc_id with about equal numbers of rows, an id as often as it is a bound,
+    and how many further ranges rows without an id take."""
     if n < 2:
-        return []
-    got = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0]
-    return sorted(set(got or []))
+        return [], 0
+    got = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n), F.count("*"), F.count("doc_id")).first()
+    return sorted(got[0] or []), n * (got[1] - got[2]) // max(1, got[1])
 
 
-def _tokenise(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int]) -> DataFrame:
-    """Rows (shard, doc_id, n, packed): a shard is the number of bounds that the id reaches, 0 without an id."""
-    end = int(end_id).to_bytes(4, "little")
+def shards_of(ids: np.ndarray, none: np.ndarray, dealt: np.ndarray, bounds: list[int], more: int) -> np.ndarray:
+    """Shards of documents, rising with the id, none first. An id that is a bound m times has m shards, and so have rows
+    without an id more + 1, over which ``dealt``, evenly drawn 32-bit numbers, deal them."""
     edges = np.array(bounds, np.int64)
+    lo, hi = np.searchsorted(edges, ids, "left"), np.searchsorted(edges, ids, "right")
+    share = lambda m: (dealt.astype(np.uint64) * m.astype(np.uint64)) >> np.uint64(32)
+    own = more + np.where(hi > lo, lo + 1 + share(hi - lo).astype(np.int64), hi)
+    return np.where(none, share(np.full(len(ids), more + 1)).astype(np.int64), own).astype(np.int32)
+
+
+def _tokenise(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int], more: int) -> DataFrame:
+    """Rows (shard, doc_id, n, packed)."""
+    end = int(end_id).to_bytes(4, "little")
     schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("packed", pa.binary())])
 
     def run(batches):
@@ -81,8 +92,8 @@ def _tokenise(docs: DataFrame, tokenizer: str, end_id: int, bounds: list[int]) -
                 n.append(len(ids))
                 packed.append(z.compress(ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\xff" + ids.tobytes()))
             doc_ids = batch.column(0)
-            shard = np.searchsorted(edges, doc_ids.fill_null(0).to_numpy(), "right").astype(np.int32)
-            shard[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            dealt = np.array([zlib.crc32(x) for x in packed], np.uint32)
+            shard = shards_of(doc_ids.fill_null(0).to_numpy(), doc_ids.is_null().to_numpy(zero_copy_only=False), dealt, bounds, more)
             yield pa.RecordBatch.from_arrays([pa.array(shard), doc_ids, pa.array(n, pa.int64()), common.blobs(packed)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "shard int, doc_id long, n long, packed binary")
@@ -146,8 +157,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) ->
     """Write docs(doc_id, text) under path: ``blocks`` (the coded ids) and ``ranks`` (the id of each rank)."""
     spark = docs.sparkSession
     common.bound_batches(spark)
-    bounds = _range_bounds(docs.select("doc_id"), min(4096, common.partitions(spark)))
-    dealt = _tokenise(docs, tokenizer, end_id, bounds).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "packed")
+    bounds, more = _range_bounds(docs.select(F.col("doc_id").cast("long").alias("doc_id")), min(4096, common.partitions(spark)))
+    dealt = _tokenise(docs, tokenizer, end_id, bounds, more).repartition(len(bounds) + 1 + more, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "packed")
     plain = common.written(dealt.mapInArrow(_blocks, _BLOCK_SQL), "plain-ids")
     counts = plain.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # one row for each id in use: bounded by the vocabulary
@@ -186,7 +197,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 yield pa.RecordBatch.from_arrays(columns + ([pa.array(each, pa.binary())] if with_ids else []), schema=schema)
 
     rows = blocks.mapInArrow(decode, "shard int, doc_id long, within long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
-    # ids of all shards before: one row for each shard, of which there are 4,096 at most
+    # ids of all shards before: one row for each shard, of which there are 8,192 at most
     first = blocks.groupBy("shard").agg(F.sum("total").alias("n")).select("shard", (F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("long").alias("first"))
     out = rows.join(F.broadcast(first), "shard").withColumn("start", F.col("first") + F.col("within"))
     return out.select("doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
