@@ -21,7 +21,7 @@ KINDS: dict[str, tuple[str, str, str]] = {
     "footer": ("footer footer footer div div section", "footer foot bottom copyright colophon legal imprint credits siteinfo contact", "contentinfo"),
     "sidebar": ("aside aside aside div div section ul", "sidebar side aside widget widgets related recommended recommendations popular trending latest tags tagcloud rail secondary archive archives categories teaser teasers more similar", "complementary"),
     "notice": ("div div section dialog p aside div", "cookie cookies consent notice notices gdpr privacy alert modal popup overlay paywall message warning toast announcement disclaimer banner info hint", "alert dialog alertdialog status"),
-    "advert": ("div div aside ins section p figure span", "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion adsense commercial dfp partner partners affiliate banner werbung anzeige", ""),
+    "advert": ("div div aside ins section p figure span", "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion adsense commercial dfp partner partners affiliate banner werbung anzeige adsbygoogle taboola outbrain doubleclick slot", ""),
     "form": ("form form form div fieldset", "form newsletter search signup signin login subscribe subscription contact register poll survey", "form search"),
     "comments": ("section section div div ol ul", "comment comments response responses reply replies discussion disqus feedback thread respond commentlist reviews review guestbook reader readers opinions", ""),
     "share": ("div ul div section", "share shares sharing social follow toolbar tools print bookmark like addthis buttons", "toolbar"),
@@ -129,8 +129,8 @@ class Sampler:
             return f"{start}{OTHER}{self.prose(2) if r.random() < 0.6 else say()}{end}"
         out = []
         inner = "".join(self.tag("div", NEUTRAL)[0] for _ in range(r.choice((0, 0, 0, 1, 2))))
-        if r.random() < 0.3:
-            out.append(self.block(r.choice(("h2", "h3", "h4", "p", "div")), say(), OTHER))
+        if r.random() < (0.7 if kind == "header" else 0.3):
+            out.append(self.block(r.choice(("h1", "h2", "h2", "p", "div") if kind == "header" else ("h2", "h3", "h4", "p", "div")), say() if r.random() < 0.7 else self.sentence(), OTHER))
         if tag in ("ul", "ol"):
             out += [self.block("li", say() if r.random() < 0.7 else self.prose(2), OTHER, r.random() < 0.7) for _ in range(r.randint(1, 6))]
         elif kind == "form":
@@ -194,7 +194,7 @@ class Sampler:
             line = self.sentence() if r.random() < 0.7 else " ".join([self.word().capitalize()] * r.randint(1, 60))
             t = r.choice(("p", "p", "div", "li"))
             out += [f"<{t}>{MAIN}{line}</{t}>"] * r.randint(3, 120)
-        while r.random() < 0.5:
+        while r.random() < 0.55:
             out.insert(r.randint(0, len(out)), "\n" + self.part(r.choice(("advert", "advert", "sidebar", "share", "form", "notice", "comments", "menu", "hidden"))))
         if r.random() < 0.12:
             out.append(self.part("comments"))
@@ -202,6 +202,9 @@ class Sampler:
 
     def page(self) -> str:
         r = self.r
+        if r.random() < 0.05:  # a main part and nothing else
+            start, end = self.tag(r.choice(("article", "article", "main")), MAIN_NAMES, "", 0.3)
+            return start + "".join(self.block("p", self.prose(6) if r.random() < 0.5 else self.words(r.randint(3, 400)), MAIN) for _ in range(r.randint(1, 3))) + end
         tag = r.choice(MAIN_TAGS.split())
         start, end = self.tag(tag, MAIN_NAMES, "main", 0.4 if tag in ("article", "main") else 1.0)
         main = start + self.article() + end
@@ -211,7 +214,7 @@ class Sampler:
             start, end = self.tag(r.choice(("div", "div", "main", "section")), NEUTRAL + " content main page", "main", 0.8)
             near = self.part(r.choice(list(KINDS))) if r.random() < 0.3 else ""
             main = start + (near + main if r.random() < 0.5 else main + near) + end
-        before = [self.part(k) for k in ("hidden", "notice", "header", "menu", "advert", "form", "share") if r.random() < 0.45]
+        before = [self.part(k) for k in ("hidden", "notice", "header", "menu", "advert", "form", "share") if r.random() < (0.7 if k == "header" else 0.45)]
         after = [self.part(k) for k in ("share", "sidebar", "comments", "form", "advert", "menu", "notice", "footer") if r.random() < 0.4]
         if r.random() < 0.3:
             r.shuffle(before)
