@@ -143,6 +143,17 @@ def test_sink_loses_and_doubles_nothing(spark, tmp_path, fault):
     assert len(list((tmp_path / "a/batch=0").glob("topic=*"))) == 3
 
 
+def test_batches_without_rows(spark, tmp_path):
+    ledger, df = sink.Ledger(spark, str(tmp_path / "ledger")), spark.createDataFrame([("t", "v")], "topic string, value string")
+    write = sink.batch_writer({"a": sink.files_target(str(tmp_path / "a"))}, ledger)
+    assert sink.read_target(spark, str(tmp_path / "a"), ledger, "a") is None
+    write(df.where("false"), 0)
+    assert sink.read_target(spark, str(tmp_path / "a"), ledger, "a") is None and ledger.batches("a") == [0]
+    write(df, 1)
+    write(df, 1)
+    assert [r.value for r in sink.read_target(spark, str(tmp_path / "a"), ledger, "a").collect()] == ["v"]
+
+
 def test_counters_come_with_the_write(spark, tmp_path):
     """The counters of pipeline_counters, seen by the job that writes the rows."""
     rows = [(p, k, "c", v, t, "x") for p, (k, v, t) in enumerate([("Insert", "v0", 10), ("Insert", "v1", 30), ("TimeTick", "v0", 20), ("TimeTick", "v1", 20), ("Insert", "v0", 15), ("Delete", "v0", 25), ("TimeTick", None, 26)])]

@@ -96,18 +96,14 @@ def kafka_target(name: str, **options) -> Target:
 
 
 def read_target(spark: SparkSession, path: str, ledger: Ledger, target: str, fmt: str = "parquet", schema=None) -> DataFrame | None:
-    """The rows of a files target's noted batches; None while there are none."""
-    done = [f"{path}/batch={b}" for b in ledger.batches(target)]
-    fs = Folder(spark, path)
-    done = [p for p in done if fs.has(p.rsplit("/", 1)[1])]
+    """The rows of a files target's noted batches; None while there are none. Batches without rows have no files."""
+    done = [p for b in ledger.batches(target) if Folder(spark, p := f"{path}/batch={b}").names()]
     if not done:
         return None
     reader = spark.read.format(fmt).option("basePath", path)
     return (reader.schema(schema) if schema is not None else reader).load(done)
 
 
-
-
 def route_counters() -> dict[str, Column]:
     """Late, released and forced events, bytes of payload, and the highest watermark and offset of a batch."""
     is_ = lambda r: F.count_if(F.col("route") == r)
