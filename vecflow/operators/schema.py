@@ -30,12 +30,23 @@ def schema_source(first: DataFrame, metadata: DataFrame) -> DataFrame:
     return d.select("collection", F.coalesce("__m", "fields").alias("fields"), F.when(F.col("__m").isNotNull(), "metadata").otherwise("insert").alias("source"))
 
 
+def _drift(sets: DataFrame) -> DataFrame:
+    """(collection, extra, missing, n) of (collection, fields, __registered, n) where the two differ."""
+    d = sets.select("collection", F.array_sort(F.array_except("fields", "__registered")).alias("extra"), F.array_sort(F.array_except("__registered", "fields")).alias("missing"), "n")
+    return d.where((F.size("extra") > 0) | (F.size("missing") > 0)).groupBy("collection", "extra", "missing").agg(F.sum("n").alias("n"))
+
+
 def schema_drift(changes: DataFrame, schemas: DataFrame) -> DataFrame:
     """(collection, extra, missing, n) of inserts whose fields differ from the registered ones."""
     s = schemas.select("collection", F.col("fields").alias("__registered"))
-    d = changes.where("kind = 'Insert'").join(s, "collection")
-    d = d.select("collection", F.array_sort(F.array_except("fields", "__registered")).alias("extra"), F.array_sort(F.array_except("__registered", "fields")).alias("missing"))
-    return d.where((F.size("extra") > 0) | (F.size("missing") > 0)).groupBy("collection", "extra", "missing").agg(F.count("*").alias("n"))
+    return _drift(changes.where("kind = 'Insert'").groupBy("collection", "fields").agg(F.count("*").alias("n")).join(s, "collection"))
+
+
+def drift_from_first(changes: DataFrame) -> DataFrame:
+    """schema_drift() against first_schema() of the same changes, which are gone through once. seq may be anything that is
+    ordered as they are."""
+    sets = changes.where("kind = 'Insert'").groupBy("collection", "fields").agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
+    return _drift(sets.withColumn("__registered", F.min_by("fields", "seq").over(Window.partitionBy("collection"))))
 
 
 def with_schema(df: DataFrame, schemas: DataFrame) -> DataFrame:
