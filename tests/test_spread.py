@@ -1,7 +1,23 @@
 """Tasks of the orderer hold bounded parts of a log, wherever its rows lie."""
 
+from pyspark.sql import functions as F
+
+from vecflow.operators import asof
+from vecflow.operators import ordering as O
 from vecflow.operators.schema import drift_from_first, first_schema, schema_drift
 
+LOG = "p long, kind string, pchannel string, vchannel string, tso long"
+
+
+def test_grid_of_ticks_is_dealt_by_its_rows(spark, monkeypatch):
+    ticks = spark.createDataFrame([("c", p, None if p % 3 else f"v{p % 2}", p * 10) for p in range(400)], "pchannel string, p long, vchannel string, tso long")
+    seen = spark.createDataFrame([("c", "v0", 0, False), ("c", "v1", 3, False)], "pchannel string, vchannel string, p0 long, by_event boolean")
+    whole = sorted(map(tuple, O.tick_grid(ticks, seen).collect()))
+    monkeypatch.setattr(asof, "DEALT", 50)
+    monkeypatch.setattr(O, "RANGE", 16)
+    dealt = O.tick_grid(ticks, seen)
+    assert dealt.rdd.getNumPartitions() == 16 and sorted(map(tuple, dealt.collect())) == whole
+
 
 def test_drift_from_first_goes_through_the_changes_once(spark):
     sets = [["id", "a"], ["id", "a", "b"], ["id"], [], None]

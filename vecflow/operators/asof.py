@@ -19,6 +19,17 @@ SPINE = 4096
 SAMPLE = 4096
 
 
+#: Rows that a task is dealt, about, where their number is known.
+DEALT = 100_000
+
+
+def dealt(df: DataFrame, rows: int | None, *by: str) -> DataFrame:
+    """df dealt by columns to as many tasks as its rows ask for, before a window by the same columns. Without that
+    tasks are joined by the bytes they shuffle, which for rows of few numbers are a twentieth of what sorting them takes."""
+    n = -(-(rows or 0) // DEALT)
+    return df.repartition(n, *by) if n > 1 else df
+
+
 def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None, keys: DataFrame | None = None) -> DataFrame:
     """left with the value of the nearest right row: the last with point < key, or forward the first with point > key;
     with strict False equal points count too. Null where there is none. Points are unique within ``on``. ``keys`` may hold
@@ -64,9 +75,10 @@ def ranges(df: DataFrame, key: str, n: int) -> Column:
     return _up_to(F.array(*(F.struct(F.lit(b).alias("k")) for b in bounds)), k, True) if bounds else F.lit(0)
 
 
-def running(df: DataFrame, within: list[str], key: str, value: str, name: str | None, width: int, before: str | None = None, least: bool = False) -> DataFrame:
+def running(df: DataFrame, within: list[str], key: str, value: str, name: str | None, width: int, before: str | None = None, least: bool = False, rows: int | None = None) -> DataFrame:
     """df with the running maximum (or minimum) of a column in key order as ``name``, put together from buckets of the key
-    as in ``number``, and as ``before`` that of the rows before (null at the first). Keys are unique within ``within``."""
+    as in ``number``, and as ``before`` that of the rows before (null at the first). Keys are unique within ``within``;
+    ``rows`` is about their number."""
     top, choose = (F.min, F.least) if least else (F.max, F.greatest)
     d = df.withColumn("__r", F.floor(F.col(key) / F.lit(width)).cast("long"))
     tops = d.groupBy(*within, "__r").agg(top(value).alias("__m"))
@@ -74,15 +86,15 @@ def running(df: DataFrame, within: list[str], key: str, value: str, name: str |
     reach = tops.select(*within, "__r", top("__m").over(ahead).alias("__reach"))
     own = Window.partitionBy(*within, "__r").orderBy(key)
     parts = {n: top(value).over(w) for n, w in ((name, own), (before, own.rowsBetween(Window.unboundedPreceding, -1))) if n}
-    d = d.withColumns(parts).join(reach, [*within, "__r"])
+    d = dealt(d, rows, *within, "__r").withColumns(parts).join(reach, [*within, "__r"])
     return d.withColumns({n: choose(n, "__reach") for n in parts}).drop("__r", "__reach")
 
 
-def number(df: DataFrame, within: list[str], axis: Column, order: list[Column], name: str = "seq") -> DataFrame:
+def number(df: DataFrame, within: list[str], axis: Column, order: list[Column], name: str = "seq", rows: int | None = None) -> DataFrame:
     """df with running numbers from 1 in the given order: numbered within buckets of the axis (which must rise with the
-    order), and shifted by the sizes of the buckets before."""
+    order), and shifted by the sizes of the buckets before. ``rows`` is about the number of df's rows."""
     d = df.withColumn("__b", axis.cast("long"))
     sizes = d.groupBy(*within, "__b").agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(*within).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     inner = F.row_number().over(Window.partitionBy(*within, "__b").orderBy(*order))
-    return d.withColumn("__i", inner).join(before, [*within, "__b"]).withColumn(name, (F.col("__before") + F.col("__i")).cast("long")).drop("__b", "__i", "__before")
+    return dealt(d, rows, *within, "__b").withColumn("__i", inner).join(before, [*within, "__b"]).withColumn(name, (F.col("__before") + F.col("__i")).cast("long")).drop("__b", "__i", "__before")
