@@ -73,8 +73,8 @@ def delete_first(spark, sf_dir):
 
 @query("force_flush", solution("log_multi") + " SELECT pchannel, p, tso, max(tso) OVER (PARTITION BY pchannel) AS watermark, row_number() OVER (PARTITION BY pchannel ORDER BY tso, CASE kind WHEN 'Delete' THEN 0 ELSE 1 END, p) AS seq FROM rel WHERE release_p IS NULL")
 def force_flush(spark, sf_dir):
-    pending = O.Ordered(fixtures.log_multi(spark, sf_dir)).released().where("release_p is null")
-    return O.force_flush(pending).select("pchannel", "p", "tso", "watermark", "seq")
+    o = O.Ordered(fixtures.log_multi(spark, sf_dir))
+    return O.force_flush(o.released().where("release_p is null"), o.spread).select("pchannel", "p", "tso", "watermark", "seq")
 
 
 @query("partitions", on(fixtures.LOG_MULTI) + " SELECT pchannel, row_number() OVER (ORDER BY pchannel) AS n FROM (SELECT DISTINCT pchannel FROM log_multi)")
