@@ -29,7 +29,8 @@ def test_grid_of_ticks_is_dealt_by_its_rows(spark, monkeypatch):
     monkeypatch.setattr(asof, "DEALT", 50)
     monkeypatch.setattr(O, "RANGE", 16)
     dealt = O.tick_grid(ticks, seen)
-    assert dealt.rdd.getNumPartitions() == 16 and sorted(map(tuple, dealt.collect())) == whole
+    assert "__r#" in (plan := dealt._jdf.queryExecution().optimizedPlan().toString()) and "], 16" in plan
+    assert sorted(map(tuple, dealt.collect())) == whole
 
 
 def test_drift_from_first_goes_through_the_changes_once(spark):
