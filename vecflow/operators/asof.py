@@ -1,6 +1,6 @@
 """As-of joins and running numbers without a window over the large side.
 
-The key axis is cut into buckets. The small side (change points) is gathered by bucket, with the nearest point beyond
+Few change points are sent whole, and the large side stays where it is. Else the key axis is cut into buckets. The small side (change points) is gathered by bucket, with the nearest point beyond
 the bucket carried in; the large side meets its bucket's row in an equi-join and searches its points by halving. So the
 large side is spread over as many tasks as it has buckets, however few channels there are.
 """
@@ -23,6 +23,10 @@ SAMPLE = 4096
 DEALT = 100_000
 
 
+#: Change points that are sent to every task at most: each row of the large side is compared with all of its channel.
+FEW = 64
+
+
 def dealt(df: DataFrame, rows: int | None, *by: str) -> DataFrame:
     """df dealt by columns to as many tasks as its rows ask for, before a window by the same columns. Without that
     tasks are joined by the bytes they shuffle, which for rows of few numbers are a twentieth of what sorting them takes."""
@@ -30,11 +34,14 @@ def dealt(df: DataFrame, rows: int | None, *by: str) -> DataFrame:
     return df.repartition(n, *by) if n > 1 else df
 
 
-def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None, keys: DataFrame | None = None) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool = False, strict: bool = True, width: int = 1024, name: str | None = None, keys: DataFrame | None = None, points: int | None = None) -> DataFrame:
     """left with the value of the nearest right row: the last with point < key, or forward the first with point > key;
     with strict False equal points count too. Null where there is none. Points are unique within ``on``. ``keys`` may hold
-    the columns on and key of left, or more of them, where they are cheaper to come by than left itself."""
+    the columns on and key of left, or more of them, where they are cheaper to come by than left itself. ``points`` is the
+    number of right's rows, or a greater one, where that is known."""
     name = name or value
+    if points is not None and points <= FEW:
+        return _by_stretches(left, right, on, key, point, value, forward, strict, name)
     bucket = F.floor(F.col(key) / F.lit(width)).cast("long")
     l = left.withColumn("__b", bucket)
     r = right.select(*on, F.floor(F.col(point) / F.lit(width)).cast("long").alias("__b"), F.struct(F.col(point).alias("k"), F.col(value).alias("v")).alias("__x"))
@@ -50,19 +57,35 @@ def asof(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str,
     return l.join(spine, [*on, "__b"], "left").withColumn(name, best["v"]).drop("__b", "__pts", "__carry")
 
 
+def _by_stretches(left: DataFrame, right: DataFrame, on: list[str], key: str, point: str, value: str, forward: bool, strict: bool, name: str) -> DataFrame:
+    """asof() by the stretch of the key axis, up to the next point, for which each point stands: those are sent to every
+    task, and each row of left lies in one at most."""
+    at, end, k = F.col("__at"), F.col("__end"), F.col(key)
+    r = right.where(F.col(point).isNotNull()).select(*(F.col(c).alias(f"__on_{c}") for c in on), F.col(point).alias("__at"), F.col(value).alias("__v"))
+    r = r.withColumn("__end", (F.lag if forward else F.lead)("__at").over(Window.partitionBy(*(f"__on_{c}" for c in on)).orderBy("__at")))
+    if forward:
+        inside = (k < at) & (end.isNull() | (k >= end)) if strict else (k <= at) & (end.isNull() | (k > end))
+    else:
+        inside = (k > at) & (end.isNull() | (k <= end)) if strict else (k >= at) & (end.isNull() | (k < end))
+    for c in on:
+        inside = inside & (F.col(c) == F.col(f"__on_{c}"))
+    rest = [c for c in left.columns if c not in (*on, name)]
+    return left.join(F.broadcast(r), inside, "left").select(*on, *rest, F.col("__v").alias(name))
+
+
 def _up_to(points: Column, key: Column, equal: bool) -> Column:
     """How many of an array's sorted points have k < key, or with equal k <= key; 0 of a null array."""
     size = F.greatest(F.coalesce(F.size(points), F.lit(0)), F.lit(0))
+    halvings = F.greatest(F.ceil(F.log2(size + 1)).cast("int"), F.lit(1))
+    steps = F.slice(F.array(*(F.lit(1 << i) for i in range(30, -1, -1))), -halvings, halvings)
 
-    def step(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        k = F.get(points, mid)["k"]
-        below = (s["lo"] < s["hi"]) & F.coalesce(k <= key if equal else k < key, F.lit(False))
-        return F.struct(F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+    def step(n: Column, more: Column, key: Column) -> Column:
+        k = F.get(points, n + more - 1)["k"]
+        return n + F.when(k <= key if equal else k < key, more).otherwise(0)
 
-    halvings = F.ceil(F.log2(size + 1)).cast("int")
-    found = F.aggregate(F.sequence(F.lit(1), halvings), F.struct(F.lit(0).alias("lo"), size.alias("hi")), step, lambda s: s["lo"])
-    return F.when(size > 0, found).otherwise(0)
+    # the key is bound once: its expression, which may decode a whole message, must not be evaluated at each halving
+    found = F.transform(F.array(key), lambda k: F.aggregate(steps, F.lit(0), lambda n, more: step(n, more, k)))
+    return F.when(size > 0, F.get(found, F.lit(0))).otherwise(0)
 
 
 def ranges(df: DataFrame, key: str, n: int) -> Column:
@@ -90,11 +113,12 @@ def running(df: DataFrame, within: list[str], key: str, value: str, name: str |
     return d.withColumns({n: choose(n, "__reach") for n in parts}).drop("__r", "__reach")
 
 
-def number(df: DataFrame, within: list[str], axis: Column, order: list[Column], name: str = "seq", rows: int | None = None) -> DataFrame:
+def number(df: DataFrame, within: list[str], axis: Column, order: list[Column], name: str = "seq", rows: int | None = None, keys: DataFrame | None = None) -> DataFrame:
     """df with running numbers from 1 in the given order: numbered within buckets of the axis (which must rise with the
-    order), and shifted by the sizes of the buckets before. ``rows`` is about the number of df's rows."""
+    order), and shifted by the sizes of the buckets before. ``rows`` is about the number of df's rows. ``keys`` may hold
+    exactly the rows of df, with at least the columns of within and axis, where they are cheaper to come by than df itself."""
     d = df.withColumn("__b", axis.cast("long"))
-    sizes = d.groupBy(*within, "__b").agg(F.count("*").alias("__n"))
+    sizes = (d if keys is None else keys.withColumn("__b", axis.cast("long"))).groupBy(*within, "__b").agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(*within).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     inner = F.row_number().over(Window.partitionBy(*within, "__b").orderBy(*order))
     return dealt(d, rows, *within, "__b").withColumn("__i", inner).join(before, [*within, "__b"]).withColumn(name, (F.col("__before") + F.col("__i")).cast("long")).drop("__b", "__i", "__before")

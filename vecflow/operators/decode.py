@@ -77,7 +77,8 @@ def delete_keys(ints: Column, strs: Column, legacy: Column) -> Column:
 def decode_single(df: DataFrame) -> DataFrame:
     """Messages (topic, offset, value) with one message each -> one row per message: kind, collection, pchannel,
     vchannel, tso, num_rows, fields, keys."""
-    m = df.withColumn("m", F.from_json(F.col("value").cast("string"), SINGLE))
+    # a generator of one row: filters on what is decoded stay above it, else each of their branches decodes the message anew
+    m = df.select("*", F.explode(F.array(F.from_json(F.col("value").cast("string"), SINGLE))).alias("m"))
     m = route_messages(m.withColumn("msg_type", F.col("m.base.msgType")))
     return m.select(
         "topic", "offset", "kind", F.col("m.collectionName").alias("collection"), F.col("topic").alias("pchannel"),

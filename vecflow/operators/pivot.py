@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,11 +12,26 @@ def pivot_rows(df: DataFrame, fields: str = "fields", rows: str = "num_rows") ->
     without fields or rows give none."""
     rest = [c for c in df.columns if c not in (fields, rows)]
     good = df.where((F.size(fields) > 0) & (F.col(rows) > 0))
-    places = F.sequence(F.lit(0), F.col(rows) - 1)
-    made = F.transform(places, lambda i: F.map_from_entries(F.transform(fields, lambda f: F.struct(f["name"], F.get(f["vals"], i)))))
+    made = F.transform(F.sequence(F.lit(0), F.col(rows) - 1), lambda i: _row(fields, i))
     return good.select(*rest, F.posexplode(made).alias("row_pos", "row"))
 
 
+def _row(fields: str, i: Column) -> Column:
+    """Row i of a message as a map from field name to value."""
+    return F.map_from_entries(F.transform(fields, lambda f: F.struct(f["name"], F.get(f["vals"], i))))
+
+
+def take_apart(df: DataFrame, fields: str = "fields", rows: str = "num_rows", keys: str = "keys") -> DataFrame:
+    """Inserts and deletes in one pass: one row for each row of an insert, as of pivot_rows(), and each key of a delete:
+    row_pos, row (null of a key) and key (null of a row). Events of other kinds give none."""
+    rest = [c for c in df.columns if c not in (fields, rows, keys)]
+    kind, n = F.col("kind"), F.col(rows)
+    inserted = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(_row(fields, i).alias("row"), F.lit(None).cast("string").alias("key")))
+    deleted = F.transform(keys, lambda k: F.struct(F.lit(None).cast("map<string, string>").alias("row"), k.alias("key")))
+    made = F.when((kind == "Insert") & (F.size(fields) > 0) & (n > 0), inserted).when(kind == "Delete", deleted)
+    return df.select(*rest, F.posexplode(made).alias("row_pos", "__x")).select(*rest, "row_pos", "__x.row", "__x.key")
+
+
 def pivot_known(df: DataFrame, schema: StructType, fields: str = "fields") -> DataFrame:
     """The same for a known schema, as typed columns: arrays are zipped, no map is built."""
     rest = [c for c in df.columns if c not in (fields, "num_rows")]

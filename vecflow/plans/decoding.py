@@ -70,12 +70,12 @@ def tick_messages(spark):
 def log_to_changes(spark, sf_dir):
     """Messages in files, read as a log, decoded, put in order, taken apart into rows, enveloped and routed."""
     path = L.shared_folder(spark, "log")
-    L.write_log(insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir)).unionByName(tick_messages(spark)), path)
+    messages = insert_messages(spark, sf_dir).unionByName(delete_messages(spark, sf_dir)).unionByName(tick_messages(spark))
+    # short and long messages are mixed, as tasks are dealt files by their bytes
+    L.write_log(messages.repartition("topic", "offset"), path)
     log = D.decode_single(L.read_log(spark, path)).withColumnRenamed("offset", "p")
-    ordered = O.ordered_changes(log)
-    rows = P.pivot_rows(ordered.where("kind = 'Insert'").drop("keys")).withColumn("id", F.col("row")["o_orderkey"]).drop("row")
-    keys = D.explode_deletes(ordered.where("kind = 'Delete'").drop("fields", "num_rows")).withColumnsRenamed({"key": "id", "key_pos": "row_pos"})
-    changes = E.envelope(rows.unionByName(keys), "id", ["id"])
+    rows = P.take_apart(O.ordered_changes(log)).withColumn("id", F.coalesce(F.col("row")["o_orderkey"], "key")).drop("row", "key")
+    changes = E.envelope(rows, "id", ["id"])
     return E.route(changes, "cdc").select("topic", "op", "seq", F.col("row_pos").cast("long").alias("row_pos"), F.coalesce("after.id", "before.id").alias("id"), "tso")
 
 
